@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +91,7 @@ def cdc_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
     topic = new_scratch(spark, "topic")
     state = KeysetState(lake.table("state", "capture", "keysets"))
-    view = f"orders_{lake.root.rstrip('/')[-32:]}"
+    view = f"orders_{uuid4().hex}"
     middle = orders.agg(F.avg("o_orderkey")).first()[0]
     for so_far in (orders.filter(F.col("o_orderkey") <= middle), orders):
         so_far.createOrReplaceTempView(view)

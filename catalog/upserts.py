@@ -46,14 +46,11 @@ def upsert_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH lake AS (SELECT nullif(event_id, user_id) AS nk, event_id, 0 AS side FROM events
-                  WHERE event_type <> 'click'),
+    WITH lake AS (SELECT CASE WHEN event_type <> 'error' THEN event_id END AS nk,
+                         event_id, 0 AS side FROM events WHERE event_type <> 'click'),
          source AS (SELECT CASE WHEN event_type <> 'error' THEN event_id END AS nk,
-                           event_id, 1 AS side FROM events WHERE event_type <> 'view'),
-         keyless AS (SELECT CASE WHEN event_type <> 'error' THEN event_id END AS nk,
-                            event_id, 0 AS side FROM events WHERE event_type <> 'click')
-    SELECT keyless.* FROM keyless
-    WHERE NOT EXISTS (SELECT 1 FROM source WHERE keyless.nk = source.nk)
+                           event_id, 1 AS side FROM events WHERE event_type <> 'view')
+    SELECT lake.* FROM lake WHERE NOT EXISTS (SELECT 1 FROM source WHERE lake.nk = source.nk)
     UNION ALL SELECT * FROM source""")
 def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events have no key on either side: none match, all stay."""

@@ -17,6 +17,7 @@ def drain_to_raw(
     raw: ParquetTable | DeltaTable,
     schema: T.StructType | str,
     checkpoint_location: str,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Parse and append all messages that are waiting, then stop.
 
@@ -24,11 +25,15 @@ def drain_to_raw(
     batch that runs again after a failure replaces itself: it is stored under
     the stream's id, which lives in the checkpoint, and the batch number.
     Messages that do not parse are stored too, see ``parse_envelope``.
+    ``files_per_batch`` joins input splits, for topics with many small ones.
     """
     stream_id: Future[str] = Future()
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        raw.add_batch(parse_envelope(batch, schema), stream_id.result(), batch_id)
+        rows = parse_envelope(batch, schema)
+        if files_per_batch is not None:
+            rows = rows.coalesce(files_per_batch)
+        raw.add_batch(rows, stream_id.result(), batch_id)
 
     query = (
         messages.writeStream.foreachBatch(land)

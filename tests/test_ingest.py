@@ -1,0 +1,179 @@
+from datetime import date, datetime
+
+import pytest
+from medallion.operators import rows_after, rows_since
+from medallion.plans import (
+    CheckpointState,
+    KeysetState,
+    TableSpec,
+    capture_all,
+    capture_table,
+    ingest_table,
+)
+from medallion.operators import accepted, flatten, parse_envelope
+from medallion.sources import CatalogSource, write_text
+
+DAY = [datetime(2024, 1, d) for d in range(1, 10)]
+
+
+@pytest.fixture
+def state(lake):
+    return CheckpointState(lake.table("state", "ingest", "checkpoints"))
+
+
+@pytest.fixture
+def keysets(lake):
+    return KeysetState(lake.table("state", "capture", "keysets"))
+
+
+@pytest.fixture
+def fill(spark):
+    def set_rows(rows, name="items", kind="timestamp_ntz"):
+        df = spark.createDataFrame(rows, f"id bigint, at {kind}")
+        df.createOrReplaceTempView(name)
+
+    yield set_rows
+    for name in ("items", "other"):
+        spark.catalog.dropTempView(name)
+
+
+SPEC = TableSpec("shop", "items", ("id",), checkpoint_column="at")
+
+
+def run(lake, spark, state, spec=SPEC, run_id=None):
+    return ingest_table(lake, CatalogSource(spark), spec, state, run_id)
+
+
+def raw_ids(lake, name="items"):
+    return sorted(r.id for r in lake.read("raw", "shop", name).collect())
+
+
+def test_rows_equal_to_the_checkpoint_come_again(spark, lake, state, fill):
+    fill([(1, DAY[0]), (2, DAY[1])])
+    assert run(lake, spark, state).rows == 2
+    assert state.value("shop", "items") == DAY[1]
+    fill([(1, DAY[0]), (2, DAY[1]), (3, DAY[1]), (4, DAY[2])])
+    done = run(lake, spark, state)
+    assert (done.rows, done.last_value) == (3, DAY[2])
+    assert raw_ids(lake) == [1, 2, 2, 3, 4]
+
+
+def test_no_rows_leave_the_checkpoint(spark, lake, state, fill):
+    fill([(1, DAY[4])])
+    run(lake, spark, state)
+    fill([(1, DAY[0])])
+    done = run(lake, spark, state)
+    assert (done.rows, done.last_value) == (0, None)
+    assert state.value("shop", "items") == DAY[4]
+
+
+def test_checkpoints_of_other_tables_stay(spark, lake, state, fill):
+    fill([(1, DAY[1])])
+    fill([(1, DAY[5])], "other")
+    run(lake, spark, state)
+    run(lake, spark, state, TableSpec("shop", "other", ("id",), checkpoint_column="at"))
+    fill([(2, DAY[3])])
+    run(lake, spark, state)
+    assert state.value("shop", "items") == DAY[3]
+    assert state.value("shop", "other") == DAY[5]
+    assert state.value("shop", "unknown") is None
+    row = state.table.read().filter("table_name = 'items'").first()
+    assert row[:4] == ("shop", "items", "prd_raw_shop_items", "at")
+
+
+def test_a_repeated_run_replaces_its_batch(spark, lake, state, fill):
+    fill([(1, DAY[0])])
+    run(lake, spark, state, run_id="r1")
+    run(lake, spark, state, run_id="r1")
+    assert raw_ids(lake) == [1]
+
+
+def test_without_a_checkpoint_column_all_rows_come_each_time(spark, lake, state, fill):
+    fill([(1, DAY[0])])
+    spec = TableSpec("shop", "items", ("id",))
+    run(lake, spark, state, spec)
+    run(lake, spark, state, spec)
+    assert raw_ids(lake) == [1, 1]
+    assert not state.table.exists()
+
+
+def test_a_custom_query_ignores_and_keeps_the_checkpoint(spark, lake, state, fill):
+    fill([(1, DAY[0]), (2, DAY[6])])
+    run(lake, spark, state)
+    fill([(3, DAY[0]), (4, DAY[8])])
+    custom = TableSpec(
+        "shop", "items", ("id",), checkpoint_column="at",
+        custom_query="select * from items where id < 4",
+    )
+    assert run(lake, spark, state, custom).last_value is None
+    assert raw_ids(lake) == [1, 2, 3]
+    assert state.value("shop", "items") == DAY[6]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_every_date_type_round_trips_in_every_zone(spark, lake, state, fill, kind, zone):
+    value = date(2024, 1, 5) if kind == "date" else datetime(2024, 1, 5, 23, 30)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        fill([(1, value)], kind=kind)
+        run(lake, spark, state)
+        assert run(lake, spark, state).rows == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_bounds_reach_the_scan(spark, tmp_path):
+    spark.range(10).selectExpr("id", "timestamp_ntz'2024-01-01' AS at").write.parquet(
+        f"{tmp_path}/t"
+    )
+    table = spark.read.parquet(f"{tmp_path}/t")
+    for bounded, pushed in (
+        (rows_since(table, "at", DAY[0]), "GreaterThanOrEqual(at,"),
+        (rows_after(table, "id", 3), "GreaterThan(id,3)"),
+    ):
+        assert pushed in bounded._jdf.queryExecution().executedPlan().toString()
+    assert rows_since(table, "at", None).count() == rows_since(table, None, DAY[0]).count() == 10
+
+
+def read_topic(spark, topic):
+    events = parse_envelope(spark.read.text(topic), "id bigint, at timestamp_ntz")
+    return sorted(r.id for r in flatten(accepted(events)).collect())
+
+
+def test_capture_publishes_each_id_once(spark, keysets, fill, folder):
+    topic = folder("topic")
+
+    def poll():
+        return capture_table(
+            CatalogSource(spark), "db", "items", keysets, lambda m: write_text(m, topic)
+        )
+
+    fill([(0, DAY[0]), (1, DAY[0]), (2, DAY[0])])
+    done = poll()
+    assert (done.rows, done.last_id, keysets.value("items")) == (2, 2, 2)
+    done = poll()
+    assert (done.rows, done.last_id, keysets.value("items")) == (0, None, 2)
+    fill([(2, DAY[0]), (3, DAY[0]), (9, DAY[0])])
+    assert poll().last_id == 9
+    assert read_topic(spark, topic) == [1, 2, 3, 9]
+
+
+def test_a_table_that_fails_stops_no_other_and_does_not_move(spark, keysets, fill, folder):
+    topic = folder("topic")
+    fill([(5, DAY[0])])
+    fill([(6, DAY[0])], "other")
+
+    def publish(name, messages):
+        if name == "items":
+            raise ConnectionError("down")
+        write_text(messages, topic)
+
+    results = capture_all(CatalogSource(spark), "db", ["items", "none", "other"], keysets, publish)
+    assert [r.table for r in results] == ["items", "none", "other"]
+    assert isinstance(results[0].error, ConnectionError)
+    assert results[1].error is not None
+    assert results[2].error is None
+    assert (keysets.value("items"), keysets.value("other")) == (0, 6)
+    assert read_topic(spark, topic) == [6]

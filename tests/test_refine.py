@@ -1,0 +1,247 @@
+from datetime import date, datetime
+from hashlib import md5
+
+import pytest
+from medallion.plans import TableSpec, refine, refine_frame, run_tables, specs_from_config
+from medallion.plans import CheckpointState
+from medallion.sources import CatalogSource, text_messages
+
+AT = datetime(2024, 2, 1, 10, 11, 12)
+LATER = datetime(2024, 3, 1)
+COLUMNS = "id bigint, name string, phone string, at timestamp_ntz"
+
+
+def digest(text):
+    return md5(text.encode()).hexdigest()
+
+
+def day(n):
+    return datetime(2024, 1, n)
+
+
+@pytest.fixture
+def send(spark, lake):
+    def append(*rows):
+        lake.write(spark.createDataFrame(rows, COLUMNS), "raw", "shop", "people")
+
+    return append
+
+
+def spec(**changes):
+    settings = {
+        "namespace": "shop",
+        "dataset": "people",
+        "table_key": ("id",),
+        "checkpoint_column": "at",
+        "ignore_columns": ("phone", "no_such_column"),
+    }
+    return TableSpec(**{**settings, **changes})
+
+
+def zone(lake, name):
+    return lake.read(name, "shop", "people")
+
+
+def test_columns_and_values(spark, rows):
+    raw = spark.createDataFrame(
+        [(1, "a", "p", day(1)), (1, "b", "q", day(2)), (2, "c", "r", datetime(5, 1, 1))], COLUMNS
+    )
+    refined = refine_frame(raw, ["id"], "at", load_at=AT)
+    assert refined.columns == ["id", "name", "phone", "at", "key", "timestamp_kafka"]
+    assert rows(refined) == [
+        (1, "b", "q", day(2), digest("1"), AT),
+        (2, "c", "r", None, digest("2"), AT),
+    ]
+
+
+def test_an_impossible_date_never_wins(spark):
+    raw = spark.createDataFrame(
+        [(1, date(9, 1, 1), "bad"), (1, date(2020, 1, 1), "good")], "id int, at date, v string"
+    )
+    assert refine_frame(raw, ["id"], "at").first().v == "good"
+
+
+def test_a_date_in_the_key_is_hashed_before_the_guard(spark):
+    raw = spark.createDataFrame(
+        [(1, date(5, 1, 1), day(1)), (1, date(2020, 1, 1), day(1))],
+        "id int, day date, at timestamp_ntz",
+    )
+    refined = refine_frame(raw, ["id", "day"], "at", separator=True)
+    assert {(r.day, r.key) for r in refined.collect()} == {
+        (None, digest("1-0005-01-01")),
+        (date(2020, 1, 1), digest("1-2020-01-01")),
+    }
+
+
+def test_without_checkpoint_one_row_per_hashed_key(spark):
+    raw = spark.createDataFrame(
+        [("a", None, "b"), ("a", "b", None), ("c", "d", "e")], "x string, y string, z string"
+    )
+    joined = refine_frame(raw, ["x", "y", "z"], separator=True)
+    assert sorted(r.key for r in joined.collect()) == sorted([digest("a-b"), digest("c-d-e")])
+
+
+def test_the_hash_is_computed_after_the_reduction(spark):
+    raw = spark.createDataFrame([(1, "a", "p", day(1))], COLUMNS).repartition(4)
+    plan = refine_frame(raw, ["id"], "at")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("md5") < plan.index("WindowGroupLimit")
+
+
+def test_safe_has_all_columns_and_trusted_no_restricted_one(lake, send):
+    send((1, "a", "555", day(1)))
+    refine(lake, spec(), AT)
+    assert "phone" in zone(lake, "safe").columns
+    assert zone(lake, "trusted").columns == ["id", "name", "at", "key", "timestamp_kafka"]
+
+
+def test_no_safe_zone_without_restricted_columns(lake, send):
+    send((1, "a", "555", day(1)))
+    refine(lake, spec(ignore_columns=()), AT)
+    assert not lake.table("safe", "shop", "people").exists()
+    assert "phone" in zone(lake, "trusted").columns
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_refining_again_without_news_changes_nothing(lake, send, rows, merge):
+    send((1, "a", "5", day(1)), (1, "b", "6", day(2)), (2, "c", "7", day(1)))
+    refine(lake, spec(merge=merge), AT)
+    first = rows(zone(lake, "safe")), rows(zone(lake, "trusted"))
+    refine(lake, spec(merge=merge), AT)
+    assert (rows(zone(lake, "safe")), rows(zone(lake, "trusted"))) == first
+
+
+def test_a_merge_keeps_rows_that_raw_no_longer_has(spark, lake, send, rows):
+    send((1, "a", "5", day(1)), (2, "b", "6", day(1)))
+    refine(lake, spec(merge=True), AT)
+    raw = lake.table("raw", "shop", "people")
+    raw.replace(spark.createDataFrame([(2, "c", "7", day(2)), (3, "d", "8", day(2))], COLUMNS))
+    refine(lake, spec(merge=True), LATER)
+    for name in ("safe", "trusted"):
+        assert rows(zone(lake, name), "id", "name", "timestamp_kafka") == [
+            (1, "a", AT),
+            (2, "c", LATER),
+            (3, "d", LATER),
+        ]
+
+
+def test_replacing_forgets_rows_that_raw_no_longer_has(spark, lake, send, rows):
+    send((1, "a", "5", day(1)))
+    refine(lake, spec(), AT)
+    lake.table("raw", "shop", "people").replace(
+        spark.createDataFrame([(2, "b", "6", day(1))], COLUMNS)
+    )
+    refine(lake, spec(), AT)
+    assert rows(zone(lake, "trusted"), "id") == [(2,)]
+
+
+@pytest.mark.parametrize(("guard", "name"), [(None, "old"), ("at", "new")])
+def test_an_older_row_wins_a_merge_unless_guarded(spark, lake, send, guard, name):
+    send((1, "new", "5", day(9)))
+    refine(lake, spec(merge=True), AT)
+    lake.table("raw", "shop", "people").replace(
+        spark.createDataFrame([(1, "old", "5", day(1))], COLUMNS)
+    )
+    refine(lake, spec(merge=True, newer_than=guard), AT)
+    assert [r.name for r in zone(lake, "trusted").collect()] == [name]
+
+
+def test_a_merge_takes_restricted_columns_out_of_an_older_target(spark, lake, send):
+    send((1, "a", "5", day(1)))
+    refine(lake, spec(merge=True, ignore_columns=()), AT)
+    assert "phone" in zone(lake, "trusted").columns
+    refine(lake, spec(merge=True), AT)
+    assert "phone" not in zone(lake, "trusted").columns
+    assert "phone" in zone(lake, "safe").columns
+
+
+def test_colliding_keys_make_a_merge_fail_and_leave_the_zones(spark, lake, rows):
+    columns = "x string, y string, z string, at timestamp_ntz"
+    settings = spec(table_key=("x", "y", "z"), separator=True, merge=True, ignore_columns=())
+    lake.write(spark.createDataFrame([("a", None, "b", day(1))], columns), "raw", "shop", "people")
+    refine(lake, settings, AT)
+    before = rows(zone(lake, "trusted"))
+    lake.write(spark.createDataFrame([("a", "b", None, day(1))], columns), "raw", "shop", "people")
+    with pytest.raises(ValueError, match="up to 2 times"):
+        refine(lake, settings, AT)
+    assert rows(zone(lake, "trusted")) == before
+
+
+def test_rows_without_a_key(spark, lake, send):
+    send((None, "a", "5", day(1)), (1, "b", "6", day(1)))
+    with pytest.raises(ValueError, match="1 rows have no key"):
+        refine(lake, spec(merge=True, on_null_key="reject"), AT)
+    assert not lake.table("trusted", "shop", "people").exists()
+    refine(lake, spec(merge=True), AT)
+    refine(lake, spec(merge=True), AT)
+    assert sorted(r.name for r in zone(lake, "trusted").collect()) == ["a", "a", "b"]
+
+
+def test_spec_checks():
+    with pytest.raises(ValueError, match="schema"):
+        spec(topic="t")
+    with pytest.raises(ValueError, match="keep or reject"):
+        spec(on_null_key="drop")
+    with pytest.raises(ValueError, match="merge"):
+        spec(on_null_key="reject")
+
+
+def test_specs_from_config():
+    config = {
+        "one": {
+            "connection": "shop",
+            "owner": "x",
+            "tables": {
+                "tickets": {
+                    "topic": "t",
+                    "kafka_server": "h:1",
+                    "delta_format": True,
+                    "key": ["id"],
+                    "schema": "id int, at timestamp",
+                    "number_partitions": "600",
+                },
+                "comments": {
+                    "key": ["id"],
+                    "checkpoint_column": "at",
+                    "ignore_columns": ["phone"],
+                },
+            },
+        }
+    }
+    tickets, comments = specs_from_config(config)
+    assert (tickets.namespace, tickets.topic, tickets.servers) == ("shop", "t", "h:1")
+    assert tickets.merge and tickets.schema.names == ["id", "at"]
+    assert comments.topic is None and not comments.merge
+    assert comments.ignore_columns == ("phone",)
+
+
+def test_one_failing_table_does_not_stop_the_run(spark, lake, folder):
+    topic = folder("topic")
+    spark.createDataFrame(
+        [('{"after": {"id": 1, "at": "2024-01-01T00:00:00"}}',)], "value string"
+    ).write.text(topic)
+    spark.sql("SELECT 2 AS id, timestamp_ntz'2024-01-02' AS at").createOrReplaceTempView("t_rows")
+    specs = [
+        TableSpec("shop", "missing", ("id",)),
+        TableSpec("shop", "t_events", ("id",), "at", topic="t",
+                  schema=specs_schema("id int, at timestamp_ntz")),
+        TableSpec("shop", "t_rows", ("id",), "at", merge=True),
+    ]
+    runs = run_tables(
+        lake,
+        specs,
+        CheckpointState(lake.table("state", "ingest", "checkpoints")),
+        source=lambda s: CatalogSource(spark),
+        messages=lambda s: text_messages(spark, topic),
+        stream_checkpoints=folder("progress"),
+        load_at=AT,
+    )
+    spark.catalog.dropTempView("t_rows")
+    assert [r.spec.dataset for r in runs if r.error] == ["missing"]
+    assert lake.read("trusted", "shop", "t_events").first().id == 1
+    assert lake.read("trusted", "shop", "t_rows").first().id == 2
+
+
+def specs_schema(ddl):
+    from pyspark.sql import types as T
+
+    return T.StructType.fromDDL(ddl)

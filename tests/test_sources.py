@@ -1,0 +1,56 @@
+import pytest
+from medallion.sources import CatalogSource, JdbcSource
+from medallion.sources.messages import kafka_options
+from medallion.sources.tables import Split
+
+URL = "jdbc:db:somewhere"
+
+
+def test_kafka_options_start_at_the_earliest_offset():
+    assert kafka_options("host:1", "topic") == {
+        "kafka.bootstrap.servers": "host:1",
+        "subscribe": "topic",
+        "startingOffsets": "earliest",
+    }
+    chosen = kafka_options("host:1", "topic", 500, {"minPartitions": "64"})
+    assert chosen["maxOffsetsPerTrigger"] == "500"
+    assert chosen["minPartitions"] == "64"
+
+
+def test_jdbc_table_options(spark):
+    source = JdbcSource(spark, URL, "a.Driver", {"user": "u", "fetchsize": "5"})
+    assert source.table_options("shop.orders") == {
+        "url": URL,
+        "driver": "a.Driver",
+        "user": "u",
+        "fetchsize": "5",
+        "dbtable": "shop.orders",
+    }
+    split = source.table_options("orders", Split("id", 16, 1, 9000))
+    assert {k: split[k] for k in split if k not in source.common_options()} == {
+        "dbtable": "orders",
+        "partitionColumn": "id",
+        "lowerBound": "1",
+        "upperBound": "9000",
+        "numPartitions": "16",
+    }
+
+
+def test_jdbc_query_is_passed_as_it_is(spark):
+    options = JdbcSource(spark, URL).query_options("select 1")
+    assert options["query"] == "select 1"
+    assert "dbtable" not in options
+
+
+@pytest.mark.parametrize("name", ["orders; drop table x", "a b", "", "1x", "a..b", "(select 1)"])
+def test_jdbc_names_are_plain(spark, name):
+    with pytest.raises(ValueError):
+        JdbcSource(spark, URL).table_options(name)
+
+
+def test_catalog_source(spark):
+    spark.range(3).createOrReplaceTempView("catalog_source_test")
+    source = CatalogSource(spark)
+    assert source.table("catalog_source_test").count() == 3
+    assert source.query("select max(id) as m from catalog_source_test").first().m == 2
+    spark.catalog.dropTempView("catalog_source_test")
