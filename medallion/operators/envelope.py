@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 REJECTED = "rejected"
 # Fixed value: the only operation a poll can see.
 OPERATION = "insert"
-INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def table_schema(schema: T.StructType | str) -> T.StructType:
@@ -58,38 +57,48 @@ def build_envelope(df: DataFrame, database: str, table: str, ts_ms: int) -> Colu
 def _json_ready(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        column = F.regexp_replace(F.date_format(column, INSTANT_FORMAT), r"\.000000$", "")
+        column = _iso_instant(column)
     elif isinstance(field.dataType, T.DecimalType):
         column = column.cast("string")
     return column.alias(field.name)
 
 
+def _iso_instant(column: Column) -> Column:
+    """ISO 8601 text; the fraction has six digits, or is left out if zero. Works
+    on the text form, which has no zone to shift a wall clock by."""
+    text = column.cast("string")
+    whole = F.replace(F.split_part(text, F.lit("."), F.lit(1)), F.lit(" "), F.lit("T"))
+    fraction = F.split_part(text, F.lit("."), F.lit(2))
+    return F.when(fraction == "", whole).otherwise(
+        F.concat(whole, F.lit("."), F.rpad(fraction, 6, "0"))
+    )
+
+
 def parse_envelope(df: DataFrame, schema: T.StructType | str, column: str = "value") -> DataFrame:
     """Parse JSON text into envelope columns plus ``rejected``.
 
     Fields are matched by name: missing ones become null, extra ones are
     dropped. ``rejected`` holds the raw text of a message that is not an
-    envelope (bad JSON, a value of the wrong type, no after-image, null in a
-    field declared non-null) and is null for a good one, so both kinds pass
+    envelope (bad JSON, text after the JSON value, a value of the wrong type, no
+    after-image, null in a field declared non-null) and is null for a good one, so both kinds pass
     through in one scan and no message is lost.
     """
     fields = envelope_schema(schema)
     parsed = T.StructType([*fields, T.StructField(REJECTED, T.StringType())])
     # Nullability is checked below; the JSON reader itself does not enforce it.
     event = F.from_json(F.col(column), parsed, {"columnNameOfCorruptRecord": REJECTED})
-    rows = df.select(F.col(column).alias("__text"), event.alias("__event"))
-
-    incomplete = [F.col("__event.after").isNull()] + [
-        F.col(f"__event.after.`{f.name}`").isNull()
-        for f in fields["after"].dataType
-        if not f.nullable
+    # Generated columns are computed once per message: as plain expressions the
+    # parser would run again for a filter on its result.
+    rows = df.select(F.col(column).alias("__text"), F.inline(F.array(event)))
+
+    # The parser stops after the first JSON value; as array items, two show.
+    items = F.json_array_length(F.concat(F.lit("["), F.col("__text"), F.lit("]")))
+    faults = [F.col("after").isNull(), F.coalesce(items, F.lit(0)) != 1] + [
+        F.col(f"after.`{f.name}`").isNull() for f in fields["after"].dataType if not f.nullable
     ]
     text = F.coalesce(F.col("__text"), F.lit(""))
-    bad = F.when(reduce(lambda a, b: a | b, incomplete), text)
-    return rows.select(
-        *[F.col(f"__event.`{f.name}`").alias(f.name) for f in fields],
-        F.coalesce(F.col(f"__event.{REJECTED}"), bad).alias(REJECTED),
-    )
+    bad = F.when(reduce(lambda a, b: a | b, faults), text)
+    return rows.select(*fields.names, F.coalesce(F.col(REJECTED), bad).alias(REJECTED))
 
 
 def accepted(events: DataFrame) -> DataFrame:

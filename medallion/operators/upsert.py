@@ -89,20 +89,11 @@ def upsert(
         match = F.broadcast(match)
 
     if newer_than is None:
-        replaced = same_key
-        fresh = source
+        replaced, fresh = same_key, source
     else:
-        mine, theirs = F.col(newer_than), F.col(f"__s_{newer_than}")
-        older = F.coalesce(mine > theirs, mine.isNotNull() & theirs.isNull())
-        replaced = same_key & ~older
-        stale = (
-            lake.filter(_all_present(keys))
-            .select(*compared)
-            .join(match, same_key, "inner")
-            .filter(older)
-            .select(*[F.col(k).alias(f"__s_{k}") for k in keys])
-        )
-        fresh = _without(source, stale, same_key, keys)
+        stored, offered = F.col(newer_than), F.col(f"__s_{newer_than}")
+        replaced = same_key & ~_later(stored, offered)
+        fresh = _not_stale(lake, source, match, keys, newer_than, small)
 
     if small:
         kept = lake.join(match, replaced, "left_anti")
@@ -111,6 +102,38 @@ def upsert(
     return kept.unionByName(fresh)
 
 
+def _later(one: Column, other: Column) -> Column:
+    """Whether one value comes after the other; null comes before all."""
+    return F.coalesce(one > other, one.isNotNull() & other.isNull())
+
+
+def _not_stale(
+    lake: DataFrame,
+    source: DataFrame,
+    match: DataFrame,
+    keys: list[str],
+    newer_than: str,
+    small: bool,
+) -> DataFrame:
+    """Source rows that the target has nothing newer for. The target is reduced
+    to one value per key within partitions before it is shuffled."""
+    stored = lake.filter(_all_present(keys)).select(*keys, newer_than)
+    if small:
+        stored = stored.join(match, _and([F.col(k) == F.col(f"__s_{k}") for k in keys]), "left_semi")
+    newest = (
+        stored.groupBy(*keys)
+        .agg(F.max(newer_than).alias("__newest"))
+        .withColumnsRenamed({k: f"__l_{k}" for k in keys})
+    )
+    if small:
+        # At most one row per source key, so within the same bound.
+        newest = F.broadcast(newest)
+    stale = _and([F.col(k) == F.col(f"__l_{k}") for k in keys]) & _later(
+        F.col("__newest"), F.col(newer_than)
+    )
+    return _without(source, newest, stale, keys)
+
+
 def _without(left: DataFrame, right: DataFrame, on: Column, keys: Sequence[str]) -> DataFrame:
     """Anti join in which rows without a key skip the shuffle: they match
     nothing, and together they would land in one partition."""

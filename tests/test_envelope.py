@@ -104,6 +104,9 @@ def test_fields_are_matched_by_name(spark):
         '{"after": {"id": 99999999999}}',
         '{"after": {"id": 1, "at": "yesterday"}}',
         '[{"after": {"id": 1}}]',
+        '{"after": {"id": 1}} more',
+        '{"after": {"id": 1}}{"after": {"id": 2}}',
+        '{"after": {"id": 1}}, {"after": {"id": 2}}',
     ],
 )
 def test_a_bad_message_is_kept_as_text_and_does_not_stop_the_good_one(spark, text):
@@ -144,6 +147,20 @@ def test_decimals_come_as_text_or_number(spark, text):
     assert flatten(accepted(events)).first().p == Decimal("7.25")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_a_wall_clock_that_a_zone_skips_survives(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        table = spark.createDataFrame([(datetime(2018, 11, 4, 0, 30),)], "at timestamp_ntz")
+        value = messages(table).first().value
+        assert json.loads(value)["after"]["at"] == "2018-11-04T00:30:00"
+        back = flatten(accepted(parse_envelope(messages(table), table.schema)))
+        assert back.first()["at"] == datetime(2018, 11, 4, 0, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_schema_forms():
     as_ddl = table_schema("id int, name string")
     assert table_schema(as_ddl) == as_ddl
