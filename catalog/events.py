@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import TS_MS, new_lake, query, table
 from medallion.operators import accepted, build_envelope, flatten, parse_envelope, rejected
-from medallion.plans import KeysetState, capture_table, read_quarantine, read_raw
+from medallion.plans import KeysetState, capture_all, capture_table, read_quarantine, read_raw
 from medallion.sources import CatalogSource, Lake, new_scratch, text_messages, write_text
 from medallion.streaming import drain_to_raw
 
@@ -88,9 +89,8 @@ def props_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two polls while the table grows: each id above 0 is published once."""
     orders = table(spark, sf_dir, "orders")
-    lake = new_lake(spark)
     topic = new_scratch(spark, "topic")
-    state = KeysetState(lake.table("state", "capture", "keysets"))
+    state = KeysetState(new_lake(spark).table("state", "capture", "keysets"))
     view = f"orders_{uuid4().hex}"
     middle = orders.agg(F.avg("o_orderkey")).first()[0]
     for so_far in (orders.filter(F.col("o_orderkey") <= middle), orders):
@@ -108,6 +108,45 @@ def cdc_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(accepted(parse_envelope(spark.read.text(topic), orders.schema)))
 
 
+@query("""
+    SELECT 'customer' AS tab, c_custkey AS id FROM customer WHERE c_custkey > 0
+    UNION ALL SELECT 'part', p_partkey FROM part WHERE p_partkey > 0
+    UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_suppkey > 0""")
+def cdc_capture_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several tables to a topic each, one after the other, twice."""
+    ids = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    state = KeysetState(new_lake(spark).table("state", "capture", "keysets"))
+    run = uuid4().hex
+    topics = {f"{name}_{run}": new_scratch(spark, "topic") for name in ids}
+    for name in ids:
+        table(spark, sf_dir, name).createOrReplaceTempView(f"{name}_{run}")
+    for _ in range(2):
+        results = capture_all(
+            CatalogSource(spark),
+            "shop",
+            list(topics),
+            state,
+            lambda view, messages: write_text(messages, topics[view]),
+            {f"{name}_{run}": column for name, column in ids.items()},
+        )
+        for result in results:
+            if result.error:
+                raise result.error
+    captured = []
+    for name, column in ids.items():
+        view = f"{name}_{run}"
+        spark.catalog.dropTempView(view)
+        schema = table(spark, sf_dir, name).schema
+        events = accepted(parse_envelope(spark.read.text(topics[view]), schema))
+        captured.append(
+            events.select(
+                F.split_part("source.table", F.lit("_"), F.lit(1)).alias("tab"),
+                F.col(f"after.{column}").alias("id"),
+            )
+        )
+    return reduce(DataFrame.unionByName, captured)
+
+
 def _stream(spark: SparkSession, lake: Lake, topic: str, progress: str, events: DataFrame) -> None:
     raw = lake.table("raw", "shop", "events")
     drain_to_raw(text_messages(spark, topic), raw, events.schema, progress)

@@ -150,8 +150,8 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_per_key(lines, ["key"]).select("key")
 
 
-@query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
-def drop_restricted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer", name="drop_restricted")
+def without_restricted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The third name does not exist and is ignored."""
     return drop_restricted(table(spark, sf_dir, "customer"), ["c_name", "c_acctbal", "c_phone"])
 

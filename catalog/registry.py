@@ -18,12 +18,12 @@ LOADED = "timestamp '2024-02-01 10:11:12'"
 TS_MS = 1_706_745_600_000
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a query under its function name, with its SQL."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name or ``name``, with its SQL."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        SQL[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        SQL[name or function.__name__] = sql
         return function
 
     return register

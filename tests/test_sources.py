@@ -36,6 +36,40 @@ def test_jdbc_table_options(spark):
     }
 
 
+class Database:
+    """Stands in for a session: notes reader options, answers the range query."""
+
+    def __init__(self, answer):
+        self.answer, self.asked = answer, []
+        self.read = self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        return self.answer
+
+
+def test_a_split_without_bounds_asks_the_database(spark):
+    database = Database(spark.createDataFrame([(3, 77)], "low_value int, high_value int"))
+    JdbcSource(database, URL, splits={"orders": Split("id", 8)}).table("orders")
+    asked, read = database.asked
+    assert asked["query"] == "SELECT MIN(id) AS low_value, MAX(id) AS high_value FROM orders"
+    assert (read["lowerBound"], read["upperBound"], read["numPartitions"]) == ("3", "77", "8")
+
+
+def test_an_empty_table_is_read_without_a_split(spark):
+    empty = spark.createDataFrame([(None, None)], "low_value int, high_value int")
+    database = Database(empty)
+    JdbcSource(database, URL, splits={"orders": Split("id", 8)}).table("orders")
+    assert "partitionColumn" not in database.asked[-1]
+
+
 def test_jdbc_query_is_passed_as_it_is(spark):
     options = JdbcSource(spark, URL).query_options("select 1")
     assert options["query"] == "select 1"
