@@ -8,10 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Above this many estimated bytes the source keys are shuffled, not broadcast.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 ROW_OVERHEAD = 96
+TEXTS = (T.StringType, T.BinaryType)
 
 
 @dataclass(frozen=True)
@@ -67,11 +69,14 @@ def upsert(
     the rest of ``lake``. Null keys never match, so both sides keep theirs.
 
     The result has the columns of ``lake``: extra source columns are ignored and
-    a missing one is an error. ``source`` must hold each key once; pass its
-    ``profile`` to have that checked and the join picked by size: small keys are
-    broadcast, so the target is not shuffled at all; otherwise only target rows
-    with a key enter the shuffle and the others bypass it. ``newer_than``
-    names a column that stops an older source row from replacing a newer one.
+    a missing one is an error. ``newer_than`` names a column that stops an older
+    source row from replacing a newer one.
+
+    ``source`` must hold each key once; pass its ``profile`` to have that checked
+    and the join picked by size. Keys within ``broadcast_limit`` bytes are
+    broadcast, and the target is not shuffled at all. Beyond it both sides are
+    shuffled by key; rows without a key bypass the shuffle, and a key that the
+    target repeats often is split by adaptive skew handling.
     """
     keys = list(keys)
     source = source.select(*[F.col(f"`{c}`") for c in lake.columns])
@@ -81,25 +86,20 @@ def upsert(
     )
     same_key = _and([F.col(k) == F.col(f"__s_{k}") for k in keys])
 
-    small = False
+    how = None
     if profile is not None:
         profile.require_unique(keys)
-        small = profile.key_bytes <= broadcast_limit
-    if small:
-        match = F.broadcast(match)
+        # The profile measures keys; a compared text could be of any length.
+        bounded = newer_than is None or not isinstance(source.schema[newer_than].dataType, TEXTS)
+        how = "broadcast" if bounded and profile.key_bytes <= broadcast_limit else "merge"
 
     if newer_than is None:
         replaced, fresh = same_key, source
     else:
         stored, offered = F.col(newer_than), F.col(f"__s_{newer_than}")
         replaced = same_key & ~_later(stored, offered)
-        fresh = _not_stale(lake, source, match, keys, newer_than, small)
-
-    if small:
-        kept = lake.join(match, replaced, "left_anti")
-    else:
-        kept = _without(lake, match, replaced, keys)
-    return kept.unionByName(fresh)
+        fresh = _not_stale(lake, source, match, keys, newer_than, how)
+    return _without(lake, match, replaced, keys, how).unionByName(fresh)
 
 
 def _later(one: Column, other: Column) -> Column:
@@ -113,31 +113,34 @@ def _not_stale(
     match: DataFrame,
     keys: list[str],
     newer_than: str,
-    small: bool,
+    how: str | None,
 ) -> DataFrame:
     """Source rows that the target has nothing newer for. The target is reduced
     to one value per key within partitions before it is shuffled."""
     stored = lake.filter(_all_present(keys)).select(*keys, newer_than)
-    if small:
-        stored = stored.join(match, _and([F.col(k) == F.col(f"__s_{k}") for k in keys]), "left_semi")
+    if how == "broadcast":
+        # Leaves at most one value per source key, so within the same bound.
+        same_key = _and([F.col(k) == F.col(f"__s_{k}") for k in keys])
+        stored = stored.join(F.broadcast(match), same_key, "left_semi")
     newest = (
         stored.groupBy(*keys)
         .agg(F.max(newer_than).alias("__newest"))
         .withColumnsRenamed({k: f"__l_{k}" for k in keys})
     )
-    if small:
-        # At most one row per source key, so within the same bound.
-        newest = F.broadcast(newest)
     stale = _and([F.col(k) == F.col(f"__l_{k}") for k in keys]) & _later(
         F.col("__newest"), F.col(newer_than)
     )
-    return _without(source, newest, stale, keys)
+    return _without(source, newest, stale, keys, how)
 
 
-def _without(left: DataFrame, right: DataFrame, on: Column, keys: Sequence[str]) -> DataFrame:
-    """Anti join in which rows without a key skip the shuffle: they match
-    nothing, and together they would land in one partition."""
-    if not any(left.schema[k].nullable for k in keys):
+def _without(
+    left: DataFrame, right: DataFrame, on: Column, keys: Sequence[str], how: str | None
+) -> DataFrame:
+    """Anti join. Unless ``right`` is broadcast, rows without a key skip it: they
+    match nothing, and a shuffle would put them all into one partition."""
+    if how is not None:
+        right = right.hint(how)
+    if how == "broadcast" or not any(left.schema[k].nullable for k in keys):
         return left.join(right, on, "left_anti")
     present = _all_present(keys)
     return left.filter(present).join(right, on, "left_anti").unionByName(left.filter(~present))

@@ -111,11 +111,8 @@ def test_small_keys_leave_the_target_unshuffled(spark, tmp_path):
     assert "BroadcastHashJoin" in small
     assert "Exchange hashpartitioning" not in small
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        large = plan(upsert(lake, source, ["k"], profile=profile, broadcast_limit=0))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The counted size decides, although these files look small to the optimizer.
+    large = plan(upsert(lake, source, ["k"], profile=profile, broadcast_limit=0))
     assert "Broadcast" not in large
     assert large.count("Exchange hashpartitioning") == 2
     # Only rows with a key are read for the join, the others in a scan of their own.
