@@ -35,7 +35,7 @@ from medallion.sources import (
     write_kafka,
     write_text,
 )
-from medallion.sources.tables import Split
+from medallion.sources.tables import RemainderSplit, Split
 from medallion.streaming import drain_to_raw
 
 
@@ -51,7 +51,9 @@ def parser() -> argparse.ArgumentParser:
     database = argparse.ArgumentParser(add_help=False)
     database.add_argument("--url", help="JDBC URL; without it tables of the catalog are read")
     database.add_argument("--driver")
-    database.add_argument("--split", action="append", default=[], metavar="TABLE:COLUMN:TASKS")
+    database.add_argument(
+        "--split", action="append", default=[], metavar="TABLE:COLUMN:TASKS[:remainder]"
+    )
     database.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
     topic = argparse.ArgumentParser(add_help=False)
@@ -90,6 +92,7 @@ def parser() -> argparse.ArgumentParser:
     run = jobs.add_parser("run", parents=[lake, database, topic])
     run.add_argument("--config", required=True, help="JSON or YAML file")
     run.add_argument("--progress", required=True, help="checkpoint folder of the streams")
+    run.add_argument("--at-once", type=int, default=1, help="tables to run side by side")
 
     words = jobs.add_parser("count-words")
     words.add_argument("--input", required=True)
@@ -162,6 +165,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         messages=lambda spec: _messages(spark, args, spec.topic, spec.servers),
         stream_checkpoints=args.progress,
         load_at=datetime.now(),
+        at_once=args.at_once,
     )
     _report([(r.spec.dataset, r.error) for r in runs])
 
@@ -193,8 +197,9 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> CatalogSource | Jd
         return CatalogSource(spark)
     splits = {}
     for text in args.split:
-        table, column, tasks = text.split(":")
-        splits[table] = Split(column, int(tasks))
+        table, column, tasks, *how = text.split(":")
+        kind = RemainderSplit if how == ["remainder"] else Split
+        splits[table] = kind(column, int(tasks))
     return JdbcSource(spark, args.url, args.driver, _pairs(args.option), splits)
 
 

@@ -38,6 +38,11 @@ def envelope_schema(schema: T.StructType | str) -> T.StructType:
     )
 
 
+def event_schema(schema: T.StructType | str) -> T.StructType:
+    """Envelope fields and ``rejected``: the columns of a raw table of events."""
+    return T.StructType([*envelope_schema(schema), T.StructField(REJECTED, T.StringType())])
+
+
 def build_envelope(df: DataFrame, database: str, table: str, ts_ms: int) -> Column:
     """JSON text of one insert event per row of ``df``.
 
@@ -84,9 +89,10 @@ def parse_envelope(df: DataFrame, schema: T.StructType | str, column: str = "val
     through in one scan and no message is lost.
     """
     fields = envelope_schema(schema)
-    parsed = T.StructType([*fields, T.StructField(REJECTED, T.StringType())])
     # Nullability is checked below; the JSON reader itself does not enforce it.
-    event = F.from_json(F.col(column), parsed, {"columnNameOfCorruptRecord": REJECTED})
+    event = F.from_json(
+        F.col(column), event_schema(schema), {"columnNameOfCorruptRecord": REJECTED}
+    )
     # Generated columns are computed once per message: as plain expressions the
     # parser would run again for a filter on its result.
     rows = df.select(F.col(column).alias("__text"), F.inline(F.array(event)))

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from medallion.functions.dates import date_columns, guard_dates, with_load_timestamp
 from medallion.functions.keys import surrogate_key
 from medallion.operators.columns import drop_restricted
 from medallion.operators.dedup import latest_per_key, one_per_key
-from medallion.operators.envelope import accepted, flatten, rejected
+from medallion.operators.envelope import accepted, event_schema, flatten, rejected
 from medallion.operators.upsert import profile_source
 from medallion.plans.spec import TableSpec
 from medallion.sources.lake import DeltaTable, Lake, ParquetTable
@@ -20,10 +21,23 @@ from medallion.sources.scratch import staged
 KEY = "key"
 
 
-def read_raw(lake: Lake, namespace: str, dataset: str, from_events: bool) -> DataFrame:
-    """Rows of a raw table: after-images if it holds change events, else as is."""
-    rows = lake.read("raw", namespace, dataset)
-    return flatten(accepted(rows)) if from_events else rows
+def read_raw(
+    lake: Lake,
+    namespace: str,
+    dataset: str,
+    from_events: bool,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Rows of a raw table: after-images if it holds change events, else as is.
+
+    ``schema`` are the table's columns now. Batches written before a column was
+    added have null in it; without a schema one of the files decides.
+    """
+    raw = lake.table("raw", namespace, dataset)
+    if not from_events:
+        return raw.read(schema)
+    events = raw.read(None if schema is None else event_schema(schema))
+    return flatten(accepted(events))
 
 
 def read_quarantine(lake: Lake, namespace: str, dataset: str) -> DataFrame:
@@ -65,7 +79,8 @@ def refine(lake: Lake, spec: TableSpec, load_at: datetime | None = None) -> None
     The refined rows are computed once: a replaced trusted zone is read from the
     safe zone just written, and a merge reads a stored copy.
     """
-    raw = read_raw(lake, spec.namespace, spec.dataset, from_events=spec.topic is not None)
+    from_events = spec.topic is not None
+    raw = read_raw(lake, spec.namespace, spec.dataset, from_events, spec.schema)
     rows = refine_frame(
         raw, spec.table_key, spec.checkpoint_column, spec.separator, load_at, spec.tie_break
     )

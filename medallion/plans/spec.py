@@ -64,6 +64,9 @@ def specs_from_config(config: Mapping[str, Mapping[str, Any]]) -> list[TableSpec
                     custom_query=entry.get("custom_query"),
                     separator=entry.get("enable_hyphen_separator", False),
                     merge=entry.get("delta_format", False),
+                    newer_than=entry.get("newer_than"),
+                    on_null_key=entry.get("on_null_key", "keep"),
+                    tie_break=tuple(entry["tie_break"]) if entry.get("tie_break") else None,
                 )
             )
     return specs

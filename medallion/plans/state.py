@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -15,9 +16,10 @@ from medallion.sources.lake import DeltaTable, ParquetTable
 
 @dataclass(frozen=True)
 class CheckpointState:
-    """Greatest checkpoint value per dataset."""
+    """Greatest checkpoint value per dataset. Jobs of one driver may share it."""
 
     table: ParquetTable | DeltaTable
+    lock: Lock = field(default_factory=Lock, repr=False, compare=False)
 
     def value(self, namespace: str, dataset: str) -> datetime | None:
         if not self.table.exists():
@@ -31,8 +33,9 @@ class CheckpointState:
 
     def upsert(self, rows: DataFrame) -> None:
         """Insert rows of new keys, update those of known keys, keep the rest."""
-        self.table.merge(rows, ["key_column"])
-        self.table.expire()
+        with self.lock:
+            self.table.merge(rows, ["key_column"])
+            self.table.expire()
 
 
 @dataclass(frozen=True)

@@ -19,6 +19,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -209,8 +210,12 @@ class DeltaTable:
         lake = self.read()
         if set(drop) & set(lake.columns):
             self.replace(lake.drop(*drop))
-        source.createOrReplaceTempView("medallion_merge_source")
-        self.spark.sql(merge_statement(self.path, "medallion_merge_source", keys, newer_than))
+        view = f"merge_source_{uuid4().hex}"
+        source.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(merge_statement(self.path, view, keys, newer_than))
+        finally:
+            self.spark.catalog.dropTempView(view)
 
     def expire(self, hours: float = RETENTION_HOURS) -> list[str]:
         self.spark.sql(f"VACUUM delta.`{self.path}` RETAIN {hours} HOURS")

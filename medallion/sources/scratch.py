@@ -19,7 +19,7 @@ def new_scratch(spark: SparkSession, label: str) -> str:
     this machine is used only by a local master that names no folder."""
     root = spark.conf.get(SHARED_FOLDER, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {SHARED_FOLDER} to a folder that every executor can reach")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/medallion-{label}-{uuid4().hex}"

@@ -36,7 +36,7 @@ class CatalogSource:
 
 @dataclass(frozen=True)
 class Split:
-    """Parallel read of one table: ``tasks`` ranges of ``column``. The bounds
+    """Parallel read of one table in ``tasks`` ranges of ``column``. The bounds
     only shape the ranges, rows outside them are read too; without them they
     are asked from the database."""
 
@@ -46,6 +46,21 @@ class Split:
     upper: Any = None
 
 
+@dataclass(frozen=True)
+class RemainderSplit:
+    """Parallel read by the remainder of an integer ``column``: tasks of equal
+    size also where most ids crowd in one range. Each task may cost the database
+    a full scan."""
+
+    column: str
+    tasks: int
+
+    def predicates(self) -> list[str]:
+        column = _identifier(self.column)
+        parts = [f"ABS(MOD({column}, {self.tasks})) = {i}" for i in range(self.tasks)]
+        return [f"{parts[0]} OR {column} IS NULL", *parts[1:]]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Tables of a database. Predicates and column choice on the returned frame
@@ -55,7 +70,7 @@ class JdbcSource:
     url: str
     driver: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
-    splits: Mapping[str, Split] = field(default_factory=dict)
+    splits: Mapping[str, Split | RemainderSplit] = field(default_factory=dict)
 
     def common_options(self) -> dict[str, str]:
         chosen = {"url": self.url, "fetchsize": FETCH_SIZE}
@@ -79,6 +94,12 @@ class JdbcSource:
 
     def table(self, name: str) -> DataFrame:
         split = self.splits.get(name)
+        if isinstance(split, RemainderSplit):
+            properties = self.common_options()
+            url = properties.pop("url")
+            return self.spark.read.jdbc(
+                url, _identifier(name), predicates=split.predicates(), properties=properties
+            )
         if split is not None and split.lower is None:
             split = self._bounded(name, split)
         reader = self.spark.read.format("jdbc")

@@ -19,7 +19,10 @@ def people(spark):
 def test_table_to_topic_to_zones(spark, tmp_path, people):
     root, topic = f"{tmp_path}/", f"{tmp_path}/topic"
     where = ["--namespace", "shop", "--dataset", "people"]
-    main(["capture", "--root", root, "--database", "db", "--table", people, "--topic", topic], spark)
+    main(
+        ["capture", "--root", root, "--database", "db", "--table", people, "--topic", topic],
+        spark,
+    )
     main(
         ["ingest-events", "--root", root, *where, "--topic", topic, "--schema", EVENTS,
          "--progress", f"{tmp_path}/progress"],

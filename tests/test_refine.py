@@ -2,8 +2,16 @@ from datetime import date, datetime
 from hashlib import md5
 
 import pytest
-from medallion.plans import TableSpec, refine, refine_frame, run_tables, specs_from_config
-from medallion.plans import CheckpointState
+from medallion.operators import build_envelope, parse_envelope
+from medallion.operators.envelope import table_schema
+from medallion.plans import (
+    CheckpointState,
+    TableSpec,
+    refine,
+    refine_frame,
+    run_tables,
+    specs_from_config,
+)
 from medallion.sources import CatalogSource, text_messages
 
 AT = datetime(2024, 2, 1, 10, 11, 12)
@@ -214,7 +222,8 @@ def test_specs_from_config():
     assert comments.ignore_columns == ("phone",)
 
 
-def test_one_failing_table_does_not_stop_the_run(spark, lake, folder):
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_one_failing_table_does_not_stop_the_run(spark, lake, folder, at_once):
     topic = folder("topic")
     spark.createDataFrame(
         [('{"after": {"id": 1, "at": "2024-01-01T00:00:00"}}',)], "value string"
@@ -223,7 +232,7 @@ def test_one_failing_table_does_not_stop_the_run(spark, lake, folder):
     specs = [
         TableSpec("shop", "missing", ("id",)),
         TableSpec("shop", "t_events", ("id",), "at", topic="t",
-                  schema=specs_schema("id int, at timestamp_ntz")),
+                  schema=table_schema("id int, at timestamp_ntz")),
         TableSpec("shop", "t_rows", ("id",), "at", merge=True),
     ]
     runs = run_tables(
@@ -234,6 +243,7 @@ def test_one_failing_table_does_not_stop_the_run(spark, lake, folder):
         messages=lambda s: text_messages(spark, topic),
         stream_checkpoints=folder("progress"),
         load_at=AT,
+        at_once=at_once,
     )
     spark.catalog.dropTempView("t_rows")
     assert [r.spec.dataset for r in runs if r.error] == ["missing"]
@@ -241,7 +251,40 @@ def test_one_failing_table_does_not_stop_the_run(spark, lake, folder):
     assert lake.read("trusted", "shop", "t_rows").first().id == 2
 
 
-def specs_schema(ddl):
-    from pyspark.sql import types as T
-
-    return T.StructType.fromDDL(ddl)
+def test_tables_side_by_side_share_the_checkpoints(spark, lake, folder):
+    names = [f"side_{i}" for i in range(6)]
+    for i, name in enumerate(names):
+        one = spark.sql(f"SELECT {i} AS id, timestamp_ntz'2024-01-0{i + 1}' AS at")
+        one.createOrReplaceTempView(name)
+    state = CheckpointState(lake.table("state", "ingest", "checkpoints"))
+    runs = run_tables(
+        lake,
+        [TableSpec("shop", name, ("id",), "at") for name in names],
+        state,
+        source=lambda s: CatalogSource(spark),
+        messages=lambda s: None,
+        stream_checkpoints=folder("progress"),
+        at_once=6,
+    )
+    for name in names:
+        spark.catalog.dropTempView(name)
+    assert [r.error for r in runs] == [None] * 6
+    assert [state.value("shop", name) for name in names] == [day(i + 1) for i in range(6)]
+
+
+@pytest.mark.parametrize("topic", [None, "t"])
+def test_batches_from_before_a_column_was_added(spark, lake, topic):
+    def land(batch_id, ddl, values):
+        rows = spark.createDataFrame([values], ddl)
+        if topic:
+            text = rows.select(build_envelope(rows, "db", "people", 1).alias("value"))
+            rows = parse_envelope(text, ddl)
+        lake.table("raw", "shop", "people").add_batch(rows, "r", batch_id)
+
+    land(0, "id int, at timestamp_ntz", (1, day(1)))
+    land(1, "id int, name string, at timestamp_ntz", (2, "b", day(2)))
+    land(2, "id int, at timestamp_ntz", (3, day(3)))
+    now = table_schema("id int, name string, at timestamp_ntz")
+    refine(lake, spec(ignore_columns=(), topic=topic, schema=now), AT)
+    found = zone(lake, "trusted").select("id", "name").collect()
+    assert sorted(map(tuple, found)) == [(1, None), (2, "b"), (3, None)]

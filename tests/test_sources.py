@@ -1,7 +1,7 @@
 import pytest
 from medallion.sources import CatalogSource, JdbcSource
 from medallion.sources.messages import kafka_options
-from medallion.sources.tables import Split
+from medallion.sources.tables import RemainderSplit, Split
 
 URL = "jdbc:db:somewhere"
 
@@ -54,6 +54,10 @@ class Database:
     def load(self):
         return self.answer
 
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append({"url": url, "table": table, "predicates": predicates, **properties})
+        return self.answer
+
 
 def test_a_split_without_bounds_asks_the_database(spark):
     database = Database(spark.createDataFrame([(3, 77)], "low_value int, high_value int"))
@@ -70,6 +74,22 @@ def test_an_empty_table_is_read_without_a_split(spark):
     assert "partitionColumn" not in database.asked[-1]
 
 
+def test_remainders_cover_every_id_once(spark):
+    ids = spark.range(-20, 20).selectExpr("id").union(spark.sql("SELECT CAST(NULL AS bigint)"))
+    predicates = RemainderSplit("id", 4).predicates()
+    parts = [ids.filter(p).count() for p in predicates]
+    assert sum(parts) == 41
+    assert max(parts) <= 21
+
+    database = Database(ids)
+    splits = {"orders": RemainderSplit("id", 4)}
+    JdbcSource(database, URL, "a.Driver", splits=splits).table("orders")
+    assert database.asked == [
+        {"url": URL, "table": "orders", "predicates": predicates, "driver": "a.Driver",
+         "fetchsize": "10000"}
+    ]
+
+
 def test_jdbc_query_is_passed_as_it_is(spark):
     options = JdbcSource(spark, URL).query_options("select 1")
     assert options["query"] == "select 1"
