@@ -4,8 +4,10 @@ at a time, or one join strategy with another. Prints rows per second."""
 from __future__ import annotations
 
 import os
+import tempfile
 import time
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from bench import session
@@ -29,8 +31,13 @@ def clock(action) -> float:
 
 
 def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = session(os.environ.get("BENCH_CPUS", str(os.cpu_count())))
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        spark = session(os.environ.get("BENCH_CPUS", str(os.cpu_count())), shared)
+        compare(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"))
+        spark.stop()
+
+
+def compare(spark: SparkSession, sf_dir: str) -> None:
     events = table(spark, sf_dir, "events")
     count = events.count()
 
@@ -77,7 +84,6 @@ def main() -> None:
         plan = upsert(target, few, ["key"], profile=profile, broadcast_limit=limit)
         seconds = clock(lambda: plan.write.format("noop").mode("overwrite").save())
         report(f"upsert of {profile.rows:,} rows, {name}", target.count(), seconds)
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -108,45 +108,61 @@ def cdc_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(accepted(parse_envelope(spark.read.text(topic), orders.schema)))
 
 
-@query("""
-    SELECT 'customer' AS tab, c_custkey AS id FROM customer WHERE c_custkey > 0
-    UNION ALL SELECT 'part', p_partkey FROM part WHERE p_partkey > 0
-    UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_suppkey > 0""")
-def cdc_capture_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several tables to a topic each, one after the other, twice."""
-    ids = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+IDS = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+
+
+def _capture_twice(spark: SparkSession, sf_dir: str) -> tuple[KeysetState, dict[str, str]]:
+    """Poll three tables to a topic each, two times; the second finds nothing."""
     state = KeysetState(new_lake(spark).table("state", "capture", "keysets"))
     run = uuid4().hex
-    topics = {f"{name}_{run}": new_scratch(spark, "topic") for name in ids}
-    for name in ids:
-        table(spark, sf_dir, name).createOrReplaceTempView(f"{name}_{run}")
+    topics = {name: new_scratch(spark, "topic") for name in IDS}
+    views = {f"{name}_{run}": name for name in IDS}
+    for view, name in views.items():
+        table(spark, sf_dir, name).createOrReplaceTempView(view)
     for _ in range(2):
         results = capture_all(
             CatalogSource(spark),
             "shop",
-            list(topics),
+            list(views),
             state,
-            lambda view, messages: write_text(messages, topics[view]),
-            {f"{name}_{run}": column for name, column in ids.items()},
+            lambda view, messages: write_text(messages, topics[views[view]]),
+            {view: IDS[name] for view, name in views.items()},
         )
         for result in results:
             if result.error:
                 raise result.error
-    captured = []
-    for name, column in ids.items():
-        view = f"{name}_{run}"
+    for view in views:
         spark.catalog.dropTempView(view)
+    return state, topics
+
+
+@query("""
+    SELECT 'customer' AS tab, c_custkey AS id FROM customer WHERE c_custkey > 0
+    UNION ALL SELECT 'part', p_partkey FROM part WHERE p_partkey > 0
+    UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_suppkey > 0""")
+def cdc_capture_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the topics hold."""
+    _, topics = _capture_twice(spark, sf_dir)
+    captured = []
+    for name, topic in topics.items():
         schema = table(spark, sf_dir, name).schema
-        events = accepted(parse_envelope(spark.read.text(topics[view]), schema))
-        captured.append(
-            events.select(
-                F.split_part("source.table", F.lit("_"), F.lit(1)).alias("tab"),
-                F.col(f"after.{column}").alias("id"),
-            )
-        )
+        events = accepted(parse_envelope(spark.read.text(topic), schema))
+        tab = F.split_part("source.table", F.lit("_"), F.lit(1))
+        captured.append(events.select(tab.alias("tab"), F.col(f"after.{IDS[name]}").alias("id")))
     return reduce(DataFrame.unionByName, captured)
 
 
+@query("""
+    SELECT 'customer' AS tab, max(c_custkey) AS last_processed_id FROM customer
+    UNION ALL SELECT 'part', max(p_partkey) FROM part
+    UNION ALL SELECT 'supplier', max(s_suppkey) FROM supplier""")
+def cdc_capture_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the next poll starts."""
+    state, _ = _capture_twice(spark, sf_dir)
+    tab = F.split_part("key_column", F.lit("_"), F.lit(1))
+    return state.table.read().select(tab.alias("tab"), "last_processed_id")
+
+
 def _stream(spark: SparkSession, lake: Lake, topic: str, progress: str, events: DataFrame) -> None:
     raw = lake.table("raw", "shop", "events")
     drain_to_raw(text_messages(spark, topic), raw, events.schema, progress)

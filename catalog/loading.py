@@ -14,7 +14,14 @@ from catalog.registry import LOAD_AT, LOADED, new_lake, query, table, wall_clock
 from medallion.functions import checkpoint_key
 from medallion.operators import largest, lookup, rows_after, rows_since, to_state
 from medallion.plans import CheckpointState, TableSpec, ingest_table, run_tables
-from medallion.sources import CatalogSource, Lake, new_scratch, text_messages, write_text
+from medallion.sources import (
+    CatalogSource,
+    Lake,
+    new_scratch,
+    staged,
+    text_messages,
+    write_text,
+)
 
 NEW_YEAR = "1998-01-01 00:00:00"
 
@@ -82,7 +89,9 @@ def checkpoint_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = F.col("o_orderdate") < F.lit(NEW_YEAR).cast("timestamp_ntz")
     state = _checkpoints(new_lake(spark))
     for increment in (orders.filter(early), orders.filter(~early)):
-        state.upsert(to_state(increment, "orders", "o_custkey", "o_orderdate"))
+        latest = to_state(increment, "orders", "o_custkey", "o_orderdate")
+        with staged(spark, latest, "state") as rows:
+            state.upsert(rows)
     return state.table.read()
 
 
@@ -97,23 +106,40 @@ def ingest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lake.read("raw", "shop", view)
 
 
-@query("""
-    SELECT * FROM orders WHERE o_orderdate < '1998-01-01'
-    UNION ALL
-    SELECT * FROM orders WHERE o_orderdate >= (
-        SELECT max(o_orderdate) FROM orders WHERE o_orderdate < '1998-01-01')""")
-def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs while the table grows: the second reads from the first one's
-    checkpoint on, rows equal to it once more."""
+def _ingest_twice(spark: SparkSession, sf_dir: str, lake: Lake) -> str:
+    """Two runs while the table grows."""
     orders = table(spark, sf_dir, "orders")
     early = F.col("o_orderdate") < F.lit(NEW_YEAR).cast("timestamp_ntz")
-    lake = new_lake(spark)
     with _view(spark) as view:
         spec = TableSpec("shop", view, ("o_orderkey",), checkpoint_column="o_orderdate")
         for so_far in (orders.filter(early), orders):
             so_far.createOrReplaceTempView(view)
             ingest_table(lake, CatalogSource(spark), spec, _checkpoints(lake))
-        return lake.read("raw", "shop", view)
+        return view
+
+
+@query("""
+    SELECT * FROM orders WHERE o_orderdate < '1998-01-01'
+    UNION ALL
+    SELECT * FROM orders WHERE o_orderdate >= (
+        SELECT max(o_orderdate) FROM orders WHERE o_orderdate < '1998-01-01')""")
+def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run reads from the first one's checkpoint on, rows equal to it
+    once more."""
+    lake = new_lake(spark)
+    return lake.read("raw", "shop", _ingest_twice(spark, sf_dir, lake))
+
+
+@query("""
+    SELECT 'shop' AS namespace, 'o_orderdate' AS checkpoint_column,
+           max(o_orderdate) AS last_timestamp
+    FROM orders""")
+def ingest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state two runs leave behind."""
+    lake = new_lake(spark)
+    _ingest_twice(spark, sf_dir, lake)
+    state = _checkpoints(lake).table.read()
+    return state.select("namespace", "checkpoint_column", "last_timestamp")
 
 
 @query("""

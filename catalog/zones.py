@@ -72,14 +72,7 @@ def trusted_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(_refined_customers(spark, sf_dir).read("trusted", "shop", "customer"))
 
 
-@query(f"""
-    SELECT event_id, ts, user_id, event_type, value,
-           md5(CAST(user_id AS varchar)) AS key, {LOADED} AS timestamp_kafka
-    FROM (SELECT *, row_number() OVER (
-              PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
-          FROM events)
-    WHERE rn = 1""")
-def trusted_zone_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _refined_twice(spark: SparkSession, sf_dir: str) -> Lake:
     """Raw grows between two refinements; the second one merges into both zones."""
     events = table(spark, sf_dir, "events")
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
@@ -95,7 +88,51 @@ def trusted_zone_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     for arriving in (events.filter(early), events.filter(~early)):
         lake.write(arriving, "raw", "shop", "events")
         refine(lake, spec, LOAD_AT)
-    return wall_clock(lake.read("trusted", "shop", "events"))
+    return lake
+
+
+MERGED_SQL = f"""
+    SELECT * EXCLUDE (rn), md5(CAST(user_id AS varchar)) AS key, {LOADED} AS timestamp_kafka
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+          FROM events)
+    WHERE rn = 1"""
+
+
+@query(MERGED_SQL)
+def safe_zone_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wall_clock(_refined_twice(spark, sf_dir).read("safe", "shop", "events"))
+
+
+@query(f"SELECT * EXCLUDE (props) FROM ({MERGED_SQL})")
+def trusted_zone_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wall_clock(_refined_twice(spark, sf_dir).read("trusted", "shop", "events"))
+
+
+@query(f"""
+    SELECT * EXCLUDE (rn, l_tax),
+           md5(CAST(l_orderkey AS varchar) || CAST(l_linenumber AS varchar)) AS key,
+           {LOADED} AS timestamp_kafka
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY l_orderkey, l_linenumber
+              ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC,
+                       l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC,
+                       l_returnflag DESC, l_linestatus DESC) AS rn
+          FROM lineitem)
+    WHERE rn = 1""")
+def trusted_zone_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two key columns without a separator; ties broken by all columns."""
+    lake = new_lake(spark)
+    lake.write(table(spark, sf_dir, "lineitem"), "raw", "shop", "lineitem")
+    spec = TableSpec(
+        namespace="shop",
+        dataset="lineitem",
+        table_key=("l_orderkey", "l_linenumber"),
+        checkpoint_column="l_shipdate",
+        ignore_columns=("l_tax",),
+    )
+    refine(lake, spec, LOAD_AT)
+    return wall_clock(lake.read("trusted", "shop", "lineitem"))
 
 
 @query("SELECT *, 1 AS versions FROM events WHERE event_type <> 'error'")
