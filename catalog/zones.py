@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import LOAD_AT, LOADED, new_lake, query, table, wall_clock
-from medallion.plans import TableSpec, refine
+from medallion.plans import RefinedState, TableSpec, refine, refine_new
 from medallion.sources import Lake
 
 
@@ -145,3 +145,24 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.replace(target.read().filter(F.col("event_type") != "error"))
     target.expire(hours=0)
     return target.read().withColumn("versions", F.lit(len(target.versions())))
+
+
+@query(MERGED_SQL)
+def safe_zone_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches arrive newest first; each refinement merges the new one only."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    spec = TableSpec(
+        namespace="shop",
+        dataset="events",
+        table_key=("user_id",),
+        checkpoint_column="ts",
+        ignore_columns=("props",),
+        merge=True,
+    )
+    lake = new_lake(spark)
+    state = RefinedState(lake.table("state", "refine", "batches"))
+    for number, arriving in enumerate((events.filter(~early), events.filter(early))):
+        lake.table("raw", "shop", "events").add_batch(arriving, "backfill", number)
+        refine_new(lake, spec, state, LOAD_AT)
+    return wall_clock(lake.read("safe", "shop", "events"))

@@ -19,10 +19,12 @@ from medallion.operators.envelope import table_schema
 from medallion.plans import (
     CheckpointState,
     KeysetState,
+    RefinedState,
     TableSpec,
     capture_all,
     ingest_table,
     refine,
+    refine_new,
     run_tables,
     specs_from_config,
 )
@@ -86,12 +88,14 @@ def parser() -> argparse.ArgumentParser:
     refining.add_argument("--hyphen-separator", action="store_true")
     refining.add_argument("--merge", action="store_true")
     refining.add_argument("--newer-than")
+    refining.add_argument("--only-new", action="store_true", help="merge new raw batches only")
     refining.add_argument("--topic", help="raw holds change events of this topic")
     refining.add_argument("--schema", help="DDL or schema JSON of the table")
 
     run = jobs.add_parser("run", parents=[lake, database, topic])
     run.add_argument("--config", required=True, help="JSON or YAML file")
     run.add_argument("--progress", required=True, help="checkpoint folder of the streams")
+    run.add_argument("--only-new", action="store_true", help="merge new raw batches only")
     run.add_argument("--at-once", type=int, default=1, help="tables to run side by side")
 
     words = jobs.add_parser("count-words")
@@ -152,7 +156,11 @@ def _refine(spark: SparkSession, args: argparse.Namespace) -> None:
         merge=args.merge,
         newer_than=args.newer_than,
     )
-    refine(_lake(spark, args), spec)
+    lake = _lake(spark, args)
+    if args.only_new:
+        refine_new(lake, spec, _refined(lake))
+    else:
+        refine(lake, spec)
 
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -166,6 +174,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         stream_checkpoints=args.progress,
         load_at=datetime.now(),
         at_once=args.at_once,
+        refined=_refined(lake) if args.only_new else None,
     )
     _report([(r.spec.dataset, r.error) for r in runs])
 
@@ -192,6 +201,10 @@ def _checkpoints(lake: Lake) -> CheckpointState:
     return CheckpointState(lake.table("state", "ingest", "checkpoints"))
 
 
+def _refined(lake: Lake) -> RefinedState:
+    return RefinedState(lake.table("state", "refine", "batches"))
+
+
 def _source(spark: SparkSession, args: argparse.Namespace) -> CatalogSource | JdbcSource:
     if not args.url:
         return CatalogSource(spark)

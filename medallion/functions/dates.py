@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Name of the load timestamp, first year that is taken for real.
 LOAD_COLUMN = "timestamp_kafka"
 FIRST_VALID_YEAR = 10
+
 GUARDED_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Text between key parts, name of a stored checkpoint.
+SEPARATOR = "-"
+CHECKPOINT_KEY = "prd_raw_{namespace}_{dataset}"
+
 
 def surrogate_key(
     columns: Sequence[str], separator: bool = False, null_token: str | None = None
@@ -24,9 +28,9 @@ def surrogate_key(
     parts = [F.col(c).cast("string") for c in columns]
     if null_token is not None:
         parts = [F.coalesce(p, F.lit(null_token)) for p in parts]
-    return F.md5(F.concat_ws("-", *parts) if separator else F.concat(*parts))
+    return F.md5(F.concat_ws(SEPARATOR, *parts) if separator else F.concat(*parts))
 
 
 def checkpoint_key(namespace: str, dataset: str) -> str:
     """Name under which a dataset's checkpoint is stored."""
-    return f"prd_raw_{namespace}_{dataset}"
+    return CHECKPOINT_KEY.format(namespace=namespace, dataset=dataset)

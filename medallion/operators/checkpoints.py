@@ -21,6 +21,7 @@ STATE_SCHEMA = (
     "namespace string, table_name string, key_column string, "
     "checkpoint_column string, last_timestamp timestamp_ntz"
 )
+REFINED_SCHEMA = "key_column string, batch string"
 KEYSET_SCHEMA = "key_column string, last_processed_id bigint"
 
 

@@ -15,6 +15,7 @@ from medallion.operators.dedup import latest_per_key, one_per_key
 from medallion.operators.envelope import accepted, event_schema, flatten, rejected
 from medallion.operators.upsert import profile_source
 from medallion.plans.spec import TableSpec
+from medallion.plans.state import RefinedState
 from medallion.sources.lake import DeltaTable, Lake, ParquetTable
 from medallion.sources.scratch import staged
 
@@ -81,16 +82,48 @@ def refine(lake: Lake, spec: TableSpec, load_at: datetime | None = None) -> None
     """
     from_events = spec.topic is not None
     raw = read_raw(lake, spec.namespace, spec.dataset, from_events, spec.schema)
-    rows = refine_frame(
+    _land(lake, spec, _refined(raw, spec, load_at), spec.newer_than)
+
+
+def refine_new(
+    lake: Lake, spec: TableSpec, state: RefinedState, load_at: datetime | None = None
+) -> list[str]:
+    """Merge only the raw batches that no earlier call has refined, so that a run
+    costs what has arrived and not what is stored. Returns their names.
+
+    The checkpoint column keeps an older row from replacing a newer one, so the
+    zones hold what a full refinement would merge; rows that did not change keep
+    their load timestamp. A batch counts as refined after both zones have it.
+    """
+    if not spec.merge or not spec.checkpoint_column:
+        raise ValueError(f"{spec.dataset}: new batches need merge and a checkpoint column")
+    table = lake.table("raw", spec.namespace, spec.dataset)
+    batches = state.pending(table, spec.namespace, spec.dataset)
+    if not batches:
+        return []
+    if spec.topic is None:
+        raw = table.read_batches(batches, spec.schema)
+    else:
+        raw = flatten(accepted(table.read_batches(batches, event_schema(spec.schema))))
+    _land(lake, spec, _refined(raw, spec, load_at), spec.checkpoint_column)
+    state.add(spec.namespace, spec.dataset, batches)
+    return batches
+
+
+def _refined(raw: DataFrame, spec: TableSpec, load_at: datetime | None) -> DataFrame:
+    return refine_frame(
         raw, spec.table_key, spec.checkpoint_column, spec.separator, load_at, spec.tie_break
     )
+
+
+def _land(lake: Lake, spec: TableSpec, rows: DataFrame, newer_than: str | None) -> None:
     hidden = spec.ignore_columns
     trusted = lake.table("trusted", spec.namespace, spec.dataset)
     safe = lake.table("safe", spec.namespace, spec.dataset) if hidden else None
 
     existing = trusted.exists() or (safe is not None and safe.exists())
     if spec.merge and (existing or spec.on_null_key == "reject"):
-        _merge(spec, rows, safe, trusted)
+        _merge(spec, rows, safe, trusted, newer_than)
     elif safe is None:
         trusted.replace(rows)
     else:
@@ -103,6 +136,7 @@ def _merge(
     rows: DataFrame,
     safe: ParquetTable | DeltaTable | None,
     trusted: ParquetTable | DeltaTable,
+    newer_than: str | None,
 ) -> None:
     hidden = spec.ignore_columns
     with staged(trusted.spark, rows, spec.dataset) as source:
@@ -110,8 +144,8 @@ def _merge(
         if spec.on_null_key == "reject" and profile.null_key_rows:
             raise ValueError(f"{spec.dataset}: {profile.null_key_rows} rows have no key")
         if safe is not None:
-            safe.merge(source, [KEY], spec.newer_than, profile=profile)
+            safe.merge(source, [KEY], newer_than, profile=profile)
             safe.expire()
         visible = drop_restricted(source, hidden)
-        trusted.merge(visible, [KEY], spec.newer_than, drop=hidden, profile=profile)
+        trusted.merge(visible, [KEY], newer_than, drop=hidden, profile=profile)
         trusted.expire()

@@ -10,9 +10,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from medallion.plans.ingest import ingest_table
-from medallion.plans.refine import refine
+from medallion.plans.refine import refine, refine_new
 from medallion.plans.spec import TableSpec
-from medallion.plans.state import CheckpointState
+from medallion.plans.state import CheckpointState, RefinedState
 from medallion.sources.lake import Lake
 from medallion.sources.tables import TableSource
 from medallion.streaming.ingest import drain_to_raw
@@ -33,11 +33,13 @@ def run_tables(
     stream_checkpoints: str,
     load_at: datetime | None = None,
     at_once: int = 1,
+    refined: RefinedState | None = None,
 ) -> list[TableRun]:
     """Per table: drain its topic if it has one, else read its database, then
     refine. Tables are independent: one that fails is reported in its result
     and does not stop the others. ``at_once`` tables run side by side, so that
-    small ones do not leave a cluster idle."""
+    small ones do not leave a cluster idle. With ``refined``, tables that merge
+    by a checkpoint column refine their new batches only."""
 
     def run(spec: TableSpec) -> TableRun:
         try:
@@ -50,7 +52,10 @@ def run_tables(
                 )
             else:
                 ingest_table(lake, source(spec), spec, state)
-            refine(lake, spec, load_at)
+            if refined is not None and spec.merge and spec.checkpoint_column:
+                refine_new(lake, spec, refined, load_at)
+            else:
+                refine(lake, spec, load_at)
             return TableRun(spec)
         except Exception as error:  # noqa: BLE001 - handed to the caller
             return TableRun(spec, error)

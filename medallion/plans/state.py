@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from medallion.functions.keys import checkpoint_key
-from medallion.operators.checkpoints import KEYSET_SCHEMA, checkpoint_rows, last_value
+from medallion.operators.checkpoints import (
+    KEYSET_SCHEMA,
+    REFINED_SCHEMA,
+    checkpoint_rows,
+    last_value,
+)
 from medallion.sources.lake import DeltaTable, ParquetTable
 
 
@@ -54,3 +61,29 @@ class KeysetState:
         row = self.table.spark.createDataFrame([(name, value)], KEYSET_SCHEMA)
         self.table.merge(row, ["key_column"])
         self.table.expire()
+
+
+@dataclass(frozen=True)
+class RefinedState:
+    """Raw batches whose rows have reached the zones. Jobs of one driver may
+    share it."""
+
+    table: ParquetTable | DeltaTable
+    lock: Lock = field(default_factory=Lock, repr=False, compare=False)
+
+    def pending(self, raw: ParquetTable, namespace: str, dataset: str) -> list[str]:
+        """Complete batches of a raw table that are still to be refined."""
+        done = set()
+        if self.table.exists():
+            key = checkpoint_key(namespace, dataset)
+            rows = self.table.read().filter(F.col("key_column") == key).select("batch")
+            done = {row.batch for row in rows.collect()}
+        return [b for b in raw.batches() if b not in done and raw.is_complete(b)]
+
+    def add(self, namespace: str, dataset: str, batches: Sequence[str]) -> None:
+        key = checkpoint_key(namespace, dataset)
+        rows = [(key, batch) for batch in batches]
+        with self.lock:
+            frame = self.table.spark.createDataFrame(rows, REFINED_SCHEMA)
+            self.table.merge(frame, ["key_column", "batch"])
+            self.table.expire()

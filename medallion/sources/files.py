@@ -32,6 +32,11 @@ def entries(spark: SparkSession, path: str) -> list[Entry]:
     ]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, handle = _open(spark, path)
+    return fs.exists(handle)
+
+
 def create_empty(spark: SparkSession, path: str) -> None:
     """Create an empty file; an error if it is there already."""
     fs, handle = _open(spark, path)

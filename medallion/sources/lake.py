@@ -7,6 +7,7 @@ table can be rewritten from its own content:
 
     <table>/part-*.parquet                    rows appended before any replacement
     <table>/run-<id>/batch-<n>/               rows of one ingest batch
+    <table>/run-<id>/batch-<n>/_COMPLETE      marks it as complete
     <table>/_versions/00000007/               one replacement
     <table>/_versions/_commits/00000007       marks it as complete
 
@@ -33,6 +34,8 @@ PREFIXES = {"PRODUCTION": "prd", "STAGING": "stg"}
 DELTA_WRITER_RETENTION = "3 days"
 RETENTION_HOURS = 72
 
+COMPLETE = "_COMPLETE"
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -106,7 +109,31 @@ class ParquetTable:
 
     def add_batch(self, df: DataFrame, run_id: str, batch_id: int) -> None:
         """Append one ingest batch. Writing the same batch again replaces it."""
-        df.write.mode("overwrite").parquet(f"{self.current_path()}/run-{run_id}/batch-{batch_id}")
+        path = f"{self.current_path()}/run-{run_id}/batch-{batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        files.create_empty(self.spark, f"{path}/{COMPLETE}")
+
+    def batches(self) -> list[str]:
+        """Names of all ingest batches. An error if there are other rows."""
+        root = self.current_path()
+        names = []
+        for run in files.entries(self.spark, root):
+            if run.name.startswith("run-"):
+                found = files.entries(self.spark, f"{root}/{run.name}")
+                names += [f"{run.name}/{b.name}" for b in found if b.name.startswith("batch-")]
+            elif not run.name.startswith(("_", ".")):
+                raise ValueError(f"{root} has rows outside of ingest batches")
+        return sorted(names)
+
+    def is_complete(self, batch: str) -> bool:
+        return files.exists(self.spark, f"{self.current_path()}/{batch}/{COMPLETE}")
+
+    def read_batches(
+        self, batches: Sequence[str], schema: T.StructType | None = None
+    ) -> DataFrame:
+        root = self.current_path()
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*[f"{root}/{batch}" for batch in batches])
 
     def replace(self, df: DataFrame) -> None:
         """Make ``df`` the whole content. It may be derived from this table."""

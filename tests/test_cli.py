@@ -28,11 +28,10 @@ def test_table_to_topic_to_zones(spark, tmp_path, people):
          "--progress", f"{tmp_path}/progress"],
         spark,
     )
-    main(
-        ["refine", "--root", root, *where, "--table-key", "id", "--checkpoint-column", "at",
-         "--ignore-columns", "phone", "--merge", "--topic", topic, "--schema", EVENTS],
-        spark,
-    )
+    refine = ["refine", "--root", root, *where, "--table-key", "id", "--checkpoint-column", "at",
+              "--ignore-columns", "phone", "--merge", "--topic", topic, "--schema", EVENTS]
+    main(refine, spark)
+    main([*refine, "--only-new"], spark)
     trusted = Lake(spark, root).read("trusted", "shop", "people")
     assert trusted.columns == ["id", "at", "key", "timestamp_kafka"]
     assert sorted(r.id for r in trusted.collect()) == [1, 2, 3, 4, 5]

@@ -6,9 +6,11 @@ from medallion.operators import build_envelope, parse_envelope
 from medallion.operators.envelope import table_schema
 from medallion.plans import (
     CheckpointState,
+    RefinedState,
     TableSpec,
     refine,
     refine_frame,
+    refine_new,
     run_tables,
     specs_from_config,
 )
@@ -288,3 +290,97 @@ def test_batches_from_before_a_column_was_added(spark, lake, topic):
     refine(lake, spec(ignore_columns=(), topic=topic, schema=now), AT)
     found = zone(lake, "trusted").select("id", "name").collect()
     assert sorted(map(tuple, found)) == [(1, None), (2, "b"), (3, None)]
+
+
+@pytest.fixture
+def land(spark, lake):
+    """Write one ingest batch of people."""
+
+    def write(batch_id, *values):
+        rows = spark.createDataFrame(values, COLUMNS)
+        lake.table("raw", "shop", "people").add_batch(rows, "r", batch_id)
+
+    return write
+
+
+@pytest.fixture
+def refined(lake):
+    return RefinedState(lake.table("state", "refine", "batches"))
+
+
+def test_new_batches_give_what_a_full_merge_gives(spark, lake, land, refined, rows):
+    batches = [
+        [(1, "a", "1", day(5)), (2, "a", "2", day(1))],
+        [(1, "late", "3", day(2)), (3, "b", "4", day(3))],
+        [(2, "c", "5", day(7)), (2, "d", "6", day(6)), (4, "c", "7", None)],
+    ]
+    for number, values in enumerate(batches):
+        land(number, *values)
+        assert refine_new(lake, spec(merge=True), refined, AT) == [f"run-r/batch-{number}"]
+    found = rows(zone(lake, "safe")), rows(zone(lake, "trusted"))
+    assert refine_new(lake, spec(merge=True), refined, LATER) == []
+    for name in ("safe", "trusted"):
+        lake.table(name, "shop", "people").replace(zone(lake, name).limit(0))
+    refine(lake, spec(merge=True), AT)
+    assert (rows(zone(lake, "safe")), rows(zone(lake, "trusted"))) == found
+
+
+def test_a_batch_that_failed_to_merge_comes_again(spark, lake, land, refined, monkeypatch):
+    land(0, (1, "a", "1", day(1)))
+    refine_new(lake, spec(merge=True), refined, AT)
+    land(1, (1, "b", "1", day(2)))
+    with monkeypatch.context() as broken:
+        broken.setattr(type(lake.table("trusted", "x", "y")), "expire", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refine_new(lake, spec(merge=True), refined, AT)
+    land(2, (2, "c", "1", day(2)))
+    assert refine_new(lake, spec(merge=True), refined, AT) == ["run-r/batch-1", "run-r/batch-2"]
+    assert sorted(r.name for r in zone(lake, "trusted").collect()) == ["b", "c"]
+
+
+def test_unfinished_batches_wait(spark, lake, land, refined):
+    land(0, (1, "a", "1", day(1)))
+    raw = lake.table("raw", "shop", "people")
+    raw.read().write.parquet(f"{raw.path}/run-r/batch-1")
+    assert refined.pending(raw, "shop", "people") == ["run-r/batch-0"]
+
+
+def test_new_batches_only_where_they_are_enough(lake, land, refined, send):
+    land(0, (1, "a", "1", day(1)))
+    for settings in ({"merge": False}, {"merge": True, "checkpoint_column": None}):
+        with pytest.raises(ValueError, match="merge and a checkpoint"):
+            refine_new(lake, spec(**settings), refined)
+    send((2, "b", "1", day(1)))
+    with pytest.raises(ValueError, match="outside of ingest batches"):
+        refine_new(lake, spec(merge=True), refined)
+
+
+def test_run_with_new_batches_only(spark, lake, folder, refined):
+    topic = folder("topic")
+    specs = [
+        TableSpec("shop", "t_events", ("id",), "at", topic="t", merge=True,
+                  schema=table_schema("id int, at timestamp_ntz")),
+        TableSpec("shop", "t_rows", ("id",), "at", merge=True),
+    ]
+    progress = folder("progress")
+    for n in (1, 2):
+        event = f'{{"after": {{"id": {n}, "at": "2024-01-0{n}T00:00:00"}}}}'
+        frame = spark.createDataFrame([(event,)], "value string")
+        frame.write.mode("append").text(topic)
+        spark.sql(f"SELECT {n} AS id, timestamp_ntz'2024-01-0{n}' AS at").createOrReplaceTempView(
+            "t_rows"
+        )
+        runs = run_tables(
+            lake,
+            specs,
+            CheckpointState(lake.table("state", "ingest", "checkpoints")),
+            source=lambda s: CatalogSource(spark),
+            messages=lambda s: text_messages(spark, topic),
+            stream_checkpoints=progress,
+            refined=refined,
+        )
+        assert [r.error for r in runs] == [None, None]
+    spark.catalog.dropTempView("t_rows")
+    for name in ("t_events", "t_rows"):
+        assert sorted(r.id for r in lake.read("trusted", "shop", name).collect()) == [1, 2]
+    assert refined.table.read().count() == 4
