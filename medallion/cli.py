@@ -37,6 +37,7 @@ from medallion.sources import (
     write_kafka,
     write_text,
 )
+from medallion.sources.lake import RETENTION_HOURS
 from medallion.sources.tables import RemainderSplit, Split
 from medallion.streaming import drain_to_raw
 
@@ -89,6 +90,7 @@ def parser() -> argparse.ArgumentParser:
     refining.add_argument("--merge", action="store_true")
     refining.add_argument("--newer-than")
     refining.add_argument("--only-new", action="store_true", help="merge new raw batches only")
+    refining.add_argument("--retention-hours", type=float, default=RETENTION_HOURS)
     refining.add_argument("--topic", help="raw holds change events of this topic")
     refining.add_argument("--schema", help="DDL or schema JSON of the table")
 
@@ -155,6 +157,7 @@ def _refine(spark: SparkSession, args: argparse.Namespace) -> None:
         separator=args.hyphen_separator,
         merge=args.merge,
         newer_than=args.newer_than,
+        retention_hours=args.retention_hours,
     )
     lake = _lake(spark, args)
     if args.only_new:

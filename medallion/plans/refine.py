@@ -95,8 +95,9 @@ def refine_new(
     zones hold what a full refinement would merge; rows that did not change keep
     their load timestamp. A batch counts as refined after both zones have it.
     """
-    if not spec.merge or not spec.checkpoint_column:
-        raise ValueError(f"{spec.dataset}: new batches need merge and a checkpoint column")
+    column = spec.checkpoint_column
+    if not spec.merge or not column or column in spec.ignore_columns:
+        raise ValueError(f"{spec.dataset}: new batches need merge and an open checkpoint column")
     table = lake.table("raw", spec.namespace, spec.dataset)
     batches = state.pending(table, spec.namespace, spec.dataset)
     if not batches:
@@ -105,7 +106,7 @@ def refine_new(
         raw = table.read_batches(batches, spec.schema)
     else:
         raw = flatten(accepted(table.read_batches(batches, event_schema(spec.schema))))
-    _land(lake, spec, _refined(raw, spec, load_at), spec.checkpoint_column)
+    _land(lake, spec, _refined(raw, spec, load_at), column)
     state.add(spec.namespace, spec.dataset, batches)
     return batches
 
@@ -145,7 +146,7 @@ def _merge(
             raise ValueError(f"{spec.dataset}: {profile.null_key_rows} rows have no key")
         if safe is not None:
             safe.merge(source, [KEY], newer_than, profile=profile)
-            safe.expire()
+            safe.expire(spec.retention_hours)
         visible = drop_restricted(source, hidden)
         trusted.merge(visible, [KEY], newer_than, drop=hidden, profile=profile)
-        trusted.expire()
+        trusted.expire(spec.retention_hours)

@@ -9,13 +9,15 @@ from typing import Any, Literal
 from pyspark.sql import types as T
 
 from medallion.operators.envelope import table_schema
+from medallion.sources.lake import RETENTION_HOURS
 
 
 @dataclass(frozen=True)
 class TableSpec:
     """One table. With a ``topic`` it is ingested from change events of the
     given ``schema``, otherwise from the database. ``merge`` upserts into the
-    safe and trusted zones instead of replacing them."""
+    safe and trusted zones instead of replacing them, and then deletes what was
+    replaced more than ``retention_hours`` ago."""
 
     namespace: str
     dataset: str
@@ -31,6 +33,7 @@ class TableSpec:
     newer_than: str | None = None
     on_null_key: Literal["keep", "reject"] = "keep"
     tie_break: tuple[str, ...] | None = None
+    retention_hours: float = RETENTION_HOURS
 
     def __post_init__(self) -> None:
         if self.topic and self.schema is None:
@@ -39,6 +42,8 @@ class TableSpec:
             raise ValueError(f"{self.dataset}: on_null_key must be keep or reject")
         if self.on_null_key == "reject" and not self.merge:
             raise ValueError(f"{self.dataset}: rows without a key can only be rejected by a merge")
+        if self.newer_than in self.ignore_columns:
+            raise ValueError(f"{self.dataset}: the trusted zone needs {self.newer_than} to compare")
 
 
 def specs_from_config(config: Mapping[str, Mapping[str, Any]]) -> list[TableSpec]:
@@ -67,6 +72,7 @@ def specs_from_config(config: Mapping[str, Mapping[str, Any]]) -> list[TableSpec
                     newer_than=entry.get("newer_than"),
                     on_null_key=entry.get("on_null_key", "keep"),
                     tie_break=tuple(entry["tie_break"]) if entry.get("tie_break") else None,
+                    retention_hours=entry.get("retention_hours", RETENTION_HOURS),
                 )
             )
     return specs

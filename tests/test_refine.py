@@ -193,6 +193,8 @@ def test_spec_checks():
         spec(on_null_key="drop")
     with pytest.raises(ValueError, match="merge"):
         spec(on_null_key="reject")
+    with pytest.raises(ValueError, match="to compare"):
+        spec(ignore_columns=("at",), newer_than="at")
 
 
 def test_specs_from_config():
@@ -347,9 +349,25 @@ def test_unfinished_batches_wait(spark, lake, land, refined):
 
 def test_new_batches_only_where_they_are_enough(lake, land, refined, send):
     land(0, (1, "a", "1", day(1)))
-    for settings in ({"merge": False}, {"merge": True, "checkpoint_column": None}):
-        with pytest.raises(ValueError, match="merge and a checkpoint"):
+    for settings in (
+        {"merge": False},
+        {"merge": True, "checkpoint_column": None},
+        {"merge": True, "ignore_columns": ("at",)},
+    ):
+        with pytest.raises(ValueError, match="merge and an open checkpoint"):
             refine_new(lake, spec(**settings), refined)
+
+
+def test_merges_delete_what_was_replaced_long_enough_ago(lake, send):
+    send((1, "a", "555", day(1)))
+    for hours, left in ((72, 1), (72, 2), (72, 3), (0, 1)):
+        refine(lake, spec(merge=True, retention_hours=hours), AT)
+        assert len(lake.table("trusted", "shop", "people").versions()) == left
+        assert len(lake.table("safe", "shop", "people").versions()) == left
+
+
+def test_new_batches_need_all_rows_in_batches(lake, land, refined, send):
+    land(0, (1, "a", "1", day(1)))
     send((2, "b", "1", day(1)))
     with pytest.raises(ValueError, match="outside of ingest batches"):
         refine_new(lake, spec(merge=True), refined)
