@@ -32,13 +32,17 @@ def read_raw(
     """Rows of a raw table: after-images if it holds change events, else as is.
 
     ``schema`` are the table's columns now. Batches written before a column was
-    added have null in it; without a schema one of the files decides.
+    added have null in it; without a schema one of the files decides. Database
+    rows keep the types they were read with.
     """
     raw = lake.table("raw", namespace, dataset)
-    if not from_events:
-        return raw.read(schema)
-    events = raw.read(None if schema is None else event_schema(schema))
-    return flatten(accepted(events))
+    if from_events:
+        events = raw.read(None if schema is None else event_schema(schema))
+        return flatten(accepted(events))
+    rows = raw.read()
+    if schema is not None and not set(schema.names) <= set(rows.columns):
+        rows = raw.read(all_columns=True)
+    return rows
 
 
 def read_quarantine(lake: Lake, namespace: str, dataset: str) -> DataFrame:
@@ -103,7 +107,7 @@ def refine_new(
     if not batches:
         return []
     if spec.topic is None:
-        raw = table.read_batches(batches, spec.schema)
+        raw = table.read_batches(batches)
     else:
         raw = flatten(accepted(table.read_batches(batches, event_schema(spec.schema))))
     _land(lake, spec, _refined(raw, spec, load_at), column)

@@ -98,11 +98,15 @@ class ParquetTable:
         versions = self.versions()
         return f"{self.path}/_versions/{versions[-1].name}" if versions else self.path
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
+    def read(
+        self, schema: T.StructType | None = None, all_columns: bool = False
+    ) -> DataFrame:
+        """All rows. The columns are those of ``schema``, else those of some
+        file, or with ``all_columns`` those of any file, which looks into each."""
         reader = self.spark.read.option("recursiveFileLookup", "true")
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(self.current_path())
+        return reader.option("mergeSchema", all_columns).parquet(self.current_path())
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.current_path())
@@ -131,9 +135,11 @@ class ParquetTable:
     def read_batches(
         self, batches: Sequence[str], schema: T.StructType | None = None
     ) -> DataFrame:
+        """Rows of some batches, with the columns of ``schema`` or of any file."""
         root = self.current_path()
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(*[f"{root}/{batch}" for batch in batches])
+        paths = [f"{root}/{batch}" for batch in batches]
+        return reader.option("mergeSchema", schema is None).parquet(*paths)
 
     def replace(self, df: DataFrame) -> None:
         """Make ``df`` the whole content. It may be derived from this table."""
@@ -204,7 +210,10 @@ class DeltaTable:
     def exists(self) -> bool:
         return bool(files.entries(self.spark, f"{self.path}/_delta_log"))
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
+    def read(
+        self, schema: T.StructType | None = None, all_columns: bool = False
+    ) -> DataFrame:
+        """All rows; the table itself knows its columns."""
         return self.spark.read.format("delta").load(self.path)
 
     def _writer(self, df: DataFrame, mode: str):

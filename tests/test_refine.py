@@ -276,8 +276,9 @@ def test_tables_side_by_side_share_the_checkpoints(spark, lake, folder):
     assert [state.value("shop", name) for name in names] == [day(i + 1) for i in range(6)]
 
 
+@pytest.mark.parametrize("only_new", [False, True])
 @pytest.mark.parametrize("topic", [None, "t"])
-def test_batches_from_before_a_column_was_added(spark, lake, topic):
+def test_batches_from_before_a_column_was_added(spark, lake, refined, topic, only_new):
     def land(batch_id, ddl, values):
         rows = spark.createDataFrame([values], ddl)
         if topic:
@@ -288,8 +289,13 @@ def test_batches_from_before_a_column_was_added(spark, lake, topic):
     land(0, "id int, at timestamp_ntz", (1, day(1)))
     land(1, "id int, name string, at timestamp_ntz", (2, "b", day(2)))
     land(2, "id int, at timestamp_ntz", (3, day(3)))
-    now = table_schema("id int, name string, at timestamp_ntz")
-    refine(lake, spec(ignore_columns=(), topic=topic, schema=now), AT)
+    now = table_schema("id bigint, name string, at timestamp_ntz" if not topic else
+                       "id int, name string, at timestamp_ntz")
+    settings = spec(ignore_columns=(), topic=topic, schema=now, merge=True)
+    if only_new:
+        refine_new(lake, settings, refined, AT)
+    else:
+        refine(lake, settings, AT)
     found = zone(lake, "trusted").select("id", "name").collect()
     assert sorted(map(tuple, found)) == [(1, None), (2, "b"), (3, None)]
 
