@@ -97,15 +97,16 @@ def load_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, CASE WHEN year(d) >= 10 THEN d END AS d
+    SELECT o_orderkey, CAST(CASE WHEN year(d) >= 10 THEN d END AS varchar) AS d
     FROM (SELECT o_orderkey, o_orderdate - INTERVAL 1990 YEAR AS d FROM orders)""")
 def date_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates moved to the years 5 to 11; those before year 10 become null."""
+    """Order dates moved to the years 5 to 11; those before year 10 become null.
+    As text, which every reader of the result can represent."""
     shift = F.expr("INTERVAL '1990' YEAR")
     early = table(spark, sf_dir, "orders").select(
         "o_orderkey", (F.col("o_orderdate") - shift).alias("d")
     )
-    return guard_dates(early)
+    return guard_dates(early).withColumn("d", F.col("d").cast("string"))
 
 
 @query("""

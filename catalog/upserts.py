@@ -46,16 +46,16 @@ def upsert_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH lake AS (SELECT CASE WHEN event_type <> 'error' THEN event_id END AS nk,
+    WITH lake AS (SELECT CASE WHEN event_type <> 'error' THEN 'e' || event_id END AS nk,
                          event_id, 0 AS side FROM events WHERE event_type <> 'click'),
-         source AS (SELECT CASE WHEN event_type <> 'error' THEN event_id END AS nk,
+         source AS (SELECT CASE WHEN event_type <> 'error' THEN 'e' || event_id END AS nk,
                            event_id, 1 AS side FROM events WHERE event_type <> 'view')
     SELECT lake.* FROM lake WHERE NOT EXISTS (SELECT 1 FROM source WHERE lake.nk = source.nk)
     UNION ALL SELECT * FROM source""")
 def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events have no key on either side: none match, all stay."""
     events = table(spark, sf_dir, "events")
-    key = F.when(F.col("event_type") != "error", F.col("event_id")).alias("nk")
+    key = F.when(F.col("event_type") != "error", F.concat(F.lit("e"), "event_id")).alias("nk")
     lake = events.filter(F.col("event_type") != "click").select(
         key, "event_id", F.lit(0).alias("side")
     )

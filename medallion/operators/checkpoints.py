@@ -10,27 +10,32 @@ from pyspark.sql import functions as F
 
 from medallion.functions.keys import checkpoint_key
 
-STATE_COLUMNS = (
-    "namespace",
-    "table_name",
-    "key_column",
-    "checkpoint_column",
-    "last_timestamp",
-)
-STATE_SCHEMA = (
-    "namespace string, table_name string, key_column string, "
-    "checkpoint_column string, last_timestamp timestamp_ntz"
-)
 REFINED_SCHEMA = "key_column string, batch string"
-KEYSET_SCHEMA = "key_column string, last_processed_id bigint"
 
 
 def checkpoint_rows(
     spark: SparkSession, namespace: str, dataset: str, column: str, value: datetime
 ) -> DataFrame:
     """The state row to upsert after a run."""
-    row = (namespace, dataset, checkpoint_key(namespace, dataset), column, value)
-    return spark.createDataFrame([row], STATE_SCHEMA)
+    return _one_row(spark).select(
+        F.lit(namespace).alias("namespace"),
+        F.lit(dataset).alias("table_name"),
+        F.lit(checkpoint_key(namespace, dataset)).alias("key_column"),
+        F.lit(column).alias("checkpoint_column"),
+        F.lit(value.isoformat(" ")).cast("timestamp_ntz").alias("last_timestamp"),
+    )
+
+
+def keyset_rows(spark: SparkSession, name: str, value: int) -> DataFrame:
+    """The state row to upsert after a poll."""
+    return _one_row(spark).select(
+        F.lit(name).alias("key_column"),
+        F.lit(value).cast("bigint").alias("last_processed_id"),
+    )
+
+
+def _one_row(spark: SparkSession) -> DataFrame:
+    return spark.range(0, 1, 1, 1)
 
 
 def to_state(

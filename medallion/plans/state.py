@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from medallion.functions.keys import checkpoint_key
 from medallion.operators.checkpoints import (
-    KEYSET_SCHEMA,
     REFINED_SCHEMA,
     checkpoint_rows,
+    keyset_rows,
     last_value,
 )
+from medallion.operators.upsert import SourceProfile
 from medallion.sources.lake import DeltaTable, ParquetTable
 
 
@@ -36,12 +37,13 @@ class CheckpointState:
     def save(self, namespace: str, dataset: str, column: str, value: date | datetime) -> None:
         if not isinstance(value, datetime):
             value = datetime(value.year, value.month, value.day)
-        self.upsert(checkpoint_rows(self.table.spark, namespace, dataset, column, value))
+        rows = checkpoint_rows(self.table.spark, namespace, dataset, column, value)
+        self.upsert(rows, SourceProfile.of_known([checkpoint_key(namespace, dataset)]))
 
-    def upsert(self, rows: DataFrame) -> None:
+    def upsert(self, rows: DataFrame, profile: SourceProfile | None = None) -> None:
         """Insert rows of new keys, update those of known keys, keep the rest."""
         with self.lock:
-            self.table.merge(rows, ["key_column"])
+            self.table.merge(rows, ["key_column"], profile=profile)
             self.table.expire()
 
 
@@ -58,8 +60,8 @@ class KeysetState:
         return 0 if found is None else found
 
     def save(self, name: str, value: int) -> None:
-        row = self.table.spark.createDataFrame([(name, value)], KEYSET_SCHEMA)
-        self.table.merge(row, ["key_column"])
+        rows = keyset_rows(self.table.spark, name, value)
+        self.table.merge(rows, ["key_column"], profile=SourceProfile.of_known([name]))
         self.table.expire()
 
 
@@ -85,5 +87,6 @@ class RefinedState:
         rows = [(key, batch) for batch in batches]
         with self.lock:
             frame = self.table.spark.createDataFrame(rows, REFINED_SCHEMA)
-            self.table.merge(frame, ["key_column", "batch"])
+            profile = SourceProfile.of_known([key + batch for batch in batches])
+            self.table.merge(frame, ["key_column", "batch"], profile=profile)
             self.table.expire()
