@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from medallion.functions.keys import checkpoint_key
 from medallion.operators.checkpoints import (
+    KEYSET_SCHEMA,
     REFINED_SCHEMA,
+    STATE_SCHEMA,
     checkpoint_rows,
     keyset_rows,
     last_value,
@@ -32,7 +34,7 @@ class CheckpointState:
     def value(self, namespace: str, dataset: str) -> datetime | None:
         if not self.table.exists():
             return None
-        return last_value(self.table.read(), checkpoint_key(namespace, dataset))
+        return last_value(self.table.read(STATE_SCHEMA), checkpoint_key(namespace, dataset))
 
     def save(self, namespace: str, dataset: str, column: str, value: date | datetime) -> None:
         if not isinstance(value, datetime):
@@ -56,7 +58,7 @@ class KeysetState:
     def value(self, name: str) -> int:
         if not self.table.exists():
             return 0
-        found: Any = last_value(self.table.read(), name, "last_processed_id")
+        found: Any = last_value(self.table.read(KEYSET_SCHEMA), name, "last_processed_id")
         return 0 if found is None else found
 
     def save(self, name: str, value: int) -> None:
@@ -78,8 +80,8 @@ class RefinedState:
         done = set()
         if self.table.exists():
             key = checkpoint_key(namespace, dataset)
-            rows = self.table.read().filter(F.col("key_column") == key).select("batch")
-            done = {row.batch for row in rows.collect()}
+            rows = self.table.read(REFINED_SCHEMA).filter(F.col("key_column") == key)
+            done = {row.batch for row in rows.select("batch").collect()}
         return [b for b in raw.batches() if b not in done and raw.is_complete(b)]
 
     def add(self, namespace: str, dataset: str, batches: Sequence[str]) -> None:

@@ -99,7 +99,7 @@ class ParquetTable:
         return f"{self.path}/_versions/{versions[-1].name}" if versions else self.path
 
     def read(
-        self, schema: T.StructType | None = None, all_columns: bool = False
+        self, schema: T.StructType | str | None = None, all_columns: bool = False
     ) -> DataFrame:
         """All rows. The columns are those of ``schema``, else those of some
         file, or with ``all_columns`` those of any file, which looks into each."""
@@ -133,7 +133,7 @@ class ParquetTable:
         return files.exists(self.spark, f"{self.current_path()}/{batch}/{COMPLETE}")
 
     def read_batches(
-        self, batches: Sequence[str], schema: T.StructType | None = None
+        self, batches: Sequence[str], schema: T.StructType | str | None = None
     ) -> DataFrame:
         """Rows of some batches, with the columns of ``schema`` or of any file."""
         root = self.current_path()
@@ -211,7 +211,7 @@ class DeltaTable:
         return bool(files.entries(self.spark, f"{self.path}/_delta_log"))
 
     def read(
-        self, schema: T.StructType | None = None, all_columns: bool = False
+        self, schema: T.StructType | str | None = None, all_columns: bool = False
     ) -> DataFrame:
         """All rows; the table itself knows its columns."""
         return self.spark.read.format("delta").load(self.path)
