@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from medallion.llm import langid
+from medallion.llm.linefreq import drop_frequent_lines
 from medallion.llm.packing import pack
 from medallion.llm.store import ship
 
@@ -18,5 +21,54 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing,)}
-SQL: dict[str, str] = {}
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.every_fifth(docs["doc_id"])
+    found = langid.identify(docs, langid.fit(docs, held_out))
+    return found.select(
+        "doc_id", langid.every_fifth(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reduced = drop_frequent_lines(table(spark, sf_dir, "documents"))
+    return reduced.select("doc_id", "source", "n_lines", "n_dropped", "text")
+
+
+OP10_SQL = """
+with
+raw as (
+  select doc_id, coalesce(source, '') as host, source,
+         unnest(string_split(text, chr(10))) as line,
+         unnest(range(len(string_split(text, chr(10))))) as place
+  from documents
+),
+lines as (
+  select *, translate(trim(regexp_replace(line, '[ \t\x0B\f\r]+', ' ', 'g')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
+  from raw
+),
+totals as (select coalesce(source, '') as host, count(*) as pages from documents group by 1),
+frequent as (
+  select host, norm
+  from (select host, norm, count(distinct doc_id) as n from lines where norm <> '' group by 1, 2)
+  join totals using (host)
+  where n >= 10 and n > 0.1::double * pages
+),
+judged as (
+  select l.doc_id, l.place, l.line, l.norm, f.norm is not null as dropped
+  from lines l left join frequent f on l.host = f.host and l.norm = f.norm
+),
+texts as (
+  select doc_id, count(*) filter (norm <> '') as n_lines,
+         count(*) filter (dropped) as n_dropped,
+         coalesce(string_agg(line, chr(10) order by place) filter (not dropped), '') as kept
+  from judged group by 1
+)
+select d.doc_id, d.source, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped,
+       case when d.text is null then null else t.kept end as text
+from documents d left join texts t using (doc_id)
+"""
+
+QUERIES = {f.__name__: f for f in (op1_packing, op7_language_id, op10_line_dedup)}
+SQL = {"op10_line_dedup": OP10_SQL}
