@@ -226,16 +226,16 @@ def _learning(docs: DataFrame, held: Column, columns: tuple[str, str, str], boun
     """The learning texts with a calibration flag, at most about ``bound`` per language."""
     identifier, text, lang = (docs[c] for c in columns)
     rows = docs.where(~F.coalesce(held, F.lit(True)) & lang.isNotNull() & text.isNotNull())
-    sizes = rows.groupBy(lang.alias("lang")).count()
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy(lang.alias("lang")).count().collect()}
+    if not sizes:
+        return None
+    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, bound / n)))
     draw = F.pmod(F.xxhash64(identifier, F.lit(7)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    rows = rows.select(
+    return rows.where(draw < share[lang]).select(
         lang.alias("lang"),
         text.alias("text"),
-        draw.alias("draw"),
         (F.pmod(F.xxhash64(identifier, F.lit(11)), F.lit(10)) == 0).alias("calibration"),
     )
-    share = sizes.select("lang", (F.lit(float(bound)) / F.col("count")).alias("share"))
-    return rows.join(share, "lang").where("draw < share").drop("draw", "share")
 
 
 def fit(
@@ -250,6 +250,8 @@ def fit(
 ) -> Model | None:
     """Models of all languages in ``lang_column`` where ``held_out`` is false."""
     rows = _learning(docs, held_out, (id_column, text_column, lang_column), max_texts)
+    if rows is None:
+        return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import langid
+from medallion.llm import decontamination, langid
 from medallion.llm.linefreq import drop_frequent_lines
+from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
 from medallion.llm.store import ship
 
@@ -30,6 +31,59 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = decontamination.matches(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.judged(docs, found)
+
+
+OP9_SQL = """
+with
+doc as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+),
+item as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+),
+sized as (select item_id, w, least(13, len(w)) as n from item where len(w) > 0),
+windows as (
+  select distinct item_id, n, array_to_string(w[s:s + n - 1], ' ') as gram
+  from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as s from sized)
+),
+lengths as (select distinct n from windows),
+grams as (
+  select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') as gram
+  from (select doc_id, n, w, unnest(range(1, len(w) - n + 2)) as s
+        from doc, lengths where len(w) >= n)
+),
+occurrences as (
+  select doc_id, item_id, g.n, s from grams g join windows v on g.n = v.n and g.gram = v.gram
+),
+hit as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(s, s + n)) as p from occurrences) group by 1
+),
+named as (
+  select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+  from (select distinct doc_id, item_id::varchar as item_id from occurrences) group by 1
+)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc d left join hit using (doc_id) left join named using (doc_id)
+"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     reduced = drop_frequent_lines(table(spark, sf_dir, "documents"))
     return reduced.select("doc_id", "source", "n_lines", "n_dropped", "text")
@@ -70,5 +124,14 @@ select d.doc_id, d.source, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped,
 from documents d left join texts t using (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_language_id, op10_line_dedup)}
-SQL = {"op10_line_dedup": OP10_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op7_language_id,
+        op8_minhash_near_dedup,
+        op9_decontamination,
+        op10_line_dedup,
+    )
+}
+SQL = {"op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
