@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontamination, langid
+from medallion.llm import decontamination, langid, quality, qualityrules
 from medallion.llm.linefreq import drop_frequent_lines
 from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
@@ -22,6 +22,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, quality.third_of_four(labels["doc_id"]))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.third_of_four(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualityrules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.every_fifth(docs["doc_id"])
@@ -128,6 +143,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing,
+        op2_quality_classifier,
+        op6_quality_rules,
         op7_language_id,
         op8_minhash_near_dedup,
         op9_decontamination,
