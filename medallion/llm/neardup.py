@@ -12,11 +12,14 @@ What makes it whole and bounded:
   values, ordered from rare to frequent, the first n - 23 suffice for two linked documents to
   meet in a list. A passage that thousands of documents share is frequent, so its lists are
   left out unless it is most of the document, and then those documents are copies.
-- A list is not expanded into its pairs. In a round its members are compared with one of them,
-  and links merge components. Pairs that are already in one component need no comparison; when
-  the pairs left across components, which are counted first, are few (at most ``RESIDUE`` times
-  the list entries, or after ``ROUNDS`` rounds) all of them are compared. So a group of near
-  copies costs its size per round, and no link between different components is missed.
+- A list is not expanded into its pairs. Its members are compared with its leader, the most
+  central of them, and links merge components; lists then left with one component are done. Of
+  the others, classes go that cannot be linked with any: what two sets share cannot exceed what
+  each shares with all open classes together. The rest are grouped by leader and compared on
+  their full sets in pairs of blocks of about ``BLOCK`` classes, by matrix products inside a
+  task, which emits links only; blocks of one component are not compared with each other. So no
+  link between different components is missed, no task has more than two blocks, and no table
+  has a row for every pair.
 - Hot values, classes and components are only hot keys of partial aggregations or of joins
   against one row per key, which adaptive execution splits.
 
@@ -44,7 +47,8 @@ SHINGLE = 5
 SKETCH = 64
 SHARED = 24  # retained values that linked documents share at least
 LEAST_ESTIMATE = 0.43  # six standard deviations below 0.75 for 64 values
-RESIDUE, ROUNDS = 4, 6
+BLOCK = 256  # classes, compared with as many in one task
+COLUMNS = 8192  # shared shingles per matrix product
 BROADCAST_IDS = 1_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -114,10 +118,11 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
     )
     # values that no other class has come first in the order and lead nowhere
     places = F.col("size") - needed + 1 - (F.col("size") - F.size("met"))
+    weight = F.aggregate("met", F.lit(0).cast("long"), lambda total, e: total + e["df"])
     lists = found.where(places > 0).select(
-        "class", F.explode(F.slice("met", F.lit(1), places.cast("int"))).alias("e")
+        "class", weight.alias("weight"), F.explode(F.slice("met", F.lit(1), places.cast("int"))).alias("e")
     )
-    return lists.select(F.col("e.value").alias("value"), "class")
+    return lists.select(F.col("e.value").alias("value"), "class", "weight")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -190,48 +195,149 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _residue(lists: DataFrame) -> int:
-    """Pairs of list members in different components."""
-    sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pairs = sizes.groupBy("value").agg(((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)) / 2).alias("p"))
-    return int(pairs.agg(F.coalesce(F.sum("p"), F.lit(0.0))).first()[0])
+def _set_sizes(texts: DataFrame) -> DataFrame:
+    """class, ``n`` (shingles) and ``m``, how many of them another of these classes has."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, values in zip(batch.column(0), shingle_sets(batch.column(1)), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([own.as_py()] * len(values), pa.int64()), pa.array(values)], ["class", "value"]
+                )
+
+    values = texts.select("class", "text").mapInArrow(work, "class long, value long")
+    # a sum, a least and a largest class tell apart one class from several without a join
+    several = values.groupBy("value").agg(
+        F.count(F.lit(1)).alias("df"), F.min("class").alias("class"), F.max("class").alias("other")
+    )
+    alone = several.where("df = 1").groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = values.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(alone, "class", "left").select(
+        "class", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m")
+    )
 
-def link(lists: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node`` and ``component`` of the classes that are linked and not the least of theirs.
 
-    ``lists``: value and class; ``classes``: class and sketch, ``texts``: class and text, a row
-    for each class in the lists.
+def _open_members(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """``lists`` with ``component``, as far as a list has several of them."""
+    members = lists.join(labels, lists["class"] == labels["node"], "left").select(
+        *lists.columns, F.coalesce("component", "class").alias("component")
+    )
+    members = stored(members, "members")
+    several = members.groupBy("value").agg(F.min("component").alias("i"), F.max("component").alias("j"))
+    return stored(members.join(several.where("i < j").select("value"), "value", "left_semi"), "open")
+
+
+def _units(members: DataFrame) -> DataFrame:
+    """class, component and ``unit``: the classes that follow one leader, in which a component
+    of more than ``BLOCK`` classes is a unit of its own, ``whole``."""
+    led = members.groupBy("class", "component").agg(F.max("leader").alias("family"))
+    sizes = led.groupBy("family", "component").agg(F.count(F.lit(1)).alias("c"))
+    whole = F.when(F.col("c") > BLOCK, F.col("component"))
+    sizes = sizes.select("family", "component", whole.alias("whole"))
+    unit = F.xxhash64("family", F.coalesce("whole", F.lit(0)))
+    return led.join(sizes, ["family", "component"]).select("class", "component", "whole", unit.alias("unit"))
+
+
+def _block_pairs(members: DataFrame, units: DataFrame) -> DataFrame:
+    """(a, i, b, j): blocks i of unit a and j of unit b, whose classes are to be compared,
+    since a list has classes of both units and of several components."""
+    here = members.select("value", "class").join(units, "class").select("value", "unit", "whole").distinct()
+    here = stored(here, "here")
+    x = here.select("value", F.col("unit").alias("a"), F.col("whole").alias("wa"))
+    y = here.select("value", F.col("unit").alias("b"), F.col("whole").alias("wb"))
+    apart = F.coalesce(F.col("wa") != F.col("wb"), F.lit(True))
+    pairs = x.join(y, "value").where((F.col("a") <= F.col("b")) & apart).select("a", "b").distinct()
+    counts = units.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    pairs = pairs.join(counts.toDF("a", "na"), "a").join(counts.toDF("b", "nb"), "b")
+    first = pairs.select("a", "b", "nb", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"))
+    least = F.when(F.col("a") == F.col("b"), F.col("i")).otherwise(F.lit(0))
+    return first.select("a", "i", "b", F.explode(F.sequence(least, F.col("nb") - 1)).alias("j"))
+
+
+def _compared(members: DataFrame, units: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between classes of different components, over pairs of blocks.
+
+    A task has two blocks of about ``BLOCK`` classes and emits links only.
     """
-    spark, total = classes.sparkSession, lists.count()
-    labels = spark.createDataFrame([], "node long, component long")
-    step = 0
-    while True:
-        left = lists.join(labels, lists["class"] == labels["node"], "left").select(
-            "value", "class", F.coalesce("component", "class").alias("component")
+    pairs = stored(_block_pairs(members, units), "block-pairs")
+    counts = units.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = units.join(counts, "unit").select(
+        "unit", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), "class", "component"
+    )
+    placed = stored(placed.join(texts, "class"), "placed")
+
+    def side(unit: str, block: str, number: int) -> DataFrame:
+        on = (F.col("unit") == F.col(unit)) & (F.col("block") == F.col(block))
+        return pairs.join(placed, on).select(
+            F.xxhash64("a", "i", "b", "j").alias("task"), F.lit(number).alias("side"), "class", "component", "text"
         )
-        left = stored(left, "members")
-        residue = _residue(left)
-        if not residue:
-            return labels
-        last = residue <= RESIDUE * total or step == ROUNDS
-        if last:
-            other = left.select("value", F.col("class").alias("x"), F.col("component").alias("cx"))
-            pairs = left.join(other, "value").where("class < x and component <> cx")
-            pairs = pairs.select(*_ordered(F.col("class"), F.col("x")))
-        else:
-            order = F.xxhash64("class", F.lit(step)) if step else F.col("class")
-            leader = left.groupBy("value").agg(
-                F.min(F.struct(order.alias("o"), F.col("class").alias("x"), F.col("component").alias("cx"))).alias("l")
-            )
-            pairs = left.join(leader, "value").where("component <> l.cx")
-            pairs = pairs.select(*_ordered(F.col("class"), F.col("l.x")))
-        links = stored(_confirmed(_estimated(pairs.distinct(), classes), texts), "links")
-        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = components(known.union(links))
-        if last:
-            return labels
-        step += 1
+
+    def compare(table: pa.Table) -> pa.Table:
+        sets = list(shingle_sets(table.column("text").combine_chunks()))
+        at, classes, of = (table.column(c).to_numpy() for c in ("side", "class", "component"))
+        left, right = np.flatnonzero(at == 0), np.flatnonzero(at == 1)
+        both = _intersections([sets[k] for k in left], [sets[k] for k in right])
+        sizes = np.array([len(s) for s in sets])
+        union = sizes[left][:, None] + sizes[right][None, :] - both
+        linked = (100 * both >= 75 * union) & (of[left][:, None] != of[right][None, :])
+        x, y = np.nonzero(linked)
+        a, b = classes[left[x]], classes[right[y]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    rows = side("a", "i", 0).union(side("b", "j", 1))
+    return rows.groupBy("task").applyInArrow(compare, "a long, b long")
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``left`` shares with each of ``right``."""
+    total = np.zeros((len(left), len(right)))
+    if not left or not right:
+        return total
+    x, y = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(x, y)
+    rows = [np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (left, right)]
+    places = []
+    for values, row in ((x, rows[0]), (y, rows[1])):
+        at = np.searchsorted(shared, values)
+        at[at == len(shared)] = 0
+        met = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        places.append((row[met], at[met]))
+    for start in range(0, len(shared), COLUMNS):
+        parts = []
+        for size, (row, at) in zip((len(left), len(right)), places, strict=True):
+            chosen = (at >= start) & (at < start + COLUMNS)
+            part = np.zeros((size, min(COLUMNS, len(shared) - start)), np.float32)
+            part[row[chosen], at[chosen] - start] = 1
+            parts.append(part)
+        total += parts[0] @ parts[1].T
+    return total
+
+
+def link(lists: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """``node`` and ``component`` of the classes that are linked and not the least of theirs.
+
+    ``lists``: value, class and weight; ``classes``: class and sketch, ``texts``: class and
+    text, a row for each class in the lists.
+    """
+    if not lists.limit(1).count():
+        return None
+    # the member whose values are most common is the one nearest to the others of a group
+    leader = F.max(F.struct("weight", "class"))
+    lists = lists.join(lists.groupBy("value").agg(leader.alias("l")), "value").select(
+        "value", "class", F.col("l.class").alias("leader")
+    )
+    lists = stored(lists, "led")
+    stars = lists.where("class <> leader").select(*_ordered(F.col("class"), F.col("leader"))).distinct()
+    labels = components(_confirmed(_estimated(stars, classes), texts))
+
+    members = _open_members(lists, labels)
+    open_ = members.select("class").distinct()
+    sizes = _set_sizes(texts.join(open_, "class", "left_semi")).where("100 * m >= 75 * n")
+    members = members.join(stored(sizes, "sizes").select("class"), "class")
+    members = _open_members(members.select("value", "class", "leader"), labels)
+    units = stored(_units(members), "units")
+    links = _compared(members, units, texts)
+    return components(links.union(labels.select("node", "component")))
 
 
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -246,6 +352,8 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
     named = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     texts = stored(_texts(named, stored(wanted, "wanted")), "texts")
     labels = link(lists, classes.join(listed, "class"), texts)
+    if labels is None:
+        labels = docs.sparkSession.createDataFrame([], "node long, component long")
     of = made.select("id", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
     of = of.select("id", "n", F.coalesce("component", "class").alias("component"))
     least = (
