@@ -10,7 +10,10 @@ from medallion.llm import decontamination, langid, quality, qualityrules
 from medallion.llm.linefreq import drop_frequent_lines
 from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
+from medallion.llm.revisits import header_lines, resolve_revisits
+from medallion.llm.secretscan import scan
 from medallion.llm.store import ship
+from medallion.llm.substrings import repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +36,113 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """A capture log made from the pages: each is a full response and is visited again twice,
+    under other spellings of its URL and with validators that agree, disagree or are missing."""
+    page = F.col("page_id")
+    ts = F.lit(1_700_000_000) + (page % 5000) * 600
+    visits = pages.select(
+        page, "url", F.md5(F.col("html")).alias("digest"), F.explode(F.array(*map(F.lit, range(3)))).alias("visit")
+    )
+    again = F.col("visit") > 0
+    etag = F.when(page % 7 == 0, None).when(again & (page % 5 == 0), F.concat(F.lit("new-"), "digest"))
+    modified = F.when(page % 21 == 0, None).when(again & (page % 14 == 0), ts + 1).otherwise(ts)
+    date = F.concat(F.lit("t"), (ts + F.col("visit")).cast("string"))
+    url = F.when(F.col("visit") == 1, F.concat("url", F.lit("#again"))).otherwise(F.col("url"))
+    return visits.select(
+        (page * 4 + F.col("visit")).alias("record_id"),
+        url.alias("url"),
+        F.when(again & (page % 11 == 0), ts - 5).otherwise(ts + F.col("visit") * (1800 + page % 3 * 86400)).alias("ts"),
+        again.alias("is_revisit"),
+        etag.otherwise(F.col("digest")).alias("etag"),
+        modified.alias("last_modified"),
+        "digest",
+        F.when(again, F.create_map(F.lit("Date"), date, F.lit("Content-Length"), F.lit("0")))
+        .otherwise(F.create_map(F.lit("Date"), date, F.lit("Content-Type"), F.lit("text/html")))
+        .alias("headers"),
+    ).withColumnRenamed("digest", "payload_digest")
+
+
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", header_lines(F.col("headers")))
+
+
+OP5_SQL = r"""
+with
+visits as (
+  select page_id, url, md5(html) as digest, visit, 1700000000 + (page_id % 5000) * 600 as t
+  from pages, (select unnest([0, 1, 2]) as visit)
+),
+captures as (
+  select page_id * 4 + visit as record_id,
+         case when visit = 1 then url || '#again' else url end as url,
+         case when visit > 0 and page_id % 11 = 0 then t - 5
+              else t + visit * (1800 + page_id % 3 * 86400) end as ts,
+         visit > 0 as is_revisit,
+         case when page_id % 7 = 0 then null
+              when visit > 0 and page_id % 5 = 0 then 'new-' || digest else digest end as etag,
+         case when page_id % 21 = 0 then null
+              when visit > 0 and page_id % 14 = 0 then t + 1 else t end as last_modified,
+         digest, 't' || (t + visit)::varchar as date
+  from visits
+),
+parts as (
+  select *, regexp_replace(trim(url), '#.*$', '') as whole from captures
+),
+split_up as (
+  select *,
+    regexp_replace(regexp_replace(regexp_replace(
+      lower(regexp_extract(whole, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)),
+      '^.*@', ''), ':(80|443)$', ''), '^www\.', '') as host,
+    regexp_replace(whole, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', '') as rest
+  from parts
+),
+fielded as (
+  select *, regexp_replace(regexp_replace(rest, '\?.*$', ''), '/+$', '') as path,
+    list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+      lambda x: x <> '' and not regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)='))) as fields
+  from split_up
+),
+canonical as (
+  select *, host || path ||
+    case when len(fields) > 0 then '?' || array_to_string(fields, '&') else '' end as canon
+  from fielded
+),
+paired as (
+  select r.record_id, r.canon, r.ts, r.etag, r.last_modified, r.digest, r.date,
+         f.record_id as f_id, f.etag as f_etag, f.last_modified as f_modified, f.digest as f_digest,
+         row_number() over (partition by r.record_id order by f.ts desc, f.record_id desc) as rn
+  from canonical r left join canonical f
+    on f.canon = r.canon and not f.is_revisit and f.ts < r.ts
+  where r.is_revisit
+),
+judged as (
+  select *, case
+    when f_id is null then 'no_earlier_response'
+    when etag is not null and f_etag is not null then
+      case when etag = f_etag then 'resolved' else 'validator_mismatch' end
+    when last_modified is not null and f_modified is not null then
+      case when last_modified = f_modified then 'resolved' else 'validator_mismatch' end
+    when digest = f_digest then 'resolved' else 'validator_mismatch' end as outcome
+  from paired where rn = 1
+)
+select record_id, canon as url, ts, f_id as refers_to, outcome,
+       case when outcome = 'resolved' then f_digest end as payload_digest,
+       case when outcome = 'resolved'
+         then 'content-type: text/html' || chr(10) || 'date: ' || date end as headers
+from judged
+"""
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qualityrules.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -144,6 +254,9 @@ QUERIES = {
     for f in (
         op1_packing,
         op2_quality_classifier,
+        op3_secret_scan,
+        op4_substring_dedup,
+        op5_warc_revisits,
         op6_quality_rules,
         op7_language_id,
         op8_minhash_near_dedup,
@@ -151,4 +264,4 @@ QUERIES = {
         op10_line_dedup,
     )
 }
-SQL = {"op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
+SQL = {"op5_warc_revisits": OP5_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
