@@ -1,4 +1,12 @@
-"""Documents to packed sequences, stage by stage."""
+"""Documents to packed token sequences, stage by stage.
+
+Each stage takes what the one before it kept, as Parquet, and its decisions take effect: texts
+whose language is rejected go, boilerplate lines are cut, one document of each group of near
+copies stays, documents that contain benchmark passages go, and the rest is packed.
+
+A row stands for a document; rows that share an id share what is decided by id. Null and empty
+texts go in the first stage. Columns beyond those of ``documents`` are carried along.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +14,62 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from medallion.llm import decontamination, langid
+from medallion.llm.linefreq import drop_frequent_lines, normalised
+from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
 from medallion.llm.store import ship, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+BROADCAST_IDS = 1_000_000
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that ``lang`` names."""
+    ship(spark)
+    model = langid.fit(docs, langid.every_fifth(docs["doc_id"]))
+    found = langid.identify(docs, model, columns=tuple(docs.columns))
+    return found.where("not rejected").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their source's boilerplate lines, as far as a word is left."""
+    cut = drop_frequent_lines(docs)
+    cut = cut.where(normalised(F.regexp_replace("text", "\n", " ")) != "")
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of the least id."""
+    ship(spark)
+    copies = stored(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_copy")), "copies")
+    if copies.count() <= BROADCAST_IDS:
+        copies = F.broadcast(copies)
+    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages are less than a twentieth of."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.without_contaminated(docs, decontamination.matches(docs, benchmark))
+
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of what is left."""
+    """Pieces of token sequences, with the columns of ``pack``."""
     ship(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", packing)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
 
 #: No SQL: the first stage is a language model and the last a tokenizer.
 ORACLE_SQL: str | None = None
