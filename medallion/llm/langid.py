@@ -37,6 +37,7 @@ from medallion.llm.arrays import mix
 ORDER = 4
 UNKNOWN = "und"
 BLOCK_CHARS = 1 << 19
+FEW = 20  # calibration texts of a language
 LEAST_EXCESS = 0.5  # nats per character above the usual, without which nothing is rejected
 _GAP = "\0" * (ORDER - 1)
 _letters: list[np.ndarray] = []
@@ -209,16 +210,19 @@ def calibrate(model: Model, lang: list[str], count: np.ndarray, entropy: np.ndar
         likely = _posterior(model, count, entropy)[np.arange(len(truth)), truth]
         losses.append(-np.log(np.maximum(likely, 1e-12)).mean())
     model.sharpness = float(grid[int(np.argmin(losses))])
+    own = entropy[np.arange(len(truth)), truth]
     for k in range(width):
         of = truth == k
-        if of.sum() < 20:
+        if of.sum() < FEW:  # then the languages together say what is usual
+            of[:] = True
+        if of.sum() < FEW:
             continue
-        n, own = np.maximum(count[of], 1), entropy[of, k]
-        model.usual[0, k] = mean = np.average(own, weights=n)
-        square = (own - mean) ** 2
+        n, nats = np.maximum(count[of], 1), own[of]
+        model.usual[0, k] = mean = np.average(nats, weights=n)
+        square = (nats - mean) ** 2
         model.usual[1, k] = max(np.median(square[n >= np.median(n)]) * 2, 1e-4)
         model.usual[2, k] = max(np.average(square * n), 1e-2)
-        z = _deviation(model.usual, truth[of], count[of], own)
+        z = _deviation(model.usual, np.full(of.sum(), k), count[of], nats)
         model.usual[3, k] = 1.5 * max(np.quantile(z, 0.999), 2.0)
 
 
@@ -262,7 +266,7 @@ def fit(
                 for first, end in _in_blocks(own):
                     keys, n = np.unique(symbols(own[first:end])[0], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)],
+                        [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)],
                         ["lang", "key", "n"],
                     )
 
