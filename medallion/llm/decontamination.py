@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import stored
+from medallion.llm.store import free, stored
 
 WINDOW = 13
 RAREST = 2  # terms whose postings are intersected for each window
@@ -190,9 +190,9 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 def without_contaminated(docs: DataFrame, found: DataFrame, *, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is not contaminated."""
     text = docs[text_column]
-    keys = stored(found.select(F.col("key").alias("_key"), F.col("n_hit").alias("_hit")), "hit-keys")
-    n_words = F.size(words(text))
-    bad = (text_key(text) == F.col("_key")) & contaminated(F.col("_hit"), n_words)
+    key, hit = free("_key", docs.columns), free("_hit", docs.columns)
+    keys = stored(found.select(F.col("key").alias(key), F.col("n_hit").alias(hit)), "hit-keys")
+    bad = (text_key(text) == F.col(key)) & contaminated(F.col(hit), F.size(words(text)))
     return docs.join(small(keys), bad, "left_anti")
 
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
 from medallion.llm.arrays import mix
+from medallion.llm.store import free
 
 ORDER = 4
 UNKNOWN = "und"
@@ -336,7 +337,8 @@ def identify(
     those names in ``columns`` are left out."""
     results = ("lang_pred", "score", "rejected")
     carried = [c for c in columns if c not in results]
-    chosen = docs.select(docs[text_column].alias("_text"), *(docs[c] for c in carried))
+    text = docs[text_column].alias(free("_text", carried))
+    chosen = docs.select(text, *(docs[c] for c in carried))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,8 +12,8 @@ be small, else joined, where adaptive execution splits a hot host. Only built-in
 
 Defined cases: a null host counts as the empty one; a null text stays null, an empty one
 empty; blank lines are never counted or dropped; repeated rows are separate pages; an empty
-table gives no rows; columns that clash with internal names cannot occur, since the frame's
-own columns are only read by position of their reference.
+table gives no rows; other columns are carried along, whatever their names, but for
+``n_lines`` and ``n_dropped``, which are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import stored
+from medallion.llm.store import free, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_LINES = 500_000  # 8 bytes each
@@ -66,30 +66,27 @@ def drop_frequent_lines(
         frequent_lines(docs, docs[host_column], docs[text_column], ratio, min_pages), "lines"
     )
     size = found.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
-    found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+    host, bad, whole, left, worded = (
+        free(c, docs.columns) for c in ("_host", "_bad", "_whole", "_left", "_worded")
+    )
+    found = found.select(F.col("host").alias(host), F.col("lines").alias(bad))
     if size <= BROADCAST_LINES:
         found = F.broadcast(found)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.join(found, F.coalesce(docs[host_column], F.lit("")) == F.col("_host"), "left")
-    text = docs[text_column]
+    joined = docs.join(found, F.coalesce(docs[host_column], F.lit("")) == F.col(host), "left")
 
     def boilerplate(line: Column) -> Column:
-        frequent = F.array_contains("_lines", F.xxhash64(normalised(line)))
+        frequent = F.array_contains(bad, F.xxhash64(normalised(line)))
         return F.coalesce(frequent & (normalised(line) != ""), F.lit(False))
 
-    all_lines = F.split(text, "\n")
-    kept = F.when(F.col("_lines").isNull(), all_lines).otherwise(
-        F.filter(all_lines, lambda line: ~boilerplate(line))
-    )
-    worded = F.size(F.filter(all_lines, lambda line: normalised(line) != ""))
+    lines = F.split(docs[text_column], "\n")
+    kept = F.when(F.col(bad).isNull(), lines).otherwise(F.filter(lines, lambda line: ~boilerplate(line)))
+    words = F.size(F.filter(lines, lambda line: normalised(line) != ""))
     result = joined.select(
-        *(docs[c] for c in names), all_lines.alias("_all"), kept.alias("_kept"), worded.alias("_n")
+        *(docs[c] for c in names), lines.alias(whole), kept.alias(left), words.alias(worded)
     )
     return result.select(
-        *(
-            F.array_join("_kept", "\n").alias(c) if c == text_column else F.col(c)
-            for c in names
-        ),
-        F.coalesce(F.greatest("_n", F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_all") - F.size("_kept"), F.lit(0)).cast("long").alias("n_dropped"),
+        *(F.array_join(left, "\n").alias(c) if c == text_column else F.col(c) for c in names),
+        F.coalesce(F.greatest(worded, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(whole) - F.size(left), F.lit(0)).cast("long").alias("n_dropped"),
     )

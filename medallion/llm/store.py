@@ -27,6 +27,14 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables written so far. Results that were not written out are lost."""
     while _written:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from medallion.llm.arrays import blocks, hash_runs, random_words, utf8
-from medallion.llm.store import stored
+from medallion.llm.store import free, stored
 
 LEAST, MOST = 8, 64  # bytes of a chunk
 SPAN, ZERO_BITS = 16, 4  # bytes the hash sees; a chunk ends at one byte in 2^ZERO_BITS
@@ -153,19 +153,16 @@ def repeated_passages(
         F.min("start").alias("start"),
         F.max(F.col("start") + F.col("length")).alias("end"),
     )
+    best = F.max(F.struct("words", (-F.col("start")).alias("place"), "least", "end")).alias("best")
     return (
         by_source.groupBy("id", "island")
-        .agg(
-            F.max(F.struct("words", (-F.col("start")).alias("s"), "least")).alias("best"),
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-        )
+        .agg(best)
         .where(F.col("best.words") >= min_words)
         .select(
             F.col("id").alias(id_column),
             F.col("best.least").alias(f"source_{id_column}"),
-            "start",
-            (F.col("end") - F.col("start")).alias("length"),
+            (-F.col("best.place")).alias("start"),
+            (F.col("best.end") + F.col("best.place")).alias("length"),
             F.col("best.words").cast("long").alias("n_words"),
         )
     )
@@ -175,11 +172,12 @@ def without_passages(
     docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``docs`` with the passages cut out of their texts."""
-    cuts = passages.groupBy(F.col(id_column).alias("_id")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cuts")
+    key, cut = free("_id", docs.columns), free("_cuts", docs.columns)
+    cuts = passages.groupBy(F.col(id_column).alias(key)).agg(
+        F.array_sort(F.collect_list(F.struct("start", "length"))).alias(cut)
     )
     at = docs.columns.index(text_column)
-    joined = docs.join(cuts, docs[id_column] == cuts["_id"], "left").select(*(docs[c] for c in docs.columns), "_cuts")
+    joined = docs.join(cuts, docs[id_column] == cuts[key], "left").select(*(docs[c] for c in docs.columns), cut)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
