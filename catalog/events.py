@@ -72,6 +72,24 @@ def envelope_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(accepted(parse_envelope(_messages(events), events.schema)))
 
 
+@query("""
+    SELECT o_orderkey, CAST(o_orderdate AS date) AS day,
+           CAST(o_totalprice AS decimal(12, 2))::varchar AS price,
+           date_trunc('second', o_orderdate) AS moment
+    FROM orders""")
+def envelope_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, decimals and timestamps through the text form and back."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        F.date_trunc("second", "o_orderdate").cast("timestamp_ntz").alias("moment"),
+    )
+    text = orders.select(build_envelope(orders, "shop", "orders", TS_MS).alias("value"))
+    rows = flatten(accepted(parse_envelope(text, orders.schema)))
+    return rows.withColumn("price", F.col("price").cast("string"))
+
+
 @query("SELECT event_id FROM events WHERE event_type = 'error'")
 def envelope_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -85,9 +103,9 @@ def props_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT * FROM orders WHERE o_orderkey > 0")
+@query("SELECT * FROM orders")
 def cdc_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two polls while the table grows: each id above 0 is published once."""
+    """Two polls while the table grows: each id is published once."""
     orders = table(spark, sf_dir, "orders")
     topic = new_scratch(spark, "topic")
     state = KeysetState(new_lake(spark).table("state", "capture", "keysets"))
@@ -137,9 +155,9 @@ def _capture_twice(spark: SparkSession, sf_dir: str) -> tuple[KeysetState, dict[
 
 
 @query("""
-    SELECT 'customer' AS tab, c_custkey AS id FROM customer WHERE c_custkey > 0
-    UNION ALL SELECT 'part', p_partkey FROM part WHERE p_partkey > 0
-    UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_suppkey > 0""")
+    SELECT 'customer' AS tab, c_custkey AS id FROM customer
+    UNION ALL SELECT 'part', p_partkey FROM part
+    UNION ALL SELECT 'supplier', s_suppkey FROM supplier""")
 def cdc_capture_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the topics hold."""
     _, topics = _capture_twice(spark, sf_dir)
@@ -160,7 +178,7 @@ def cdc_capture_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the next poll starts."""
     state, _ = _capture_twice(spark, sf_dir)
     tab = F.split_part("key_column", F.lit("_"), F.lit(1))
-    return state.table.read().select(tab.alias("tab"), "last_processed_id")
+    return state.read().select(tab.alias("tab"), "last_processed_id")
 
 
 def _stream(spark: SparkSession, lake: Lake, topic: str, progress: str, events: DataFrame) -> None:

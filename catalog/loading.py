@@ -60,7 +60,7 @@ def checkpoint_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return largest(increment, "o_orderdate")
 
 
-@query("SELECT max(o_orderkey) AS last_value FROM orders WHERE o_orderkey > 0")
+@query("SELECT max(o_orderkey) AS last_value FROM orders")
 def keyset_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The id a first poll leads to."""
     return largest(rows_after(table(spark, sf_dir, "orders"), "o_orderkey"), "o_orderkey")
@@ -130,6 +130,18 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("raw", "shop", _ingest_twice(spark, sf_dir, lake))
 
 
+@query("SELECT * FROM orders")
+def ingest_repeated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that its scheduler starts again, after its checkpoint was saved."""
+    lake = new_lake(spark)
+    with _view(spark) as view:
+        table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+        spec = TableSpec("shop", view, ("o_orderkey",), checkpoint_column="o_orderdate")
+        for _ in range(2):
+            ingest_table(lake, CatalogSource(spark), spec, _checkpoints(lake), run_id="run_1")
+        return lake.read("raw", "shop", view)
+
+
 @query("""
     SELECT 'shop' AS namespace, 'o_orderdate' AS checkpoint_column,
            max(o_orderdate) AS last_timestamp
@@ -138,7 +150,7 @@ def ingest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state two runs leave behind."""
     lake = new_lake(spark)
     _ingest_twice(spark, sf_dir, lake)
-    state = _checkpoints(lake).table.read()
+    state = _checkpoints(lake).read()
     return state.select("namespace", "checkpoint_column", "last_timestamp")
 
 
@@ -160,7 +172,7 @@ def custom_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             "WHERE o_orderstatus = 'F'",
         )
         ingest_table(lake, CatalogSource(spark), spec, state)
-        saved = state.table.read().count() if state.table.exists() else 0
+        saved = state.read().count()
         return lake.read("raw", "shop", view).withColumn("checkpoints", F.lit(saved))
 
 

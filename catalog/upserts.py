@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import new_lake, query, table
@@ -68,27 +68,58 @@ def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH early AS (
-             SELECT o_custkey, max(o_orderdate) AS d, 'P' AS status
-             FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
+             SELECT o_custkey, max(o_orderdate) AS d, 'open' AS status
+             FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey),
          final AS (
-             SELECT o_custkey, max(o_orderdate) AS d, 'F' AS status
+             SELECT o_custkey, max(o_orderdate) AS d, 'final' AS status
              FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
     SELECT coalesce(final.o_custkey, early.o_custkey) AS o_custkey,
            CASE WHEN final.d IS NULL OR early.d > final.d THEN early.d ELSE final.d END AS d,
-           CASE WHEN final.d IS NULL OR early.d > final.d THEN 'P' ELSE 'F' END AS status
+           CASE WHEN final.d IS NULL OR early.d > final.d THEN 'open' ELSE 'final' END AS status
     FROM early FULL JOIN final ON early.o_custkey = final.o_custkey""")
 def upsert_newer_than(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only source rows that are at least as new replace a row."""
     orders = table(spark, sf_dir, "orders")
 
-    def last_of(status: str) -> DataFrame:
-        rows = orders.filter(F.col("o_orderstatus") == status)
-        latest = rows.groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
+    final = F.col("o_orderstatus") == "F"
+
+    def last_of(chosen: Column, status: str) -> DataFrame:
+        latest = orders.filter(chosen).groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
         return latest.withColumn("status", F.lit(status))
 
-    source = last_of("F")
+    source = last_of(final, "final")
     profile = profile_source(source, ["o_custkey"])
-    return upsert(last_of("P"), source, ["o_custkey"], newer_than="d", profile=profile)
+    return upsert(last_of(~final, "open"), source, ["o_custkey"], newer_than="d", profile=profile)
+
+
+@query("""
+    WITH early AS (
+             SELECT o_custkey, max(o_orderdate) AS d, 'open' AS status
+             FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey),
+         final AS (
+             SELECT o_custkey, max(o_orderdate) AS d, 'final' AS status
+             FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+    SELECT coalesce(final.o_custkey, early.o_custkey) AS o_custkey,
+           CASE WHEN final.d IS NULL OR early.d > final.d THEN early.d ELSE final.d END AS d,
+           CASE WHEN final.d IS NULL OR early.d > final.d THEN 'open' ELSE 'final' END AS status
+    FROM early FULL JOIN final ON early.o_custkey = final.o_custkey""")
+def upsert_newer_than_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one shuffled join, for a target that holds each key once."""
+    orders = table(spark, sf_dir, "orders")
+    final = F.col("o_orderstatus") == "F"
+
+    def last_of(chosen: Column, status: str) -> DataFrame:
+        latest = orders.filter(chosen).groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
+        return latest.withColumn("status", F.lit(status))
+
+    return upsert(
+        last_of(~final, "open"),
+        last_of(final, "final"),
+        ["o_custkey"],
+        newer_than="d",
+        broadcast_limit=0,
+        unique=True,
+    )
 
 
 @query(UPSERT_SQL)

@@ -147,6 +147,75 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read().withColumn("versions", F.lit(len(target.versions())))
 
 
+@query(f"""
+    SELECT * EXCLUDE (rn), md5(CAST(l_orderkey AS varchar)) AS key, {LOADED} AS timestamp_kafka
+    FROM (SELECT l_orderkey, l_shipdate, l_partkey, l_suppkey, l_comment_free,
+                 row_number() OVER (PARTITION BY l_orderkey
+                     ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC,
+                              l_comment_free DESC) AS rn
+          FROM (SELECT l_orderkey, date_trunc('year', l_shipdate) AS l_shipdate, l_partkey,
+                       l_suppkey, l_returnflag AS l_comment_free FROM lineitem))
+    WHERE rn = 1""")
+def trusted_zone_ties_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one key with equal checkpoints arrive in different batches."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.date_trunc("year", "l_shipdate").cast("timestamp_ntz").alias("l_shipdate"),
+        "l_partkey",
+        "l_suppkey",
+        F.col("l_returnflag").alias("l_comment_free"),
+    )
+    spec = TableSpec("shop", "lines", ("l_orderkey",), checkpoint_column="l_shipdate", merge=True)
+    lake = new_lake(spark)
+    state = RefinedState(lake.table("state", "refine", "batches"))
+    for number in range(3):
+        arriving = lines.filter(F.col("l_partkey") % 3 == (2 - number))
+        lake.table("raw", "shop", "lines").add_batch(arriving, "run", number)
+        refine_new(lake, spec, state, LOAD_AT)
+    return wall_clock(lake.read("trusted", "shop", "lines"))
+
+
+def _events_spec(hidden: tuple[str, ...]) -> TableSpec:
+    return TableSpec(
+        "shop", "events", ("user_id",), checkpoint_column="ts", ignore_columns=hidden, merge=True
+    )
+
+
+@query(MERGED_SQL)
+def safe_zone_added_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column becomes restricted after the first batch: the new safe zone has all rows."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    lake = new_lake(spark)
+    state = RefinedState(lake.table("state", "refine", "batches"))
+    for number, (arriving, hidden) in enumerate(
+        ((events.filter(early), ()), (events.filter(~early), ("props",)))
+    ):
+        lake.table("raw", "shop", "events").add_batch(arriving, "run", number)
+        refine_new(lake, _events_spec(hidden), state, LOAD_AT)
+    return wall_clock(lake.read("safe", "shop", "events"))
+
+
+@query(f"""
+    SELECT * EXCLUDE (rn), md5(CAST(user_id AS varchar)) AS key, {LOADED} AS timestamp_kafka
+    FROM (SELECT event_id, ts, user_id, event_type, value,
+                 CASE WHEN ts >= '2024-01-16' THEN props END AS props,
+                 row_number() OVER (
+                     PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+          FROM events)
+    WHERE rn = 1""")
+def trusted_zone_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source gets a column after the first batch."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    lake = new_lake(spark)
+    state = RefinedState(lake.table("state", "refine", "batches"))
+    for number, arriving in enumerate((events.filter(early).drop("props"), events.filter(~early))):
+        lake.table("raw", "shop", "events").add_batch(arriving, "run", number)
+        refine_new(lake, _events_spec(()), state, LOAD_AT)
+    return wall_clock(lake.read("trusted", "shop", "events"))
+
+
 @query(MERGED_SQL)
 def safe_zone_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches arrive newest first; each refinement merges the new one only."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import UTC, datetime
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -97,7 +97,9 @@ def parser() -> argparse.ArgumentParser:
     run = jobs.add_parser("run", parents=[lake, database, topic])
     run.add_argument("--config", required=True, help="JSON or YAML file")
     run.add_argument("--progress", required=True, help="checkpoint folder of the streams")
-    run.add_argument("--only-new", action="store_true", help="merge new raw batches only")
+    run.add_argument("--full", action="store_true", help="refine all of raw, not new batches only")
+    run.add_argument("--only-new", action="store_true", help="the default now")
+    run.add_argument("--files-per-batch", type=int, help="files that a stream batch is written in")
     run.add_argument("--at-once", type=int, default=1, help="tables to run side by side")
 
     words = jobs.add_parser("count-words")
@@ -168,16 +170,19 @@ def _refine(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = _lake(spark, args)
+    config = _config(args.config)
+    sources = _group_sources(spark, args, config)
     runs = run_tables(
         lake,
-        specs_from_config(_config(args.config)),
+        specs_from_config(config),
         _checkpoints(lake),
-        source=lambda spec: _source(spark, args),
+        source=lambda spec: sources.get(spec.namespace) or _source(spark, args),
         messages=lambda spec: _messages(spark, args, spec.topic, spec.servers),
         stream_checkpoints=args.progress,
-        load_at=datetime.now(),
+        load_at=datetime.now(UTC),
         at_once=args.at_once,
-        refined=_refined(lake) if args.only_new else None,
+        refined=None if args.full else _refined(lake),
+        files_per_batch=args.files_per_batch,
     )
     _report([(r.spec.dataset, r.error) for r in runs])
 
@@ -219,6 +224,25 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> CatalogSource | Jd
     return JdbcSource(spark, args.url, args.driver, _pairs(args.option), splits)
 
 
+def _group_sources(
+    spark: SparkSession, args: argparse.Namespace, config: dict[str, Any]
+) -> dict[str, JdbcSource]:
+    """Databases of the groups that name one; the others use that of the command line."""
+    shared = _source(spark, args)
+    splits = shared.splits if isinstance(shared, JdbcSource) else {}
+    return {
+        group["connection"]: JdbcSource(
+            spark,
+            group["url"],
+            group.get("driver", args.driver),
+            {**_pairs(args.option), **group.get("options", {})},
+            splits,
+        )
+        for group in config.values()
+        if group.get("url")
+    }
+
+
 def _messages(
     spark: SparkSession, args: argparse.Namespace, topic: str, servers: str | None = None
 ):

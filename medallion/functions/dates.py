@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,18 +16,20 @@ FIRST_VALID_YEAR = 10
 GUARDED_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def load_instant(at: datetime | None = None) -> datetime:
-    """The instant of a run, cut to the second. Fixed once, so that a
-    recomputed task stamps the same value."""
-    return (at or datetime.now()).replace(microsecond=0)
+def load_instant(at: datetime | None = None) -> Column:
+    """The instant of a run, cut to the second, now by default: a literal, so that a
+    recomputed task stamps the same value. A wall clock without a zone is one of the
+    session's zone."""
+    if at is not None and at.tzinfo is None:
+        return F.lit(at.replace(microsecond=0).isoformat(" ")).cast("timestamp")
+    return F.timestamp_seconds(F.lit(int(time.time() if at is None else at.timestamp())))
 
 
 def with_load_timestamp(
     df: DataFrame, at: datetime | None = None, column: str = LOAD_COLUMN
 ) -> DataFrame:
     """Add one constant load timestamp to every row."""
-    text = load_instant(at).strftime("%Y-%m-%d %H:%M:%S")
-    return df.withColumn(column, F.lit(text).cast("timestamp"))
+    return df.withColumn(column, load_instant(at))
 
 
 def date_columns(df: DataFrame) -> list[str]:

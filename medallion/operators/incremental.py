@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 
 def rows_since(df: DataFrame, column: str | None, value: Any | None) -> DataFrame:
-    """Rows at or after a stored checkpoint. Rows equal to it are read again;
-    refinement removes the repeats. No column or no value means a full read."""
+    """Rows at or after a stored checkpoint, a value or a typed column. Rows equal
+    to it are read again; refinement removes the repeats. No column or no value
+    means a full read."""
     if not column or value is None:
         return df
     data_type = df.schema[column].dataType
@@ -23,8 +24,10 @@ def rows_since(df: DataFrame, column: str | None, value: Any | None) -> DataFram
     return df.filter(F.col(column) >= F.lit(value).cast(data_type))
 
 
-def rows_after(df: DataFrame, column: str = "id", value: int = 0) -> DataFrame:
-    """Rows with an id strictly above the last processed one."""
+def rows_after(df: DataFrame, column: str = "id", value: int | None = None) -> DataFrame:
+    """Rows with an id strictly above the last processed one; without one, all that have an id."""
+    if value is None:
+        return df.filter(F.col(column).isNotNull())
     return df.filter(F.col(column) > F.lit(value))
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 # Above this many estimated bytes the source keys are shuffled, not broadcast.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 ROW_OVERHEAD = 96
-TEXTS = (T.StringType, T.BinaryType)
+#: Types whose values take a few bytes each.
+BOUNDED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -70,47 +71,67 @@ def upsert(
     newer_than: str | None = None,
     profile: SourceProfile | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
+    order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Update matched rows in all columns, insert the rest of ``source``, keep
     the rest of ``lake``. Null keys never match, so both sides keep theirs.
 
     The result has the columns of ``lake``: extra source columns are ignored and
     a missing one is an error. ``newer_than`` names a column that stops an older
-    source row from replacing a newer one.
-
-    ``source`` must hold each key once; pass its ``profile`` to have that checked
-    and the join picked by size. Keys within ``broadcast_limit`` bytes are
-    broadcast, and the target is not shuffled at all. Beyond it both sides are
-    shuffled by key; rows without a key bypass the shuffle, and a key that the
-    target repeats often is split by adaptive skew handling.
+    source row from replacing a newer one; ``order`` names several, compared one
+    after the other.
+
+    ``source`` must hold each key once; that is checked, by its ``profile`` or by
+    a pass over its keys, which also picks the join. Keys within
+    ``broadcast_limit`` bytes are broadcast, and the target is not shuffled at
+    all. Beyond it both sides are shuffled by key; rows without a key bypass the
+    shuffle, and a key that the target repeats often is split by adaptive skew
+    handling. If the target holds each key once as well (``unique``), a shuffled
+    comparison takes one join instead of three scans of the target.
     """
     keys = list(keys)
     source = source.select(*[F.col(f"`{c}`") for c in lake.columns])
-    compared = [*keys, newer_than] if newer_than else keys
+    compared = list(order) or ([newer_than] if newer_than else [])
+    rank = F.struct(*[F.col(f"`{c}`") for c in compared]) if compared else None
     match = source.filter(_all_present(keys)).select(
-        *[F.col(f"`{c}`").alias(f"__s_{c}") for c in compared]
+        *[F.col(f"`{c}`").alias(f"__s_{c}") for c in keys],
+        *([rank.alias("__offered")] if compared else []),
     )
     same_key = _and([F.col(k) == F.col(f"__s_{k}") for k in keys])
 
-    how = None
-    if profile is not None:
-        profile.require_unique(keys)
-        # The profile measures keys; a compared text could be of any length.
-        bounded = newer_than is None or not isinstance(source.schema[newer_than].dataType, TEXTS)
-        how = "broadcast" if bounded and profile.key_bytes <= broadcast_limit else "merge"
-
-    if newer_than is None:
-        replaced, fresh = same_key, source
-    else:
-        stored, offered = F.col(newer_than), F.col(f"__s_{newer_than}")
-        replaced = same_key & ~_later(stored, offered)
-        fresh = _not_stale(lake, source, match, keys, newer_than, how)
+    profile = profile or profile_source(source, keys)
+    profile.require_unique(keys)
+    # The profile measures keys; a compared value could be of any length.
+    bounded = all(isinstance(source.schema[c].dataType, BOUNDED) for c in compared)
+    how = "broadcast" if bounded and profile.key_bytes <= broadcast_limit else "merge"
+
+    if not compared:
+        return _without(lake, match, same_key, keys, how).unionByName(source)
+    if unique and how == "merge":
+        return _newest(lake, source, keys, rank)
+    replaced = same_key & ~(rank > F.col("__offered"))
+    fresh = _not_stale(lake, source, match, keys, rank, how)
     return _without(lake, match, replaced, keys, how).unionByName(fresh)
 
 
-def _later(one: Column, other: Column) -> Column:
-    """Whether one value comes after the other; null comes before all."""
-    return F.coalesce(one > other, one.isNotNull() & other.isNull())
+def _newest(lake: DataFrame, source: DataFrame, keys: list[str], rank: Column) -> DataFrame:
+    """Of each key's two rows the one of greater rank, the source's if they are equal. Rows
+    without a key stay out of the join."""
+    present = _all_present(keys)
+    whole = F.struct(*[F.col(f"`{c}`") for c in lake.columns])
+    old = lake.filter(present).select(
+        *[F.col(k).alias(f"__l_{k}") for k in keys], whole.alias("__old"), rank.alias("__stored")
+    )
+    new = source.filter(present).select(
+        *[F.col(k).alias(f"__s_{k}") for k in keys], whole.alias("__new"), rank.alias("__offered")
+    )
+    same_key = _and([F.col(f"__l_{k}") == F.col(f"__s_{k}") for k in keys])
+    both = old.join(new.hint("merge"), same_key, "full_outer")
+    stays = F.col("__new").isNull() | F.coalesce(F.col("__stored") > F.col("__offered"), F.lit(False))
+    chosen = both.select(F.when(stays, F.col("__old")).otherwise(F.col("__new")).alias("row"))
+    keyless = lake.filter(~present).unionByName(source.filter(~present))
+    return chosen.select("row.*").unionByName(keyless)
 
 
 def _not_stale(
@@ -118,34 +139,33 @@ def _not_stale(
     source: DataFrame,
     match: DataFrame,
     keys: list[str],
-    newer_than: str,
-    how: str | None,
+    rank: Column,
+    how: str,
 ) -> DataFrame:
     """Source rows that the target has nothing newer for. The target is reduced
-    to one value per key within partitions before it is shuffled."""
-    stored = lake.filter(_all_present(keys)).select(*keys, newer_than)
+    to one value per key within partitions before it is shuffled. Ranks are
+    structs, in which a null comes before all values."""
+    stored = lake.filter(_all_present(keys)).select(*keys, rank.alias("__rank"))
     if how == "broadcast":
         # Leaves at most one value per source key, so within the same bound.
         same_key = _and([F.col(k) == F.col(f"__s_{k}") for k in keys])
         stored = stored.join(F.broadcast(match), same_key, "left_semi")
     newest = (
         stored.groupBy(*keys)
-        .agg(F.max(newer_than).alias("__newest"))
+        .agg(F.max("__rank").alias("__newest"))
         .withColumnsRenamed({k: f"__l_{k}" for k in keys})
     )
-    stale = _and([F.col(k) == F.col(f"__l_{k}") for k in keys]) & _later(
-        F.col("__newest"), F.col(newer_than)
-    )
+    same_key = _and([F.col(k) == F.col(f"__l_{k}") for k in keys])
+    stale = same_key & (F.col("__newest") > rank)
     return _without(source, newest, stale, keys, how)
 
 
 def _without(
-    left: DataFrame, right: DataFrame, on: Column, keys: Sequence[str], how: str | None
+    left: DataFrame, right: DataFrame, on: Column, keys: Sequence[str], how: str
 ) -> DataFrame:
     """Anti join. Unless ``right`` is broadcast, rows without a key skip it: they
     match nothing, and a shuffle would put them all into one partition."""
-    if how is not None:
-        right = right.hint(how)
+    right = right.hint(how)
     if how == "broadcast" or not any(left.schema[k].nullable for k in keys):
         return left.join(right, on, "left_anti")
     present = _all_present(keys)

@@ -33,7 +33,7 @@ def capture_table(
     ts_ms: int | None = None,
 ) -> Captured:
     """Publish one insert event per row with an id above the last processed one,
-    then store the greatest id published. ``publish`` gets a frame with one
+    at first per row with an id, then store the greatest id published. ``publish`` gets a frame with one
     ``value`` column and must write all of it."""
     rows = rows_after(source.table(table), id_column, state.value(table))
     seen = Observation()

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.functions.dates import date_columns, guard_dates, with_load_timestamp
+from medallion.functions.dates import LOAD_COLUMN, date_columns, guard_dates, with_load_timestamp
 from medallion.functions.keys import surrogate_key
 from medallion.operators.columns import drop_restricted
 from medallion.operators.dedup import latest_per_key, one_per_key
 from medallion.operators.envelope import accepted, event_schema, flatten, rejected
-from medallion.operators.upsert import profile_source
+from medallion.operators.upsert import BROADCAST_LIMIT, SourceProfile, profile_source
 from medallion.plans.spec import TableSpec
 from medallion.plans.state import RefinedState
-from medallion.sources.lake import DeltaTable, Lake, ParquetTable
+from medallion.sources.lake import DeltaTable, Lake, ParquetTable, with_columns_of
 from medallion.sources.scratch import staged
 
 KEY = "key"
+SMALL_VALUES = 500_000  # key values that may be broadcast with their keys
 
 
 def read_raw(
@@ -28,21 +31,19 @@ def read_raw(
     dataset: str,
     from_events: bool,
     schema: T.StructType | None = None,
+    storage_format: str | None = None,
 ) -> DataFrame:
     """Rows of a raw table: after-images if it holds change events, else as is.
 
     ``schema`` are the table's columns now. Batches written before a column was
-    added have null in it; without a schema one of the files decides. Database
-    rows keep the types they were read with.
+    added have null in it; without a schema the columns are those of all files.
+    Database rows keep the types they were read with.
     """
-    raw = lake.table("raw", namespace, dataset)
+    raw = lake.table("raw", namespace, dataset, storage_format)
     if from_events:
         events = raw.read(None if schema is None else event_schema(schema))
         return flatten(accepted(events))
-    rows = raw.read()
-    if schema is not None and not set(schema.names) <= set(rows.columns):
-        rows = raw.read(all_columns=True)
-    return rows
+    return raw.read(all_columns=True)
 
 
 def read_quarantine(lake: Lake, namespace: str, dataset: str) -> DataFrame:
@@ -81,12 +82,13 @@ def refine(lake: Lake, spec: TableSpec, load_at: datetime | None = None) -> None
     """Refine a raw table into the trusted zone, without restricted columns, and
     with restricted columns also into the safe zone, with all of them.
 
-    The refined rows are computed once: a replaced trusted zone is read from the
-    safe zone just written, and a merge reads a stored copy.
+    The refined rows are computed once: a trusted zone is read from the safe zone
+    just written, and a merge reads a stored copy.
     """
-    from_events = spec.topic is not None
-    raw = read_raw(lake, spec.namespace, spec.dataset, from_events, spec.schema)
-    _land(lake, spec, _refined(raw, spec, load_at), spec.newer_than)
+    raw = read_raw(
+        lake, spec.namespace, spec.dataset, spec.topic is not None, spec.schema, spec.storage_format
+    )
+    _land(lake, spec, _refined(raw, spec, load_at))
 
 
 def refine_new(
@@ -95,22 +97,35 @@ def refine_new(
     """Merge only the raw batches that no earlier call has refined, so that a run
     costs what has arrived and not what is stored. Returns their names.
 
-    The checkpoint column keeps an older row from replacing a newer one, so the
-    zones hold what a full refinement would merge; rows that did not change keep
-    their load timestamp. A batch counts as refined after both zones have it.
+    Rows compare with those in the target as in a full refinement, by checkpoint
+    and then all other columns, so the zones hold what that would merge; rows
+    that did not change keep their load timestamp. A zone that does not exist
+    yet is built from all of raw. A key that stands for other values in the
+    target is an error. A batch counts as refined after both zones have it.
     """
     column = spec.checkpoint_column
     if not spec.merge or not column or column in spec.ignore_columns:
         raise ValueError(f"{spec.dataset}: new batches need merge and an open checkpoint column")
-    table = lake.table("raw", spec.namespace, spec.dataset)
+    table = lake.table("raw", spec.namespace, spec.dataset, spec.storage_format)
+    names = table.batches()
     batches = state.pending(table, spec.namespace, spec.dataset)
-    if not batches:
+    if not names or not batches:
         return []
-    if spec.topic is None:
-        raw = table.read_batches(batches)
+    safe, trusted = _zones(lake, spec)
+    if not trusted.exists() or (safe is not None and not safe.exists()):
+        refine(lake, spec, load_at)
     else:
-        raw = flatten(accepted(table.read_batches(batches, event_schema(spec.schema))))
-    _land(lake, spec, _refined(raw, spec, load_at), column)
+        if spec.topic is None:
+            raw = table.read_batches(batches)
+        else:
+            raw = flatten(accepted(table.read_batches(batches, event_schema(spec.schema))))
+        known = (safe or trusted).read().drop(KEY, LOAD_COLUMN)
+        raw = with_columns_of(raw, known)
+        first = [*spec.table_key, column]
+        ties = spec.tie_break
+        if ties is None:
+            ties = [c for c in raw.columns if c not in first]
+        _land(lake, spec, _refined(raw, spec, load_at), [column, *ties])
     state.add(spec.namespace, spec.dataset, batches)
     return batches
 
@@ -121,19 +136,30 @@ def _refined(raw: DataFrame, spec: TableSpec, load_at: datetime | None) -> DataF
     )
 
 
-def _land(lake: Lake, spec: TableSpec, rows: DataFrame, newer_than: str | None) -> None:
-    hidden = spec.ignore_columns
-    trusted = lake.table("trusted", spec.namespace, spec.dataset)
-    safe = lake.table("safe", spec.namespace, spec.dataset) if hidden else None
+def _zones(lake: Lake, spec: TableSpec):
+    """The safe zone, if there is to be one or is one, and the trusted zone."""
+    names = (spec.namespace, spec.dataset, spec.storage_format)
+    safe = lake.table("safe", *names)
+    wanted = spec.ignore_columns or safe.exists()
+    return (safe if wanted else None), lake.table("trusted", *names)
 
-    existing = trusted.exists() or (safe is not None and safe.exists())
-    if spec.merge and (existing or spec.on_null_key == "reject"):
-        _merge(spec, rows, safe, trusted, newer_than)
+
+def _land(lake: Lake, spec: TableSpec, rows: DataFrame, order: Sequence[str] = ()) -> None:
+    """Bring refined rows into the zones, then delete what was replaced long enough ago, or at
+    once where it shows columns that are restricted now."""
+    hidden = set(spec.ignore_columns)
+    safe, trusted = _zones(lake, spec)
+    shown = trusted.exists() and hidden & set(trusted.read().columns)
+    if spec.merge:
+        _merge(spec, rows, safe, trusted, order)
     elif safe is None:
         trusted.replace(rows)
     else:
         safe.replace(rows)
-        trusted.replace(drop_restricted(safe.read(), hidden))
+        trusted.replace(drop_restricted(safe.read(), spec.ignore_columns))
+    if safe is not None:
+        safe.expire(spec.retention_hours)
+    trusted.expire(0 if shown else spec.retention_hours)
 
 
 def _merge(
@@ -141,16 +167,46 @@ def _merge(
     rows: DataFrame,
     safe: ParquetTable | DeltaTable | None,
     trusted: ParquetTable | DeltaTable,
-    newer_than: str | None,
+    order: Sequence[str],
 ) -> None:
+    """Merge into the safe zone and take the trusted zone from it, so that the target is joined
+    once; a zone that stands alone, or in front of an absent one, is merged itself."""
     hidden = spec.ignore_columns
     with staged(trusted.spark, rows, spec.dataset) as source:
         profile = profile_source(source, [KEY])
+        profile.require_unique([KEY])
         if spec.on_null_key == "reject" and profile.null_key_rows:
             raise ValueError(f"{spec.dataset}: {profile.null_key_rows} rows have no key")
+        options = {"profile": profile, "unique": True}
+        if isinstance(trusted, DeltaTable):
+            options["newer_than"] = spec.newer_than or (order[0] if order else None)
+        else:
+            options |= {"order": order} if order else {"newer_than": spec.newer_than}
+            if order:
+                _require_same_values(spec, safe or trusted, source, profile)
+        complete = safe is not None and safe.exists()
         if safe is not None:
-            safe.merge(source, [KEY], newer_than, profile=profile)
-            safe.expire(spec.retention_hours)
-        visible = drop_restricted(source, hidden)
-        trusted.merge(visible, [KEY], newer_than, drop=hidden, profile=profile)
-        trusted.expire(spec.retention_hours)
+            safe.merge(source, [KEY], **options)
+        if complete and trusted.exists():
+            trusted.replace(drop_restricted(safe.read(), hidden))
+        else:
+            trusted.merge(drop_restricted(source, hidden), [KEY], drop=hidden, **options)
+
+
+def _require_same_values(
+    spec: TableSpec, target: ParquetTable, source: DataFrame, profile: SourceProfile
+) -> None:
+    """An error if a key in the target stands for other values than in ``source``."""
+    columns = [c for c in spec.table_key if c in target.read().columns]
+    ours = source.filter(F.col(KEY).isNotNull()).select(
+        F.col(KEY).alias("__key"), *[F.col(f"`{c}`").alias(f"__s_{c}") for c in columns]
+    )
+    if profile.key_bytes <= BROADCAST_LIMIT and profile.rows * len(columns) <= SMALL_VALUES:
+        ours = F.broadcast(ours)
+    other = reduce(
+        lambda a, b: a | b, [~F.col(f"`{c}`").eqNullSafe(F.col(f"__s_{c}")) for c in columns]
+    )
+    clash = target.read().join(ours, F.col(KEY) == F.col("__key")).filter(other)
+    found = clash.select(KEY).first()
+    if found is not None:
+        raise ValueError(f"{spec.dataset}: key {found[0]} stands for different values")

@@ -34,6 +34,7 @@ def run_tables(
     load_at: datetime | None = None,
     at_once: int = 1,
     refined: RefinedState | None = None,
+    files_per_batch: int | None = None,
 ) -> list[TableRun]:
     """Per table: drain its topic if it has one, else read its database, then
     refine. Tables are independent: one that fails is reported in its result
@@ -46,13 +47,16 @@ def run_tables(
             if spec.topic:
                 drain_to_raw(
                     messages(spec),
-                    lake.table("raw", spec.namespace, spec.dataset),
+                    lake.table("raw", spec.namespace, spec.dataset, spec.storage_format),
                     spec.schema,
                     f"{stream_checkpoints}/{spec.namespace}/{spec.dataset}",
+                    files_per_batch,
                 )
             else:
                 ingest_table(lake, source(spec), spec, state)
-            if refined is not None and spec.merge and spec.checkpoint_column:
+            in_batches = (spec.storage_format or lake.storage_format) == "parquet"
+            by_time = spec.merge and spec.checkpoint_column not in (None, *spec.ignore_columns)
+            if refined is not None and in_batches and by_time:
                 refine_new(lake, spec, refined, load_at)
             else:
                 refine(lake, spec, load_at)

@@ -17,7 +17,8 @@ class TableSpec:
     """One table. With a ``topic`` it is ingested from change events of the
     given ``schema``, otherwise from the database. ``merge`` upserts into the
     safe and trusted zones instead of replacing them, and then deletes what was
-    replaced more than ``retention_hours`` ago."""
+    replaced more than ``retention_hours`` ago. ``storage_format`` is that of
+    the lake unless named."""
 
     namespace: str
     dataset: str
@@ -34,6 +35,7 @@ class TableSpec:
     on_null_key: Literal["keep", "reject"] = "keep"
     tie_break: tuple[str, ...] | None = None
     retention_hours: float = RETENTION_HOURS
+    storage_format: Literal["parquet", "delta"] | None = None
 
     def __post_init__(self) -> None:
         if self.topic and self.schema is None:
@@ -73,6 +75,7 @@ def specs_from_config(config: Mapping[str, Mapping[str, Any]]) -> list[TableSpec
                     on_null_key=entry.get("on_null_key", "keep"),
                     tie_break=tuple(entry["tie_break"]) if entry.get("tie_break") else None,
                     retention_hours=entry.get("retention_hours", RETENTION_HOURS),
+                    storage_format=entry.get("storage_format"),
                 )
             )
     return specs

@@ -1,49 +1,94 @@
-"""Stored progress of the ingest jobs: small tables with one row per dataset."""
+"""Stored progress of the jobs.
+
+Every dataset has a small table of its own below the state's folder, so that drivers which
+work on different datasets share nothing they write.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from functools import reduce
 from threading import Lock
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.functions.keys import checkpoint_key
 from medallion.operators.checkpoints import (
+    ENTRY_SCHEMA,
     KEYSET_SCHEMA,
     REFINED_SCHEMA,
-    STATE_SCHEMA,
-    checkpoint_rows,
+    decoded,
+    entry_rows,
     keyset_rows,
-    last_value,
 )
 from medallion.operators.upsert import SourceProfile
+from medallion.sources import files
 from medallion.sources.lake import DeltaTable, ParquetTable
 
+Table = ParquetTable | DeltaTable
+
+
+def _own(table: Table, name: str) -> Table:
+    """The table of one dataset."""
+    return type(table)(table.spark, f"{table.path}/{name}")
+
+
+def _read_all(table: Table, schema: str) -> DataFrame:
+    names = [e.name for e in files.entries(table.spark, table.path) if e.name[0] not in "._"]
+    parts = [_own(table, name).read(schema) for name in sorted(names)]
+    return reduce(DataFrame.unionByName, parts, table.spark.createDataFrame([], schema))
+
 
 @dataclass(frozen=True)
 class CheckpointState:
-    """Greatest checkpoint value per dataset. Jobs of one driver may share it."""
+    """Greatest checkpoint value and last run of each dataset."""
 
-    table: ParquetTable | DeltaTable
+    table: Table
     lock: Lock = field(default_factory=Lock, repr=False, compare=False)
 
-    def value(self, namespace: str, dataset: str) -> datetime | None:
-        if not self.table.exists():
-            return None
-        return last_value(self.table.read(STATE_SCHEMA), checkpoint_key(namespace, dataset))
-
-    def save(self, namespace: str, dataset: str, column: str, value: date | datetime) -> None:
-        if not isinstance(value, datetime):
-            value = datetime(value.year, value.month, value.day)
-        rows = checkpoint_rows(self.table.spark, namespace, dataset, column, value)
-        self.upsert(rows, SourceProfile.of_known([checkpoint_key(namespace, dataset)]))
+    def entry(self, namespace: str, dataset: str) -> Row | None:
+        """What the last run that was saved left behind."""
+        own = _own(self.table, checkpoint_key(namespace, dataset))
+        return own.read(ENTRY_SCHEMA).first() if own.exists() else None
+
+    def bound(self, entry: Row | None, data_type: T.DataType) -> Column | None:
+        """The stored checkpoint as a literal of the column's type."""
+        return None if entry is None else decoded(entry.value, entry.value_type, data_type)
+
+    def value(self, namespace: str, dataset: str) -> Any | None:
+        """The stored checkpoint: a wall clock for dates and times, else as the column has it."""
+        entry = self.entry(namespace, dataset)
+        if entry is None or entry.last_timestamp is not None:
+            return entry and entry.last_timestamp
+        literal = F.lit(entry.value).cast(entry.value_type)
+        return self.table.spark.range(1).select(literal).first()[0]
+
+    def save(
+        self,
+        namespace: str,
+        dataset: str,
+        column: str,
+        data_type: T.DataType,
+        text: str,
+        run_id: str,
+    ) -> None:
+        """Replace the dataset's entry; ``text`` is an ``encoded`` value."""
+        own = _own(self.table, checkpoint_key(namespace, dataset))
+        spark = self.table.spark
+        own.replace(entry_rows(spark, namespace, dataset, column, data_type, text, run_id))
+        own.expire()
+
+    def read(self) -> DataFrame:
+        """The entries of all datasets."""
+        return _read_all(self.table, ENTRY_SCHEMA)
 
     def upsert(self, rows: DataFrame, profile: SourceProfile | None = None) -> None:
-        """Insert rows of new keys, update those of known keys, keep the rest."""
+        """Merge the checkpoints of many datasets, summed up elsewhere, into one table: insert
+        rows of new keys, update those of known keys, keep the rest."""
         with self.lock:
             self.table.merge(rows, ["key_column"], profile=profile)
             self.table.expire()
@@ -51,44 +96,48 @@ class CheckpointState:
 
 @dataclass(frozen=True)
 class KeysetState:
-    """Last processed id per table, 0 at first."""
+    """Last processed id per table. Before the first poll there is none, or ``start``: with 0,
+    ids up to 0 are never captured."""
 
-    table: ParquetTable | DeltaTable
+    table: Table
+    start: int | None = None
 
-    def value(self, name: str) -> int:
-        if not self.table.exists():
-            return 0
-        found: Any = last_value(self.table.read(KEYSET_SCHEMA), name, "last_processed_id")
-        return 0 if found is None else found
+    def value(self, name: str) -> int | None:
+        own = _own(self.table, name)
+        row = own.read(KEYSET_SCHEMA).first() if own.exists() else None
+        return self.start if row is None else row.last_processed_id
 
     def save(self, name: str, value: int) -> None:
-        rows = keyset_rows(self.table.spark, name, value)
-        self.table.merge(rows, ["key_column"], profile=SourceProfile.of_known([name]))
-        self.table.expire()
+        own = _own(self.table, name)
+        own.replace(keyset_rows(self.table.spark, name, value))
+        own.expire()
+
+    def read(self) -> DataFrame:
+        return _read_all(self.table, KEYSET_SCHEMA)
 
 
 @dataclass(frozen=True)
 class RefinedState:
-    """Raw batches whose rows have reached the zones. Jobs of one driver may
-    share it."""
+    """Raw batches whose rows have reached the zones."""
 
-    table: ParquetTable | DeltaTable
-    lock: Lock = field(default_factory=Lock, repr=False, compare=False)
+    table: Table
 
     def pending(self, raw: ParquetTable, namespace: str, dataset: str) -> list[str]:
         """Complete batches of a raw table that are still to be refined."""
-        done = set()
-        if self.table.exists():
-            key = checkpoint_key(namespace, dataset)
-            rows = self.table.read(REFINED_SCHEMA).filter(F.col("key_column") == key)
-            done = {row.batch for row in rows.select("batch").collect()}
-        return [b for b in raw.batches() if b not in done and raw.is_complete(b)]
+        spark, complete = raw.spark, raw.complete_batches()
+        own = _own(self.table, checkpoint_key(namespace, dataset))
+        if not complete or not own.exists():
+            return complete
+        found = spark.createDataFrame([(name,) for name in complete], "batch string")
+        done = own.read(REFINED_SCHEMA).select("batch")
+        return sorted(row.batch for row in found.join(done, "batch", "left_anti").collect())
 
     def add(self, namespace: str, dataset: str, batches: Sequence[str]) -> None:
+        """Appends only, so nothing that another run has stored is written again."""
         key = checkpoint_key(namespace, dataset)
         rows = [(key, batch) for batch in batches]
-        with self.lock:
-            frame = self.table.spark.createDataFrame(rows, REFINED_SCHEMA)
-            profile = SourceProfile.of_known([key + batch for batch in batches])
-            self.table.merge(frame, ["key_column", "batch"], profile=profile)
-            self.table.expire()
+        frame = self.table.spark.createDataFrame(rows, REFINED_SCHEMA).coalesce(1)
+        _own(self.table, key).append(frame)
+
+    def read(self) -> DataFrame:
+        return _read_all(self.table, REFINED_SCHEMA)

@@ -32,6 +32,15 @@ def entries(spark: SparkSession, path: str) -> list[Entry]:
     ]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, by one listing."""
+    fs, handle = _open(spark, pattern)
+    found = fs.globStatus(handle)
+    if found is None:
+        return []
+    return [status.getPath().toString() for status in found]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, handle = _open(spark, path)
     return fs.exists(handle)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.upsert import BROADCAST_LIMIT, SourceProfile, profile_source, upsert
@@ -106,7 +107,19 @@ class ParquetTable:
         reader = self.spark.read.option("recursiveFileLookup", "true")
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.option("mergeSchema", all_columns).parquet(self.current_path())
+        return reader.option("mergeSchema", all_columns).parquet(*self._finished())
+
+    def _finished(self) -> list[str]:
+        """The current version's folder, or what lies in it if an ingest batch is unfinished."""
+        root = self.current_path()
+        complete = self.complete_batches()
+        if len(complete) == len(files.matching(self.spark, f"{root}/run-*/batch-*")):
+            return [root]
+        plain = [e.name for e in files.entries(self.spark, root) if e.name[0] not in "._"]
+        names = complete + [name for name in plain if not name.startswith("run-")]
+        if not names:
+            raise ValueError(f"{root} has no complete ingest batch yet")
+        return [f"{root}/{name}" for name in names]
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.current_path())
@@ -129,8 +142,19 @@ class ParquetTable:
                 raise ValueError(f"{root} has rows outside of ingest batches")
         return sorted(names)
 
-    def is_complete(self, batch: str) -> bool:
-        return files.exists(self.spark, f"{self.current_path()}/{batch}/{COMPLETE}")
+    def complete_batches(self) -> list[str]:
+        """Names of the ingest batches that are written to the end."""
+        found = files.matching(self.spark, f"{self.current_path()}/run-*/batch-*/{COMPLETE}")
+        return sorted("/".join(path.split("/")[-3:-1]) for path in found)
+
+    def next_batch(self, run_id: str) -> int:
+        """The first batch number of a run that is not complete, so that a run which starts
+        again replaces what it left unfinished and nothing else."""
+        done = {b for b in self.complete_batches() if b.startswith(f"run-{run_id}/")}
+        number = 0
+        while f"run-{run_id}/batch-{number}" in done:
+            number += 1
+        return number
 
     def read_batches(
         self, batches: Sequence[str], schema: T.StructType | str | None = None
@@ -157,16 +181,22 @@ class ParquetTable:
         drop: Sequence[str] = (),
         profile: SourceProfile | None = None,
         broadcast_limit: int = BROADCAST_LIMIT,
+        order: Sequence[str] = (),
+        unique: bool = False,
     ) -> None:
         """Upsert ``source``, or load it if there is no table yet. Columns in
-        ``drop`` leave the table. ``source`` is evaluated three times: hand in
-        a stored frame if it is costly."""
+        ``drop`` leave the table, new ones of ``source`` come in, with nulls in
+        the rows that stay. ``source`` is evaluated three times: hand in a stored
+        frame if it is costly. ``order`` and ``unique`` are those of ``upsert``."""
+        profile = profile or profile_source(source, keys)
+        profile.require_unique(keys)
         if not self.exists():
             self.replace(source)
             return
-        lake = self.read().drop(*drop)
-        profile = profile or profile_source(source, keys)
-        self.replace(upsert(lake, source, keys, newer_than, profile, broadcast_limit))
+        lake = with_columns_of(self.read().drop(*drop), source)
+        self.replace(
+            upsert(lake, source, keys, newer_than, profile, broadcast_limit, order, unique)
+        )
 
     def expire(self, hours: float = RETENTION_HOURS) -> list[str]:
         """Delete what was replaced more than ``hours`` ago, and remains of
@@ -227,6 +257,13 @@ class DeltaTable:
         writer = self._writer(df, "append")
         writer.option("txnAppId", run_id).option("txnVersion", batch_id).save(self.path)
 
+    def next_batch(self, run_id: str) -> int:
+        """A number above all earlier ones: Delta ignores one that it has seen."""
+        return time.time_ns()
+
+    def complete_batches(self) -> list[str]:
+        raise ValueError("a Delta table has no ingest batches; refine all of it")
+
     def replace(self, df: DataFrame) -> None:
         self._writer(df, "overwrite").option("overwriteSchema", "true").save(self.path)
 
@@ -238,11 +275,15 @@ class DeltaTable:
         drop: Sequence[str] = (),
         profile: SourceProfile | None = None,
         broadcast_limit: int = BROADCAST_LIMIT,
+        order: Sequence[str] = (),
+        unique: bool = False,
     ) -> None:
+        (profile or profile_source(source, keys)).require_unique(keys)
+        if order:
+            raise ValueError("Delta merges compare one column; name it as newer_than")
         if not self.exists():
             self.replace(source)
             return
-        (profile or profile_source(source, keys)).require_unique(keys)
         lake = self.read()
         if set(drop) & set(lake.columns):
             self.replace(lake.drop(*drop))
@@ -258,6 +299,12 @@ class DeltaTable:
         return []
 
 
+def with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns that only ``other`` has, null."""
+    missing = [f for f in other.schema if f.name not in df.columns]
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+
+
 def merge_statement(
     path: str, view: str, keys: Sequence[str], newer_than: str | None = None
 ) -> str:

@@ -18,7 +18,7 @@ class TableSource(Protocol):
 
     def table(self, name: str) -> DataFrame: ...
 
-    def query(self, text: str) -> DataFrame: ...
+    def query(self, text: str, name: str | None = None) -> DataFrame: ...
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class CatalogSource:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def query(self, text: str) -> DataFrame:
+    def query(self, text: str, name: str | None = None) -> DataFrame:
         return self.spark.sql(text)
 
 
@@ -89,8 +89,19 @@ class JdbcSource:
             }
         return chosen
 
-    def query_options(self, text: str) -> dict[str, str]:
-        return {**self.common_options(), "query": text}
+    def query_options(
+        self, text: str, split: Split | RemainderSplit | None = None
+    ) -> dict[str, str]:
+        if not isinstance(split, Split) or split.lower is None:
+            return {**self.common_options(), "query": text}
+        return {
+            **self.common_options(),
+            "dbtable": f"({text}) split_query",
+            "partitionColumn": _identifier(split.column),
+            "lowerBound": str(split.lower),
+            "upperBound": str(split.upper),
+            "numPartitions": str(split.tasks),
+        }
 
     def table(self, name: str) -> DataFrame:
         split = self.splits.get(name)
@@ -105,8 +116,10 @@ class JdbcSource:
         reader = self.spark.read.format("jdbc")
         return reader.options(**self.table_options(name, split)).load()
 
-    def query(self, text: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.query_options(text)).load()
+    def query(self, text: str, name: str | None = None) -> DataFrame:
+        """A query's rows, by one task unless there is a ``Split`` with bounds for ``name``."""
+        options = self.query_options(text, self.splits.get(name) if name else None)
+        return self.spark.read.format("jdbc").options(**options).load()
 
     def _bounded(self, name: str, split: Split) -> Split | None:
         """Ask the database for the range of the split column; an empty table

@@ -25,14 +25,15 @@ def drain_to_raw(
     batch that runs again after a failure replaces itself: it is stored under
     the stream's id, which lives in the checkpoint, and the batch number.
     Messages that do not parse are stored too, see ``parse_envelope``.
-    ``files_per_batch`` joins input splits, for topics with many small ones.
+    ``files_per_batch`` joins what many small input splits give; they are parsed
+    side by side before that.
     """
     stream_id: Future[str] = Future()
 
     def land(batch: DataFrame, batch_id: int) -> None:
         rows = parse_envelope(batch, schema)
         if files_per_batch is not None:
-            rows = rows.coalesce(files_per_batch)
+            rows = rows.repartition(files_per_batch)
         raw.add_batch(rows, stream_id.result(), batch_id)
 
     query = (

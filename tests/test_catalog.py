@@ -19,6 +19,7 @@ TYPES = {
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
 }
 
 

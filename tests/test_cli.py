@@ -2,6 +2,7 @@ import json
 
 import pytest
 from medallion.cli import main
+from medallion.plans import CheckpointState
 from medallion.sources import Lake
 
 EVENTS = "id bigint, phone string, at timestamp_ntz"
@@ -47,7 +48,7 @@ def test_ingest_table_keeps_a_checkpoint(spark, tmp_path, people):
         )
     lake = Lake(spark, root)
     assert lake.read("raw", "shop", people).count() == 10
-    assert lake.read("state", "ingest", "checkpoints").count() == 1
+    assert CheckpointState(lake.table("state", "ingest", "checkpoints")).read().count() == 1
 
 
 def test_configured_run_reports_the_tables_that_failed(spark, tmp_path, people):

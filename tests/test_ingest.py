@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
@@ -12,6 +13,7 @@ from medallion.plans import (
 )
 from medallion.operators import accepted, flatten, parse_envelope
 from medallion.sources import CatalogSource, write_text
+from pyspark.sql import types as T
 
 DAY = [datetime(2024, 1, d) for d in range(1, 10)]
 
@@ -77,15 +79,88 @@ def test_checkpoints_of_other_tables_stay(spark, lake, state, fill):
     assert state.value("shop", "items") == DAY[3]
     assert state.value("shop", "other") == DAY[5]
     assert state.value("shop", "unknown") is None
-    row = state.table.read().filter("table_name = 'items'").first()
+    row = state.read().filter("table_name = 'items'").first()
     assert row[:4] == ("shop", "items", "prd_raw_shop_items", "at")
 
 
-def test_a_repeated_run_replaces_its_batch(spark, lake, state, fill):
-    fill([(1, DAY[0])])
+def test_a_repeated_run_loses_nothing(spark, lake, state, fill):
+    fill([(n, DAY[n]) for n in range(5)])
+    assert run(lake, spark, state, run_id="r1").rows == 5
+    done = run(lake, spark, state, run_id="r1")
+    assert (done.rows, done.last_value) == (0, DAY[4])
+    assert raw_ids(lake) == [0, 1, 2, 3, 4]
+    fill([(n, DAY[n]) for n in range(6)])
+    assert run(lake, spark, state, run_id="r2").rows == 2
     run(lake, spark, state, run_id="r1")
+    assert set(raw_ids(lake)) == {0, 1, 2, 3, 4, 5}
+
+
+def test_a_run_that_was_not_saved_reads_from_the_old_checkpoint(
+    spark, lake, state, fill, monkeypatch
+):
+    fill([(1, DAY[0])])
     run(lake, spark, state, run_id="r1")
-    assert raw_ids(lake) == [1]
+    fill([(1, DAY[0]), (2, DAY[1])])
+    with monkeypatch.context() as broken:
+        broken.setattr(CheckpointState, "save", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(lake, spark, state, run_id="r2")
+    fill([(1, DAY[0]), (2, DAY[1]), (3, DAY[2])])
+    assert run(lake, spark, state, run_id="r2").rows == 3
+    assert set(raw_ids(lake)) == {1, 2, 3} and state.value("shop", "items") == DAY[2]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(10,2)", "string"])
+def test_checkpoints_of_other_types(spark, lake, state, kind):
+    for top, rows in ((3, 3), (5, 3)):
+        frame = spark.range(1, top + 1).selectExpr("id", f"cast(id as {kind}) as at")
+        frame.createOrReplaceTempView("items")
+        assert run(lake, spark, state).rows == rows
+    assert str(state.value("shop", "items")).startswith("5")
+    spark.catalog.dropTempView("items")
+
+
+def test_a_checkpoint_that_cannot_be_stored_is_refused_before_the_write(spark, lake, state):
+    spark.sql("select 1 as id, array(1) as at").createOrReplaceTempView("items")
+    with pytest.raises(ValueError, match="cannot be a checkpoint"):
+        run(lake, spark, state)
+    assert not lake.table("raw", "shop", "items").exists()
+    spark.catalog.dropTempView("items")
+
+
+def test_a_checkpoint_holds_when_the_zone_of_the_driver_changes(spark, lake, state, fill):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.sql("select 1 as id, timestamp'2024-01-01 12:00:00' as at").createOrReplaceTempView("items")
+        run(lake, spark, state)
+        spark.sql(
+            "select * from values (1, timestamp'2024-01-01 12:00:00'), "
+            "(2, timestamp'2024-01-01 13:00:00') as t(id, at)"
+        ).createOrReplaceTempView("items")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert run(lake, spark, state).rows == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.catalog.dropTempView("items")
+
+
+def test_drivers_of_different_datasets_lose_no_state(lake):
+    """Each writer has a state of its own, as in separate drivers."""
+
+    def save(number):
+        own = CheckpointState(lake.table("state", "ingest", "checkpoints"))
+        keys = KeysetState(lake.table("state", "capture", "keysets"))
+        for value in range(3):
+            own.save("shop", f"d{number}", "at", T.LongType(), str(value), f"r{value}")
+            keys.save(f"d{number}", value)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(save, range(4)))
+    state = CheckpointState(lake.table("state", "ingest", "checkpoints"))
+    assert [state.value("shop", f"d{n}") for n in range(4)] == [2, 2, 2, 2]
+    assert state.read().count() == 4
+    assert KeysetState(lake.table("state", "capture", "keysets")).read().count() == 4
 
 
 def test_without_a_checkpoint_column_all_rows_come_each_time(spark, lake, state, fill):
@@ -152,12 +227,20 @@ def test_capture_publishes_each_id_once(spark, keysets, fill, folder):
 
     fill([(0, DAY[0]), (1, DAY[0]), (2, DAY[0])])
     done = poll()
-    assert (done.rows, done.last_id, keysets.value("items")) == (2, 2, 2)
+    assert (done.rows, done.last_id, keysets.value("items")) == (3, 2, 2)
     done = poll()
     assert (done.rows, done.last_id, keysets.value("items")) == (0, None, 2)
     fill([(2, DAY[0]), (3, DAY[0]), (9, DAY[0])])
     assert poll().last_id == 9
-    assert read_topic(spark, topic) == [1, 2, 3, 9]
+    assert read_topic(spark, topic) == [0, 1, 2, 3, 9]
+
+
+def test_a_first_poll_may_start_at_an_id(spark, lake, fill, folder):
+    topic = folder("topic")
+    state = KeysetState(lake.table("state", "capture", "from_zero"), start=0)
+    fill([(-1, DAY[0]), (0, DAY[0]), (1, DAY[0])])
+    capture_table(CatalogSource(spark), "db", "items", state, lambda m: write_text(m, topic))
+    assert read_topic(spark, topic) == [1]
 
 
 def test_a_table_that_fails_stops_no_other_and_does_not_move(spark, keysets, fill, folder):
@@ -175,5 +258,5 @@ def test_a_table_that_fails_stops_no_other_and_does_not_move(spark, keysets, fil
     assert isinstance(results[0].error, ConnectionError)
     assert results[1].error is not None
     assert results[2].error is None
-    assert (keysets.value("items"), keysets.value("other")) == (0, 6)
+    assert (keysets.value("items"), keysets.value("other")) == (None, 6)
     assert read_topic(spark, topic) == [6]

@@ -1,4 +1,6 @@
-from datetime import date, datetime
+import os
+import time
+from datetime import date, datetime, timedelta, timezone
 from hashlib import md5
 
 import pytest
@@ -87,7 +89,26 @@ def test_load_timestamp_is_one_value_cut_to_the_second(spark):
         (datetime(2024, 2, 1, 10, 11, 12),)
     ]
     assert df.schema["timestamp_kafka"].dataType.simpleString() == "timestamp"
-    assert load_instant().microsecond == 0
+    assert spark.range(1).select(load_instant()).first()[0].microsecond == 0
+
+
+def test_load_timestamp_is_an_instant_in_any_zone(spark):
+    at = datetime(2024, 2, 1, 10, 11, 12, tzinfo=timezone(timedelta(hours=-5)))
+    before, machine = spark.conf.get("spark.sql.session.timeZone"), os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "America/New_York"
+        time.tzset()
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        for given, seconds in ((at, 1_706_800_272), (None, int(time.time()))):
+            stamp = with_load_timestamp(spark.range(1), given)
+            found = stamp.selectExpr("unix_seconds(timestamp_kafka)").first()[0]
+            assert 0 <= found - seconds <= 5
+    finally:
+        os.environ.pop("TZ")
+        if machine:
+            os.environ["TZ"] = machine
+        time.tzset()
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_guard_on_mixed_columns(spark):

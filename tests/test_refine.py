@@ -15,6 +15,7 @@ from medallion.plans import (
     specs_from_config,
 )
 from medallion.sources import CatalogSource, text_messages
+from pyspark.sql import functions as F
 
 AT = datetime(2024, 2, 1, 10, 11, 12)
 LATER = datetime(2024, 3, 1)
@@ -372,6 +373,101 @@ def test_merges_delete_what_was_replaced_long_enough_ago(lake, send):
         assert len(lake.table("safe", "shop", "people").versions()) == left
 
 
+def test_ties_between_batches_fall_as_in_a_full_refinement(spark, lake, land, refined, rows):
+    for number, name in enumerate("zam"):
+        land(number, (1, name, "1", day(1)))
+        refine_new(lake, spec(merge=True), refined, AT)
+    assert [r.name for r in zone(lake, "trusted").collect()] == ["z"]
+    assert [r.name for r in zone(lake, "safe").collect()] == ["z"]
+
+
+def test_a_safe_zone_added_later_holds_all_rows(lake, land, refined):
+    land(0, (1, "a", "1", day(1)), (2, "b", "2", day(1)))
+    refine_new(lake, spec(merge=True, ignore_columns=()), refined, AT)
+    land(1, (3, "c", "3", day(2)))
+    refine_new(lake, spec(merge=True), refined, AT)
+    assert zone(lake, "safe").count() == zone(lake, "trusted").count() == 3
+    assert "phone" not in zone(lake, "trusted").columns
+    assert len(lake.table("trusted", "shop", "people").versions()) == 1
+    land(2, (4, "d", "4", day(2)))
+    refine_new(lake, spec(merge=True, ignore_columns=()), refined, AT)
+    land(3, (5, "e", "5", day(2)))
+    refine_new(lake, spec(merge=True), refined, AT)
+    assert zone(lake, "safe").count() == zone(lake, "trusted").count() == 5
+
+
+def test_colliding_keys_of_different_batches_are_an_error(spark, lake, refined, rows):
+    columns = "x string, y string, at timestamp_ntz"
+    settings = spec(table_key=("x", "y"), merge=True, ignore_columns=())
+    raw = lake.table("raw", "shop", "people")
+    raw.add_batch(spark.createDataFrame([("1", "23", day(1))], columns), "r", 0)
+    refine_new(lake, settings, refined, AT)
+    before = rows(zone(lake, "trusted"))
+    raw.add_batch(spark.createDataFrame([("12", "3", day(2))], columns), "r", 1)
+    with pytest.raises(ValueError, match="different values"):
+        refine_new(lake, settings, refined, AT)
+    assert rows(zone(lake, "trusted")) == before
+
+
+def test_a_first_merge_load_refuses_repeated_keys(spark, lake):
+    columns = "x string, y string, at timestamp_ntz"
+    settings = spec(table_key=("x", "y"), merge=True, ignore_columns=())
+    pair = [("1", "23", day(1)), ("12", "3", day(1))]
+    lake.write(spark.createDataFrame(pair, columns), "raw", "shop", "people")
+    with pytest.raises(ValueError, match="up to 2 times"):
+        refine(lake, settings, AT)
+    assert not lake.table("trusted", "shop", "people").exists()
+
+
+@pytest.mark.parametrize("only_new", [False, True])
+@pytest.mark.parametrize("merge", [False, True])
+def test_a_column_added_at_the_source_reaches_the_zones(spark, lake, refined, only_new, merge):
+    if only_new and not merge:
+        pytest.skip("new batches are merged")
+    raw = lake.table("raw", "shop", "people")
+
+    def bring():
+        settings = spec(merge=merge, ignore_columns=())
+        return refine_new(lake, settings, refined, AT) if only_new else refine(lake, settings, AT)
+
+    raw.add_batch(spark.sql("select 1 id, timestamp_ntz'2024-01-01' at"), "r", 0)
+    bring()
+    raw.add_batch(spark.sql("select 2 id, timestamp_ntz'2024-01-02' at, 'x' city"), "r", 1)
+    bring()
+    raw.add_batch(spark.sql("select 3 id, timestamp_ntz'2024-01-03' at"), "r", 2)
+    bring()
+    found = zone(lake, "trusted").select("id", "city").collect()
+    assert sorted(map(tuple, found)) == [(1, None), (2, "x"), (3, None)]
+
+
+def test_a_refinement_leaves_unfinished_batches_out(spark, lake, land):
+    land(0, (1, "a", "1", day(1)))
+    raw = lake.table("raw", "shop", "people")
+    raw.read().withColumn("id", F.lit(2)).write.parquet(f"{raw.path}/run-r/batch-1")
+    refine(lake, spec(), AT)
+    assert [r.id for r in zone(lake, "trusted").collect()] == [1]
+
+
+def test_replaced_zones_expire_too(lake, send):
+    send((1, "a", "5", day(1)))
+    for hours, left in ((72, 1), (72, 2), (0, 1)):
+        refine(lake, spec(retention_hours=hours), AT)
+        for name in ("safe", "trusted"):
+            assert len(lake.table(name, "shop", "people").versions()) == left
+
+
+def test_the_target_is_joined_once_for_both_zones(spark, lake, land, refined, monkeypatch):
+    land(0, (1, "a", "1", day(1)))
+    refine_new(lake, spec(merge=True), refined, AT)
+    merged = []
+    kind = type(lake.table("trusted", "x", "y"))
+    original = kind.merge
+    monkeypatch.setattr(kind, "merge", lambda self, *a, **k: merged.append(self.path) or original(self, *a, **k))
+    land(1, (1, "b", "1", day(2)))
+    refine_new(lake, spec(merge=True), refined, AT)
+    assert [p for p in merged if "-lake-state-" not in p] == [lake.path("safe", "shop", "people")]
+
+
 def test_new_batches_need_all_rows_in_batches(lake, land, refined, send):
     land(0, (1, "a", "1", day(1)))
     send((2, "b", "1", day(1)))
@@ -407,4 +503,4 @@ def test_run_with_new_batches_only(spark, lake, folder, refined):
     spark.catalog.dropTempView("t_rows")
     for name in ("t_events", "t_rows"):
         assert sorted(r.id for r in lake.read("trusted", "shop", name).collect()) == [1, 2]
-    assert refined.table.read().count() == 4
+    assert refined.read().count() == 4

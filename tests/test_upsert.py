@@ -52,6 +52,29 @@ def test_equals_brute_force(spark, rows, limit, guard, seed):
     assert rows(result) == upsert_by_hand(before, after, guard is not None)
 
 
+@LIMITS
+@pytest.mark.parametrize("seed", range(3))
+def test_a_unique_target_takes_one_join(spark, rows, limit, seed):
+    before = random_rows(seed, 60, "old", unique=True)
+    after = random_rows(seed + 100, 40, "new", unique=True)
+    lake = spark.createDataFrame(before, COLUMNS).repartition(5)
+    source = spark.createDataFrame(after, COLUMNS).repartition(3)
+    result = upsert(lake, source, ["a", "b"], "at", None, limit, unique=True)
+    assert rows(result) == upsert_by_hand(before, after, True)
+    if not limit:
+        assert plan(result).count("SortMergeJoin") == 1
+
+
+@LIMITS
+def test_several_columns_compare_one_after_the_other(spark, rows, limit):
+    columns = "k int, at int, name string"
+    lake = spark.createDataFrame([(1, 5, "b"), (2, 5, None), (3, None, "z"), (4, 5, "a")], columns)
+    source = spark.createDataFrame([(1, 5, "a"), (2, 5, "a"), (3, 1, None), (4, 5, "a")], columns)
+    for unique in (False, True):
+        result = upsert(lake, source, ["k"], None, None, limit, ["at", "name"], unique)
+        assert rows(result) == [(1, 5, "b"), (2, 5, "a"), (3, 1, None), (4, 5, "a")]
+
+
 @LIMITS
 def test_twice_is_once(spark, rows, limit):
     lake = spark.createDataFrame([(1, "x"), (2, "x")], "k int, v string")
