@@ -36,16 +36,17 @@ def _small(edges: DataFrame) -> DataFrame:
     return rest.union(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, files_: int | None = None) -> DataFrame:
     """``node`` and ``component`` (its least node) for every node with an edge that is not the
-    least itself. ``edges`` has two columns of one type; nulls and loops are ignored."""
+    least itself. ``edges`` has two columns of one type; nulls and loops are ignored. ``files_``
+    is how many files the edges fill at most, if that is known."""
     a, b = edges.columns
     edges = (
         edges.where(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct()
     )
-    edges = stored(edges, "edges")
+    edges = stored(edges, "edges", files_)
     while not _settled(edges):
-        edges = stored(_small(_large(edges)).distinct(), "edges")
+        edges = stored(_small(_large(edges)).distinct(), "edges", files_)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

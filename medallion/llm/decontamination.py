@@ -22,10 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import free, stored
+from medallion.llm.store import free, parts, stored
 
 WINDOW = 13
 RAREST = 2  # terms whose postings are intersected for each window
+ITEMS = 10_000  # benchmark items for a file of what is derived from them
 SMALL = 200_000  # rows of a benchmark or key table that may be broadcast
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,7 +52,7 @@ def items(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "
         benchmark[id_column].cast("string").alias("item_id"), words(benchmark[text_column]).alias("words")
     )
     rows = rows.where(F.size("words") > 0).groupBy("words").agg(F.collect_set("item_id").alias("item_ids"))
-    return stored(rows.select(F.xxhash64("words").alias("item"), "item_ids", "words"), "items")
+    return stored(rows.select(F.xxhash64("words").alias("item"), "item_ids", "words"), "items", parts(benchmark, ITEMS))
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
@@ -68,8 +69,10 @@ def _terms(found: DataFrame) -> DataFrame:
 
 def term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
     """How often each item term stands in ``docs``; terms that do not are left out."""
-    terms = small(stored(_terms(found).select("term").distinct(), "terms"))
-    return stored(_tokens(docs).join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "counts")
+    files_ = parts(found, ITEMS)
+    terms = small(stored(_terms(found).select("term").distinct(), "terms", files_))
+    counted = _tokens(docs).join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return stored(counted, "counts", files_)
 
 
 def anchors(found: DataFrame, counts: DataFrame, rarest: int, size: int) -> DataFrame:
@@ -95,7 +98,7 @@ def anchors(found: DataFrame, counts: DataFrame, rarest: int, size: int) -> Data
 def index(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The stored postings (term, key, pos) of the terms that ``chosen`` lookups start from."""
     terms = chosen.select(F.explode(F.flatten("lookups")).alias("t")).select("t.term").distinct()
-    postings = _tokens(docs).join(small(stored(terms, "anchors")), "term")
+    postings = _tokens(docs).join(small(stored(terms, "anchors", parts(chosen, ITEMS))), "term")
     return stored(postings.sortWithinPartitions("term", "key", "pos"), "postings")
 
 
@@ -106,20 +109,21 @@ def aligned(postings: DataFrame, chosen: DataFrame) -> DataFrame:
         "item", F.col("t.place").alias("place"), F.col("t.term").alias("term")
     )
     wanted = chosen.select("item", F.transform("lookups", lambda w: w["place"]).alias("wanted"))
+    files_ = parts(chosen, ITEMS)
     met = (
-        postings.join(small(stored(places, "places")), "term")
+        postings.join(small(stored(places, "places", files_)), "term")
         .select("key", "item", (F.col("pos") - F.col("place")).alias("shift"), "place")
         .groupBy("key", "item", "shift")
         .agg(F.collect_set("place").alias("met"))
     )
     complete = F.exists("wanted", lambda w: F.size(F.array_except(w, F.col("met"))) == 0)
-    return met.join(small(stored(wanted, "wanted")), "item").where(complete).select("key", "item", "shift")
+    return met.join(small(stored(wanted, "wanted", files_)), "item").where(complete).select("key", "item", "shift")
 
 
 def exact_hits(docs: DataFrame, candidates: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """(key, item, positions): the words of a text that lie in a window of the item."""
     candidates = stored(candidates, "candidates")
-    keys = small(stored(candidates.select("key").distinct(), "keys"))
+    keys = small(stored(candidates.select("key").distinct(), "keys", parts(candidates)))
     texts = docs.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     rows = candidates.join(small(found.select("item", "words")), "item").join(
         texts.select("key", words(F.col("text")).alias("own")), "key"
@@ -150,7 +154,8 @@ def matches(
     """Per text with a hit: ``key``, ``n_hit`` (words in windows) and ``hit_items`` (ids)."""
     docs = docs.select(text_key(docs[text_column]).alias("key"), docs[text_column].alias("text"))
     found = items(benchmark)
-    chosen = stored(anchors(found, term_counts(docs, found), rarest, size), "lookups")
+    chosen = anchors(found, term_counts(docs, found), rarest, size)
+    chosen = stored(chosen, "lookups", parts(found, ITEMS))
     candidates = aligned(index(docs, chosen), chosen)
     hits = stored(exact_hits(docs, candidates, found, size), "hits")
     counted = hits.groupBy("key").agg(F.countDistinct("position").alias("n_hit"))
@@ -161,7 +166,7 @@ def matches(
         .groupBy("key")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("hit_items"))
     )
-    return stored(counted.join(named, "key"), "matches")
+    return stored(counted.join(named, "key"), "matches", parts(hits))
 
 
 def judged(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"):
@@ -191,7 +196,7 @@ def without_contaminated(docs: DataFrame, found: DataFrame, *, text_column: str
     """The rows of ``docs`` whose text is not contaminated."""
     text = docs[text_column]
     key, hit = free("_key", docs.columns), free("_hit", docs.columns)
-    keys = stored(found.select(F.col("key").alias(key), F.col("n_hit").alias(hit)), "hit-keys")
+    keys = stored(found.select(F.col("key").alias(key), F.col("n_hit").alias(hit)), "hit-keys", parts(found))
     bad = (text_key(text) == F.col(key)) & contaminated(F.col(hit), F.size(words(text)))
     return docs.join(small(keys), bad, "left_anti")
 

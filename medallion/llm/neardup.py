@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from medallion.llm.arrays import blocks, hash_runs, mix, per_text, random_words, runs, utf8, window_hashes
 from medallion.llm.components import components
-from medallion.llm.store import stored
+from medallion.llm.store import parts, stored
 
 SHINGLE = 5
 SKETCH = 64
@@ -50,6 +50,7 @@ LEAST_ESTIMATE = 0.43  # six standard deviations below 0.75 for 64 values
 BLOCK = 256  # classes, compared with as many in one task
 COLUMNS = 8192  # shared shingles per matrix product
 BROADCAST_IDS = 1_000_000
+TEXTS = 5_000  # texts in a file
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -222,9 +223,12 @@ def _open_members(lists: DataFrame, labels: DataFrame) -> DataFrame:
     members = lists.join(labels, lists["class"] == labels["node"], "left").select(
         *lists.columns, F.coalesce("component", "class").alias("component")
     )
-    members = stored(members, "members")
+    files_ = parts(lists)
+    members = stored(members, "members", files_)
     several = members.groupBy("value").agg(F.min("component").alias("i"), F.max("component").alias("j"))
-    return stored(members.join(several.where("i < j").select("value"), "value", "left_semi"), "open")
+    # stored, so that a hot list on the other side of the join can be split
+    several = stored(several.where("i < j").select("value"), "several", files_)
+    return stored(members.join(several, "value", "left_semi"), "open", files_)
 
 
 def _units(members: DataFrame) -> DataFrame:
@@ -242,7 +246,7 @@ def _block_pairs(members: DataFrame, units: DataFrame) -> DataFrame:
     """(a, i, b, j): blocks i of unit a and j of unit b, whose classes are to be compared,
     since a list has classes of both units and of several components."""
     here = members.select("value", "class").join(units, "class").select("value", "unit", "whole").distinct()
-    here = stored(here, "here")
+    here = stored(here, "here", parts(members))
     x = here.select("value", F.col("unit").alias("a"), F.col("whole").alias("wa"))
     y = here.select("value", F.col("unit").alias("b"), F.col("whole").alias("wb"))
     apart = F.coalesce(F.col("wa") != F.col("wb"), F.lit(True))
@@ -259,12 +263,12 @@ def _compared(members: DataFrame, units: DataFrame, texts: DataFrame) -> DataFra
 
     A task has two blocks of about ``BLOCK`` classes and emits links only.
     """
-    pairs = stored(_block_pairs(members, units), "block-pairs")
+    pairs = stored(_block_pairs(members, units), "block-pairs", parts(members))
     counts = units.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = units.join(counts, "unit").select(
         "unit", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), "class", "component"
     )
-    placed = stored(placed.join(texts, "class"), "placed")
+    placed = stored(placed.join(texts, "class"), "placed", parts(units, TEXTS))
 
     def side(unit: str, block: str, number: int) -> DataFrame:
         on = (F.col("unit") == F.col(unit)) & (F.col("block") == F.col(block))
@@ -322,22 +326,21 @@ def link(lists: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame |
     if not lists.limit(1).count():
         return None
     # the member whose values are most common is the one nearest to the others of a group
-    leader = F.max(F.struct("weight", "class"))
-    lists = lists.join(lists.groupBy("value").agg(leader.alias("l")), "value").select(
-        "value", "class", F.col("l.class").alias("leader")
-    )
-    lists = stored(lists, "led")
+    files_ = parts(lists)
+    leader = F.max(F.struct("weight", "class"))["class"]
+    leaders = stored(lists.groupBy("value").agg(leader.alias("leader")), "leaders", files_)
+    lists = stored(lists.join(leaders, "value").select("value", "class", "leader"), "led", files_)
     stars = lists.where("class <> leader").select(*_ordered(F.col("class"), F.col("leader"))).distinct()
-    labels = components(_confirmed(_estimated(stars, classes), texts))
+    labels = components(_confirmed(_estimated(stars, classes), texts), files_)
 
     members = _open_members(lists, labels)
     open_ = members.select("class").distinct()
     sizes = _set_sizes(texts.join(open_, "class", "left_semi")).where("100 * m >= 75 * n")
-    members = members.join(stored(sizes, "sizes").select("class"), "class")
+    members = members.join(stored(sizes, "sizes", files_).select("class"), "class")
     members = _open_members(members.select("value", "class", "leader"), labels)
-    units = stored(_units(members), "units")
+    units = stored(_units(members), "units", files_)
     links = _compared(members, units, texts)
-    return components(links.union(labels.select("node", "component")))
+    return components(links.union(labels.select("node", "component")), files_)
 
 
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -347,10 +350,11 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
         made.where("class is not null").select("class", "sketch").dropDuplicates(["class"]), "classes"
     )
     lists = stored(inverted_lists(classes), "lists")
-    listed = stored(lists.select("class").distinct(), "listed")
+    listed = stored(lists.select("class").distinct(), "listed", parts(lists))
     wanted = made.select("class", "id").join(listed, "class").groupBy("class").agg(F.min("id").alias("id"))
     named = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
-    texts = stored(_texts(named, stored(wanted, "wanted")), "texts")
+    wanted = stored(wanted, "wanted", parts(listed))
+    texts = stored(_texts(named, wanted), "texts", parts(wanted, TEXTS))
     labels = link(lists, classes.join(listed, "class"), texts)
     if labels is None:
         labels = docs.sparkSession.createDataFrame([], "node long, component long")

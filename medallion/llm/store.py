@@ -18,15 +18,20 @@ from medallion.sources import files, new_scratch
 _written: list[str] = []
 
 
-def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` written once and read back."""
+def stored(df: DataFrame, label: str, files_: int | None = None) -> DataFrame:
+    """``df`` written once and read back, in at most ``files_`` files if its size is known."""
     spark = df.sparkSession
     path = new_scratch(spark, label)
     _written.append(path)
-    df.write.partitionBy(*partition_by).parquet(path)
+    (df.coalesce(files_) if files_ else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts(df: DataFrame, rows: int = 200_000) -> int:
+    """Files of about ``rows`` rows that a table like the stored ``df`` fills."""
+    return 1 + df.count() // rows
+
+
 def free(name: str, columns: list[str]) -> str:
     """``name``, lengthened until no column has it."""
     taken = {c.lower() for c in columns}
