@@ -24,9 +24,9 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,9 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 from medallion.llm.arrays import mix
 from medallion.llm.store import free
 
+if TYPE_CHECKING:  # workers do without it
+    import pandas as pd
+
 ORDER = 4
 UNKNOWN = "und"
 BLOCK_CHARS = 1 << 19
@@ -319,7 +322,7 @@ def _most_frequent(counted: DataFrame, bound: int) -> pd.DataFrame:
             fits = own[own["count"].cumsum() <= bound]["n"]
             least[lang] = int(fits.min()) if len(fits) else 1000
         if not least:
-            return pd.DataFrame({"lang": [], "key": [], "n": []})
+            return counted.limit(0).toPandas()
         bounds = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
         return counted.where(F.col("n") >= bounds[F.col("lang")]).toPandas()
     finally:

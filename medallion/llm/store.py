@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from medallion.sources import files, new_scratch
 
+#: Texts are long rows: of the default 10,000 a worker would hold some 100 MB several times.
+ARROW_BATCH = {"maxRecordsPerBatch": "1000", "maxBytesPerBatch": "16m"}
 _written: list[str] = []
 
 
@@ -47,8 +49,11 @@ def release(spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per session, for callers that have
-    neither ``--py-files`` nor an installation on the executors."""
+    """Prepare a session for the operators that run Python in tasks: bound what a worker gets
+    at once, and send this package to the workers, for callers that have neither ``--py-files``
+    nor an installation on the executors."""
+    for name, value in ARROW_BATCH.items():
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
     context = spark.sparkContext
     if getattr(context, "_medallion_shipped", False):
         return
