@@ -20,7 +20,7 @@ from medallion.llm import decontamination, langid
 from medallion.llm.linefreq import drop_frequent_lines, normalised
 from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
-from medallion.llm.store import ship, stored
+from medallion.llm.store import ship, stored, temporary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -76,8 +76,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next reads it."""
+    """All stages over ``documents``, each written before the next reads it. What a stage
+    wrote besides its result, and the result before it, are deleted then."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with temporary(spark) as paths:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            result = paths.pop()
+            paths += before
+        before = [result]
     return STAGES[-1][1](spark, docs, sf_dir)

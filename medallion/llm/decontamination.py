@@ -49,7 +49,8 @@ def small(df: DataFrame) -> DataFrame:
 def items(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
     """``item`` (a number for each row), ``item_id`` and its ``words``, none without words."""
     rows = benchmark.select(
-        benchmark[id_column].cast("string").alias("item_id"), words(benchmark[text_column]).alias("words")
+        benchmark[id_column].cast("string").alias("item_id"),
+        words(benchmark[text_column]).alias("words"),
     )
     rows = rows.where(F.size("words") > 0).groupBy("words").agg(F.collect_set("item_id").alias("item_ids"))
     return stored(rows.select(F.xxhash64("words").alias("item"), "item_ids", "words"), "items", parts(benchmark, ITEMS))

@@ -8,7 +8,7 @@ passes is confirmed on the full sets.
 What makes it whole and bounded:
 
 - Two sets with similarity 0.75 share about 48 of 64 retained values, and at least 24 but for a
-  chance of about 1e-11 (sets of up to 64 shingles are retained whole). So of a sketch of n
+  chance of about 5e-11 (sets of up to 64 shingles are retained whole). So of a sketch of n
   values, ordered from rare to frequent, the first n - 23 suffice for two linked documents to
   meet in a list. A passage that thousands of documents share is frequent, so its lists are
   left out unless it is most of the document, and then those documents are copies.

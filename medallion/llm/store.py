@@ -1,14 +1,17 @@
 """Intermediate tables that several jobs read.
 
 They are Parquet below the folder in ``spark.checkpoint.dir``, so a lost executor costs a
-re-read and no lineage grows. A lazily evaluated result may still need them, so they stay
-until ``release`` is called.
+re-read and no lineage grows. A lazily evaluated result may still need them, so they stay for
+the cluster to clean, but for those written within ``temporary``.
 """
 
 from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +20,15 @@ from medallion.sources import files, new_scratch
 
 #: Texts are long rows: of the default 10,000 a worker would hold some 100 MB several times.
 ARROW_BATCH = {"maxRecordsPerBatch": "1000", "maxBytesPerBatch": "16m"}
-_written: list[str] = []
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def stored(df: DataFrame, label: str, files_: int | None = None) -> DataFrame:
     """``df`` written once and read back, in at most ``files_`` files if its size is known."""
     spark = df.sparkSession
     path = new_scratch(spark, label)
-    _written.append(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     (df.coalesce(files_) if files_ else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,10 +46,17 @@ def free(name: str, columns: list[str]) -> str:
     return name
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables written so far. Results that were not written out are lost."""
-    while _written:
-        files.delete(spark, _written.pop())
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths that ``stored`` writes inside; what the list still has at the end is deleted."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield paths
+    finally:
+        _written.reset(token)
+        for path in paths:
+            files.delete(spark, path)
 
 
 def ship(spark: SparkSession) -> None:

@@ -177,7 +177,8 @@ def without_passages(
         F.array_sort(F.collect_list(F.struct("start", "length"))).alias(cut)
     )
     at = docs.columns.index(text_column)
-    joined = docs.join(cuts, docs[id_column] == cuts[key], "left").select(*(docs[c] for c in docs.columns), cut)
+    joined = docs.join(cuts, docs[id_column] == cuts[key], "left")
+    joined = joined.select(*(docs[c] for c in docs.columns), cut)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
