@@ -1,5 +1,5 @@
 """Zoned data-lake ingestion and refinement on Spark DataFrames.
 
-Nothing here creates a session, sets a master or registers a Python UDF: every
-operator is a composition of built-in DataFrame expressions.
+Nothing here creates a session or sets a master. Operators of the lake are
+compositions of built-in DataFrame expressions.
 """
