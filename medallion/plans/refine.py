@@ -107,9 +107,9 @@ def refine_new(
     if not spec.merge or not column or column in spec.ignore_columns:
         raise ValueError(f"{spec.dataset}: new batches need merge and an open checkpoint column")
     table = lake.table("raw", spec.namespace, spec.dataset, spec.storage_format)
-    names = table.batches()
+    table.batches()  # an error where rows stand outside of batches
     batches = state.pending(table, spec.namespace, spec.dataset)
-    if not names or not batches:
+    if not batches:
         return []
     safe, trusted = _zones(lake, spec)
     if not trusted.exists() or (safe is not None and not safe.exists()):

@@ -261,9 +261,12 @@ class DeltaTable:
         """A number above all earlier ones: Delta ignores one that it has seen."""
         return time.time_ns()
 
-    def complete_batches(self) -> list[str]:
+    def batches(self) -> list[str]:
         raise ValueError("a Delta table has no ingest batches; refine all of it")
 
+    def complete_batches(self) -> list[str]:
+        return self.batches()
+
     def replace(self, df: DataFrame) -> None:
         self._writer(df, "overwrite").option("overwriteSchema", "true").save(self.path)
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from medallion.cli import main
+from medallion.cli import _group_sources, main, parser
 from medallion.plans import CheckpointState
 from medallion.sources import Lake
 
@@ -64,6 +64,24 @@ def test_configured_run_reports_the_tables_that_failed(spark, tmp_path, people):
     assert Lake(spark, f"{tmp_path}/").read("trusted", "shop", people).count() == 5
 
 
+def test_groups_read_from_databases_of_their_own(spark):
+    groups = {
+        "one": {"connection": "shop", "url": "jdbc:x://a/shop", "options": {"user": "u"}, "tables": {}},
+        "two": {"connection": "crm", "url": "jdbc:y://b/crm", "driver": "D", "tables": {}},
+        "three": {"connection": "erp", "tables": {}},
+    }
+    args = parser().parse_args(
+        ["run", "--root", "x", "--config", "c", "--progress", "p", "--url", "jdbc:z://c/erp",
+         "--driver", "E", "--option", "fetchsize=5", "--split", "t:id:4"]
+    )
+    sources = _group_sources(spark, args, groups)
+    assert set(sources) == {"shop", "crm"}
+    assert (sources["shop"].url, sources["crm"].url) == ("jdbc:x://a/shop", "jdbc:y://b/crm")
+    assert (sources["shop"].driver, sources["crm"].driver) == ("E", "D")
+    assert sources["shop"].options == {"fetchsize": "5", "user": "u"}
+    assert sources["crm"].splits["t"].tasks == 4
+
+
 def test_count_words(spark, tmp_path, rows):
     (tmp_path / "text").write_text("a b a\nb a\n")
     main(["count-words", "--input", f"{tmp_path}/text", "--output", f"{tmp_path}/out"], spark)

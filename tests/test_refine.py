@@ -468,6 +468,27 @@ def test_the_target_is_joined_once_for_both_zones(spark, lake, land, refined, mo
     assert [p for p in merged if "-lake-state-" not in p] == [lake.path("safe", "shop", "people")]
 
 
+def test_a_delta_table_has_no_batches(lake, refined):
+    with pytest.raises(ValueError, match="no ingest batches"):
+        refine_new(lake, spec(merge=True, storage_format="delta"), refined)
+
+
+def test_format_of_a_table(spark, lake, folder):
+    """A table of another format than the lake's is not looked for as one of the lake's."""
+    spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-02' AS at").createOrReplaceTempView("t_rows")
+    runs = run_tables(
+        lake,
+        [TableSpec("shop", "t_rows", ("id",), "at", merge=True, storage_format="delta")],
+        CheckpointState(lake.table("state", "ingest", "checkpoints")),
+        source=lambda s: CatalogSource(spark),
+        messages=lambda s: None,
+        stream_checkpoints=folder("progress"),
+    )
+    spark.catalog.dropTempView("t_rows")
+    assert "delta" in str(runs[0].error).lower()  # there is no jar here
+    assert not lake.table("raw", "shop", "t_rows").exists()
+
+
 def test_new_batches_need_all_rows_in_batches(lake, land, refined, send):
     land(0, (1, "a", "1", day(1)))
     send((2, "b", "1", day(1)))

@@ -108,3 +108,11 @@ def test_catalog_source(spark):
     assert source.table("catalog_source_test").count() == 3
     assert source.query("select max(id) as m from catalog_source_test").first().m == 2
     spark.catalog.dropTempView("catalog_source_test")
+
+
+def test_a_query_is_split_where_its_bounds_are_known(spark):
+    source = JdbcSource(spark, "jdbc:x", splits={"t": Split("id", 4, 0, 100), "u": Split("id", 4)})
+    split = source.query_options("SELECT id FROM t", source.splits["t"])
+    assert split["dbtable"] == "(SELECT id FROM t) split_query" and "query" not in split
+    assert (split["partitionColumn"], split["lowerBound"], split["numPartitions"]) == ("id", "0", "4")
+    assert source.query_options("SELECT 1", source.splits["u"])["query"] == "SELECT 1"
