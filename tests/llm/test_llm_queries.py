@@ -79,3 +79,23 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing):
             assert found.count() >= 0
             if name != "packing":
                 assert found.columns == frame.columns
+
+
+def test_a_pipeline_run_leaves_only_what_its_result_reads(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    packed = corpus_pipeline.run(spark, SF_DIR)
+    left = set(os.listdir(folder)) - before
+    assert [name.split("-")[2] for name in left] == ["decontaminate"]
+    assert packed.count() > 0
+
+
+def test_temporary_tables_go_even_after_an_error(spark):
+    from medallion.llm.store import stored, temporary
+
+    with pytest.raises(ZeroDivisionError), temporary(spark) as paths:
+        made = stored(spark.range(10), "numbers", 2)
+        assert made.count() == 10 and len(paths) == 1
+        1 / 0
+    assert not os.path.exists(paths[0])
+    assert stored(spark.range(3), "kept").count() == 3
