@@ -295,12 +295,12 @@ def _fit(sample: DataFrame) -> Model | None:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pooled], ["id", "label", "tempering", "vector"])
 
     schema = StructType(sample.schema.fields[:3]).add("vector", ArrayType(FloatType()))
-    known = sample.mapInArrow(pool, schema).toPandas()
+    known = sample.mapInArrow(pool, schema).toArrow().sort_by("id")
     if not len(known):
         return None
-    known = known.sort_values("id", kind="stable")
-    x, y = np.array(known["vector"].tolist()), known["label"].to_numpy(float)
-    apart = known["tempering"].to_numpy(bool)
+    x = known["vector"].combine_chunks().flatten().to_numpy().reshape(len(known), -1)
+    y = known["label"].to_numpy().astype(float)
+    apart = known["tempering"].to_numpy().copy()
     if apart.all():
         apart[:] = False
     net = train(x[~apart], y[~apart])
