@@ -89,6 +89,7 @@ def parser() -> argparse.ArgumentParser:
     refining.add_argument("--hyphen-separator", action="store_true")
     refining.add_argument("--merge", action="store_true")
     refining.add_argument("--newer-than")
+    refining.add_argument("--partition-by", nargs="*", default=(), help="rewrite touched ones only")
     refining.add_argument("--only-new", action="store_true", help="merge new raw batches only")
     refining.add_argument("--retention-hours", type=float, default=RETENTION_HOURS)
     refining.add_argument("--topic", help="raw holds change events of this topic")
@@ -159,6 +160,7 @@ def _refine(spark: SparkSession, args: argparse.Namespace) -> None:
         separator=args.hyphen_separator,
         merge=args.merge,
         newer_than=args.newer_than,
+        partition_by=tuple(args.partition_by),
         retention_hours=args.retention_hours,
     )
     lake = _lake(spark, args)

@@ -19,8 +19,11 @@ from medallion.operators.upsert import BROADCAST_LIMIT, SourceProfile, profile_s
 from medallion.plans.spec import TableSpec
 from medallion.plans.state import RefinedState
 from medallion.sources.lake import DeltaTable, Lake, ParquetTable, with_columns_of
+from medallion.sources.partitioned import PartitionedTable
 from medallion.sources.scratch import staged
 
+Zone = ParquetTable | PartitionedTable | DeltaTable
+
 KEY = "key"
 SMALL_VALUES = 500_000  # key values that may be broadcast with their keys
 
@@ -138,10 +141,15 @@ def _refined(raw: DataFrame, spec: TableSpec, load_at: datetime | None) -> DataF
 
 def _zones(lake: Lake, spec: TableSpec):
     """The safe zone, if there is to be one or is one, and the trusted zone."""
-    names = (spec.namespace, spec.dataset, spec.storage_format)
-    safe = lake.table("safe", *names)
+    def zone(name: str):
+        table = lake.table(name, spec.namespace, spec.dataset, spec.storage_format)
+        if spec.partition_by and isinstance(table, ParquetTable):
+            return PartitionedTable(lake.spark, table.path, spec.partition_by)
+        return table
+
+    safe = zone("safe")
     wanted = spec.ignore_columns or safe.exists()
-    return (safe if wanted else None), lake.table("trusted", *names)
+    return (safe if wanted else None), zone("trusted")
 
 
 def _land(lake: Lake, spec: TableSpec, rows: DataFrame, order: Sequence[str] = ()) -> None:
@@ -165,8 +173,8 @@ def _land(lake: Lake, spec: TableSpec, rows: DataFrame, order: Sequence[str] = (
 def _merge(
     spec: TableSpec,
     rows: DataFrame,
-    safe: ParquetTable | DeltaTable | None,
-    trusted: ParquetTable | DeltaTable,
+    safe: Zone | None,
+    trusted: Zone,
     order: Sequence[str],
 ) -> None:
     """Merge into the safe zone and take the trusted zone from it, so that the target is joined
@@ -188,13 +196,17 @@ def _merge(
         if safe is not None:
             safe.merge(source, [KEY], **options)
         if complete and trusted.exists():
-            trusted.replace(drop_restricted(safe.read(), hidden))
+            if isinstance(safe, PartitionedTable) and not set(hidden) & set(trusted.read().columns):
+                touched = safe.read_parts(safe.parts(source))
+                trusted.write_parts(drop_restricted(touched, hidden))
+            else:
+                trusted.replace(drop_restricted(safe.read(), hidden))
         else:
             trusted.merge(drop_restricted(source, hidden), [KEY], drop=hidden, **options)
 
 
 def _require_same_values(
-    spec: TableSpec, target: ParquetTable, source: DataFrame, profile: SourceProfile
+    spec: TableSpec, target: Zone, source: DataFrame, profile: SourceProfile
 ) -> None:
     """An error if a key in the target stands for other values than in ``source``."""
     columns = [c for c in spec.table_key if c in target.read().columns]

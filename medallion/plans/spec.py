@@ -18,7 +18,8 @@ class TableSpec:
     given ``schema``, otherwise from the database. ``merge`` upserts into the
     safe and trusted zones instead of replacing them, and then deletes what was
     replaced more than ``retention_hours`` ago. ``storage_format`` is that of
-    the lake unless named."""
+    the lake unless named. With ``partition_by``, columns of the key, a merge
+    rewrites only the partitions that it touches."""
 
     namespace: str
     dataset: str
@@ -36,6 +37,7 @@ class TableSpec:
     tie_break: tuple[str, ...] | None = None
     retention_hours: float = RETENTION_HOURS
     storage_format: Literal["parquet", "delta"] | None = None
+    partition_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.topic and self.schema is None:
@@ -44,6 +46,8 @@ class TableSpec:
             raise ValueError(f"{self.dataset}: on_null_key must be keep or reject")
         if self.on_null_key == "reject" and not self.merge:
             raise ValueError(f"{self.dataset}: rows without a key can only be rejected by a merge")
+        if not set(self.partition_by) <= set(self.table_key) - set(self.ignore_columns):
+            raise ValueError(f"{self.dataset}: partitions need open columns of the key")
         if self.newer_than in self.ignore_columns:
             raise ValueError(f"{self.dataset}: the trusted zone needs {self.newer_than} to compare")
 
@@ -76,6 +80,7 @@ def specs_from_config(config: Mapping[str, Mapping[str, Any]]) -> list[TableSpec
                     tie_break=tuple(entry["tie_break"]) if entry.get("tie_break") else None,
                     retention_hours=entry.get("retention_hours", RETENTION_HOURS),
                     storage_format=entry.get("storage_format"),
+                    partition_by=tuple(entry.get("partition_by") or ()),
                 )
             )
     return specs

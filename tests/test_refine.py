@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 from hashlib import md5
 
@@ -15,6 +16,7 @@ from medallion.plans import (
     specs_from_config,
 )
 from medallion.sources import CatalogSource, text_messages
+from medallion.sources.partitioned import PartitionedTable
 from pyspark.sql import functions as F
 
 AT = datetime(2024, 2, 1, 10, 11, 12)
@@ -468,6 +470,71 @@ def test_the_target_is_joined_once_for_both_zones(spark, lake, land, refined, mo
     assert [p for p in merged if "-lake-state-" not in p] == [lake.path("safe", "shop", "people")]
 
 
+@pytest.fixture
+def regions(spark, lake, refined):
+    """Refine batches of a table in partitions by region, and of the same without."""
+    columns = "region string, id bigint, name string, phone string, at timestamp_ntz"
+
+    def bring(number, *values, **changes):
+        rows = spark.createDataFrame(values, columns)
+        for name, by in (("people", ("region",)), ("whole", ())):
+            settings = spec(
+                dataset=name, table_key=("region", "id"), separator=True, merge=True,
+                partition_by=by, **changes,
+            )
+            lake.table("raw", "shop", name).add_batch(rows, "r", number)
+            refine_new(lake, settings, refined, AT)
+
+    return bring
+
+
+def partitioned(spark, lake, zone_name):
+    return PartitionedTable(spark, lake.path(zone_name, "shop", "people"), ("region",))
+
+
+def test_partitions_give_what_one_table_gives(spark, lake, regions, rows):
+    regions(0, ("e", 1, "a", "1", day(1)), ("w", 1, "b", "2", day(1)), (None, 2, "c", "3", day(1)))
+    regions(1, ("e", 1, "x", "4", day(2)), ("007", 3, "d", "5", day(1)), (None, 2, "y", "6", day(1)))
+    regions(2, ("e", 1, "late", "7", day(1)), ("", 4, "e", "8", day(1)), ("a/b=c", 5, "f", "9", None))
+    for name in ("safe", "trusted"):
+        whole = lake.read(name, "shop", "whole")
+        found = partitioned(spark, lake, name).read().select(whole.columns)
+        assert rows(found) == rows(whole) and found.dtypes == whole.dtypes
+
+
+def test_untouched_partitions_stay_and_are_not_scanned(spark, lake, regions):
+    regions(0, ("e", 1, "a", "1", day(1)), ("w", 1, "b", "2", day(1)))
+    tables = [partitioned(spark, lake, name) for name in ("safe", "trusted")]
+    files_of = lambda part: {
+        f for t in tables for f in t._stored().inputFiles() if f"partition_of={part}/" in f
+    }
+    west, east = files_of("vw"), files_of("ve")
+    regions(1, ("e", 1, "x", "3", day(2)))
+    assert files_of("vw") == west and not files_of("ve") & east
+    scan = tables[0].read_parts(["ve"])
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*partition_of#\d+ = ve", plan)
+
+
+def test_columns_come_and_go_in_partitions(spark, lake, regions, refined):
+    regions(0, ("e", 1, "a", "1", day(1)), ("w", 1, "b", "2", day(1)), ignore_columns=())
+    assert "phone" in partitioned(spark, lake, "trusted").read().columns
+    regions(1, ("e", 2, "c", "3", day(1)))
+    assert "phone" not in partitioned(spark, lake, "trusted").read().columns
+    assert partitioned(spark, lake, "safe").read().count() == 3
+    rows = spark.sql("select 'w' region, 5l id, timestamp_ntz'2024-01-01' at, 'x' city")
+    lake.table("raw", "shop", "people").add_batch(rows, "r", 2)
+    settings = spec(table_key=("region", "id"), separator=True, merge=True, partition_by=("region",))
+    refine_new(lake, settings, refined, AT)
+    found = partitioned(spark, lake, "trusted").read().groupBy("city").count().collect()
+    assert sorted(map(tuple, found), key=str) == [("x", 1), (None, 3)]
+
+
+def test_partitions_are_open_columns_of_the_key():
+    with pytest.raises(ValueError, match="columns of the key"):
+        spec(partition_by=("name",))
+
+
 def test_a_delta_table_has_no_batches(lake, refined):
     with pytest.raises(ValueError, match="no ingest batches"):
         refine_new(lake, spec(merge=True, storage_format="delta"), refined)
