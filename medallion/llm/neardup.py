@@ -366,7 +366,9 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
         .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("c"))
         .where("c > 1")
     )
-    result = of.join(least.drop("c"), "component", "left")
+    # stored, so that a component with many documents can be split in the join
+    least = stored(least.drop("c"), "least", parts(made))
+    result = of.join(least, "component", "left")
     component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.coalesce("least", "id"))
     return result.select(
         F.col("id").alias(id_column),
