@@ -2,10 +2,11 @@
 
 Method: a gear hash rolls over the bytes of a text; where its leading bits are zero a chunk
 ends. The hash sees the last 16 bytes only, so after an insertion the chunks fall back into
-step. Chunks are deduplicated by digest: a chunk that also stands in a document of a smaller id
-is a repeat. Neighbouring repeats form a passage, reported if the chunks it has in common with
-one earlier document hold enough words; chunks that are common by chance, and short lines, do
-not add up to one.
+step. What is looked up by digest is a window: the fewest consecutive chunks from a chunk on,
+or up to a chunk, that hold enough words. A window that also stands in a document of a smaller
+id is a repeat. One document has the whole window, so chunks that are common by chance, and
+short lines, do not add up to one; and a run of chunks that any earlier document has is made
+of its windows, whichever documents have parts of it too.
 
 Chunks average 24 bytes, so a passage of 50 words loses about 40 bytes at its ends. The texts
 are chunked twice instead of stored. Digests are reduced to their least and largest document
@@ -23,17 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from medallion.llm.arrays import blocks, hash_runs, random_words, utf8
+from medallion.llm.arrays import blocks, hash_runs, mix, random_words, utf8
 from medallion.llm.store import free, stored
 
 LEAST, MOST = 8, 64  # bytes of a chunk
 SPAN, ZERO_BITS = 16, 4  # bytes the hash sees; a chunk ends at one byte in 2^ZERO_BITS
 BROADCAST_DIGESTS = 500_000
 _GEAR = (random_words(256, 21) >> np.uint64(48)).astype(np.uint16)
+_FACTOR = int(random_words(1, 23)[0])
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -49,6 +52,13 @@ def _gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _powers(base: int, count: int) -> np.ndarray:
+    """``base`` to the powers from 0 to ``count`` - 1, modulo 2^64."""
+    powers = np.full(count, base, np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
 def chunk_ends(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Ends of the chunks of each text, in order; a chunk starts where the last one ended."""
     if not len(data):
@@ -92,8 +102,25 @@ def chunk_ends(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
-def chunks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``id``, ``digest`` and ``at`` (start * 2^20 + bytes * 2^10 + words) of each chunk."""
+def _windows(sums: np.ndarray, least: np.ndarray, bounds: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First chunks and ends (chunk numbers) of the windows. ``sums``: words begun before each
+    chunk and at the end; ``least``: the same before the word in which a chunk starts;
+    ``bounds``: of the texts, in chunks."""
+    every = np.arange(len(least))
+    text = np.searchsorted(bounds, every, "right") - 1
+    ends = np.searchsorted(sums, least + min_words, "left")
+    inside = ends <= bounds[text + 1]
+    forward = every[inside], ends[inside]
+    starts = np.searchsorted(least, sums[1:] - min_words, "right") - 1
+    # a window up to a chunk that is also the one from its first chunk on is there already
+    inside = starts >= bounds[text]
+    inside[inside] = ends[starts[inside]] != every[inside] + 1
+    return np.append(forward[0], starts[inside]), np.append(forward[1], every[inside] + 1)
+
+
+def windows(docs: DataFrame, id_column: str, text_column: str, min_words: int) -> DataFrame:
+    """``id``, ``digest``, ``at`` (start * 2^32 + bytes) and ``words`` (words of the text before
+    it * 2^32 + words) of each window. A word that begins before a window counts in it."""
     chosen = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     chosen = chosen.where("id is not null and text <> ''")
 
@@ -102,23 +129,37 @@ def chunks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             data, offsets = utf8(batch.column(1))
             for first, _, part, bounds in blocks(data, offsets):
                 ends = chunk_ends(part, bounds)
-                starts = np.append(0, ends[:-1])
-                owner = np.searchsorted(bounds, starts, "right") - 1
-                begins = ~_SPACE[part]
+                starts = np.append(0, ends[:-1])[: len(ends)]
+                letters = ~_SPACE[part]
+                begins = letters.copy()
                 begins[1:] &= _SPACE[part[:-1]]
                 begins[bounds[:-1][bounds[:-1] < len(part)]] |= ~_SPACE[part[bounds[:-1][bounds[:-1] < len(part)]]]
                 sums = np.append(0, np.cumsum(begins))
-                at = (starts - bounds[owner] << 20) + (ends - starts << 10) + sums[ends] - sums[starts]
+                least = sums[starts] - (letters & ~begins)[starts]
+                sums = sums[np.append(starts, len(part))]
+                of = np.searchsorted(starts, bounds, "left")
+                x, y = _windows(sums, least, of, min_words)
+                with np.errstate(over="ignore"):
+                    # sums of the chunks' hashes times powers, made independent of the place
+                    values = hash_runs(part, starts, ends) * _powers(_FACTOR, len(ends))
+                    totals = np.append(np.uint64(0), np.cumsum(values))
+                    digests = (totals[y] - totals[x]) * _powers(_INVERSE, len(ends) + 1)[x]
+                    digests = mix(digests + (y - x).astype(np.uint64))
+                owner = np.searchsorted(bounds, starts[x], "right") - 1
+                before = sums[of[:-1]][owner] if len(x) else x
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(first + owner)),
-                        pa.array(hash_runs(part, starts, ends).view(np.int64)),
-                        pa.array(at),
+                        pa.array(digests.view(np.int64)),
+                        pa.array((starts[x] - bounds[owner] << 32) + ends[y - 1] - starts[x]),
+                        pa.array((least[x] - before << 32) + sums[y] - least[x]),
                     ],
-                    ["id", "digest", "at"],
+                    ["id", "digest", "at", "words"],
                 )
 
-    schema = StructType([chosen.schema["id"]]).add("digest", LongType()).add("at", LongType())
+    schema = StructType([chosen.schema["id"]])
+    for name in ("digest", "at", "words"):
+        schema = schema.add(name, LongType())
     return chosen.mapInArrow(work, schema)
 
 
@@ -126,8 +167,9 @@ def repeated_passages(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", min_words: int = 20
 ) -> DataFrame:
     """(id, source id, ``start``, ``length``, ``n_words``): stretches of UTF-8 bytes of a text
-    that an earlier document has, with at least ``min_words`` words in whole common chunks."""
-    found = chunks(docs, id_column, text_column)
+    that an earlier document has, with at least ``min_words`` words in whole common chunks, the
+    first and last perhaps in part. Stretches of different sources may overlap."""
+    found = windows(docs, id_column, text_column, min_words)
     several = (
         found.groupBy("digest")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -137,33 +179,41 @@ def repeated_passages(
     several = stored(several, "digests")
     if several.count() <= BROADCAST_DIGESTS:
         several = F.broadcast(several)
-    start, length = F.shiftright("at", 20), F.shiftright("at", 10).bitwiseAND(1023)
+
+    def low(c: str) -> Column:
+        return F.col(c).bitwiseAND((1 << 32) - 1)
+
+    start, word = F.shiftright("at", 32), F.shiftright("words", 32)
     repeats = (
         found.join(several, "digest")
         .where("least < id")
-        .select("id", "least", start.alias("start"), length.alias("length"), F.col("at").bitwiseAND(1023).alias("words"))
+        .select(
+            "id",
+            "least",
+            start.alias("start"),
+            (start + low("at")).alias("end"),
+            word.alias("word"),
+            (word + low("words")).alias("end_word"),
+        )
     )
-    in_text = Window.partitionBy("id").orderBy("start", "least")
-    before = F.lag(F.col("start") + F.col("length")).over(in_text)
-    islands = repeats.select(
-        "*", F.when(F.col("start") <= before, F.lit(0)).otherwise(F.lit(1)).alias("new")
-    ).select("*", F.sum("new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)).alias("island"))
-    by_source = islands.groupBy("id", "island", "least").agg(
-        F.sum("words").alias("words"),
-        F.min("start").alias("start"),
-        F.max(F.col("start") + F.col("length")).alias("end"),
+    in_text = Window.partitionBy("id", "least").orderBy("start", "end")
+    before = F.max("end").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    passages = repeats.select("*", F.when(F.col("start") <= before, F.lit(0)).otherwise(F.lit(1)).alias("new")).select(
+        "*", F.sum("new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)).alias("passage")
     )
-    best = F.max(F.struct("words", (-F.col("start")).alias("place"), "least", "end")).alias("best")
     return (
-        by_source.groupBy("id", "island")
-        .agg(best)
-        .where(F.col("best.words") >= min_words)
+        passages.groupBy("id", "least", "passage")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            (F.max("end_word") - F.min("word")).alias("n_words"),
+        )
         .select(
             F.col("id").alias(id_column),
-            F.col("best.least").alias(f"source_{id_column}"),
-            (-F.col("best.place")).alias("start"),
-            (F.col("best.end") + F.col("best.place")).alias("length"),
-            F.col("best.words").cast("long").alias("n_words"),
+            F.col("least").alias(f"source_{id_column}"),
+            "start",
+            (F.col("end") - F.col("start")).alias("length"),
+            "n_words",
         )
     )
 

@@ -84,6 +84,74 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark, planted, m
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found.collect()))
 
 
+def covered(rows, found):
+    """The bytes of each text that lie in its passages, as a mask."""
+    masks = {k: np.zeros(len(text.encode()), bool) for k, text in rows}
+    for r in found:
+        assert r.source_doc_id < r.doc_id and r.n_words >= 20
+        masks[r.doc_id][r.start : r.start + r.length] = True
+    return masks
+
+
+def test_nested_adjoining_and_divided_copies_are_found_whole(spark):
+    random_ = random.Random(12)
+    x, y, whole = prose(random_, 55), prose(random_, 55), prose(random_, 54).split()
+    thirds = [" ".join(whole[k : k + 18]) for k in (0, 18, 36)]
+    whole = " ".join(whole)
+
+    def among(passage):
+        return f"{prose(random_, 30)} {passage} {prose(random_, 30)}"
+
+    rows = [(1, among(x)), (2, among(f"{x} {y}")), (3, among(f"{x} {y}"))]
+    rows += [(10 + k, among(third)) for k, third in enumerate(thirds)] + [(20, among(whole)), (21, among(whole))]
+    lines = [prose(random_, 9) for _ in range(4)]
+    rows += [(30 + k, among(line)) for k, line in enumerate(lines)] + [(40, among(" ".join(lines)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    passages = substrings.repeated_passages(frame)
+    found = passages.collect()
+    assert {r.doc_id for r in found} == {2, 3, 21}
+    assert {(r.doc_id, r.source_doc_id) for r in found} == {(2, 1), (3, 1), (3, 2), (21, 20)}
+    masks, texts = covered(rows, found), dict(rows)
+    for doc, passage in ((2, x), (3, f"{x} {y}"), (21, whole)):
+        start = texts[doc].encode().index(passage.encode())
+        inside = masks[doc][start : start + len(passage.encode())]
+        assert inside[substrings.MOST : -substrings.MOST].all()
+    for r in found:
+        assert texts[r.doc_id].encode()[r.start : r.start + r.length] in texts[r.source_doc_id].encode()
+    rest = {r.doc_id: r.text for r in substrings.without_passages(frame, passages).collect()}
+    assert not any(part in rest[3] for part in (x[80:-80], y[80:-80])) and rest[40] == texts[40]
+
+
+def test_windows_cover_each_common_run_of_chunks_by_brute_force(spark):
+    random_ = random.Random(31)
+    parts = [prose(random_, random_.randint(8, 30)) for _ in range(12)]
+    rows = [(k, " ".join(random_.choices(parts, k=6))) for k in range(25)]
+    rows += [(30, "a " * 300), (31, "b" * 3000 + " a" * 200), (32, "")]
+    split = {}
+    for doc, text in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = substrings.chunk_ends(data, np.array([0, len(data)])).tolist()
+        split[doc] = [(a, b, text.encode()[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+    expected = {}
+    for doc, text in rows:
+        mask = np.zeros(len(text.encode()), bool)
+        own = [c for *_, c in split[doc]]
+        for other in split:
+            theirs = [c for *_, c in split[other]]
+            for i in range(len(own) if other < doc else 0):
+                for j in range(len(theirs)):
+                    n = 0
+                    while i + n < len(own) and j + n < len(theirs) and own[i + n] == theirs[j + n]:
+                        n += 1
+                    if n and len(b"".join(own[i : i + n]).split()) >= 20:
+                        mask[split[doc][i][0] : split[doc][i + n - 1][1]] = True
+        expected[doc] = mask
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    masks = covered(rows, found)
+    assert all((masks[k] == expected[k]).all() for k in expected)
+    assert sum(m.sum() for m in expected.values()) > 3000
+
+
 def test_odd_rows(odd, nothing):
     found = substrings.repeated_passages(odd)
     assert {(r.doc_id, r.source_doc_id) for r in found.collect()} == {(2, 1)}
