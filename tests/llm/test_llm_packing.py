@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from medallion.llm.packing import _Packer, best_fill, encoder, pack
+from medallion.llm.packing import _Packer, best_fill, encode, encoder, pack
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +69,24 @@ def test_ids_are_those_of_the_tokenizer_file(text):
     assert encoder(PATH).encode_ordinary(text) == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_and_long_white_space_are_as_in_the_tokenizer():
+    plain = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|>", "a <|endoftext|><|endoftext|>\n b", "<|endoftext", "", " " * 1_200_000 + "a", "x" + "\n" * 1_000_001]
+    texts += ["x \t" * 3 + " \n" * 600_000 + " y", "<|endoftext|>" + " " * 1_200_000]
+    for text in texts:
+        ids = encode(PATH)(text)
+        assert ids.dtype == np.uint32 and ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_keeps_the_ids_of_added_tokens_and_long_white_space(texts):
+    values = ["one <|endoftext|> two", " " * 1_200_000]
+    plain = Tokenizer.from_file(PATH)
+    pieces = pack(texts(*values), PATH, tokens=True).toPandas().sort_values("start")
+    whole = pieces.groupby("doc_id")["input_ids"].agg(lambda x: [i for p in x for i in p])
+    for doc, text in enumerate(values):
+        assert whole[doc] == [*plain.encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_documents_round_trip(documents):
     pieces = pack(documents, PATH, tokens=True).toPandas()
     plain = Tokenizer.from_file(PATH)
