@@ -1,6 +1,7 @@
 """Secret scanning with a random forest that removes false positives.
 
-Method: candidates are long tokens with digits. A forest, trained from labelled findings,
+Method: candidates are runs of 16 or more characters that keys and encodings are written in,
+with a digit; a token that white space bounds may have many of them. A forest, trained from labelled findings,
 scores them on length, on how kinds of character follow each other, on how much of the token is
 made of dictionary words, on the path, and on the neighbouring words.
 
@@ -49,8 +50,10 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, id_column: str, path_column: str, text_column: str) -> DataFrame:
-    """id, path, ``place`` (token number), ``value``, ``lead`` (rest of its token before it),
-    and the words ``before`` (two) and ``after`` it."""
+    """id, path, ``place`` (token number), ``part`` (number of the value among the candidates of
+    its token), ``value``, ``lead`` (its token since the value before, with that if it has no
+    digit), and what is ``before`` and ``after``: at the ends of a token two words and one,
+    inside it nothing and the text up to the next value."""
     words = docs.select(
         docs[id_column].alias("id"),
         F.coalesce(docs[path_column].cast("string"), F.lit("")).alias("path"),
@@ -58,16 +61,30 @@ def candidates(docs: DataFrame, id_column: str, path_column: str, text_column: s
     )
     tokens = words.select("*", F.posexplode("words").alias("place", "token"))
     tokens = tokens.where((F.length("token") >= 16) & F.col("token").rlike("[0-9]") & F.col("token").rlike(VALUE))
-    value = F.regexp_extract("token", f"^(.*?)({VALUE})", 2)
-    return tokens.select(
+    parted = tokens.select(
         "id",
         "path",
         F.col("place").cast("long").alias("place"),
-        value.alias("value"),
-        F.regexp_extract("token", f"^(.*?)({VALUE})", 1).alias("lead"),
-        F.concat_ws(" ", F.get("words", F.col("place") - 2), F.get("words", F.col("place") - 1)).alias("before"),
-        F.coalesce(F.get("words", F.col("place") + 1), F.lit("")).alias("after"),
-    ).where(F.col("value").rlike("[0-9]"))
+        F.concat_ws(" ", F.get("words", F.col("place") - 2), F.get("words", F.col("place") - 1)).alias("words_before"),
+        F.coalesce(F.get("words", F.col("place") + 1), F.lit("")).alias("word_after"),
+        F.regexp_extract_all("token", F.lit(VALUE), F.lit(0)).alias("values"),
+        F.split("token", VALUE).alias("gaps"),
+    )
+
+    def described(value: Column, k: Column) -> Column:
+        earlier = F.coalesce(F.get("values", k - 1), F.lit(""))
+        named = F.when(earlier.rlike("[0-9]"), F.lit("")).otherwise(earlier)
+        last = k == F.size("values") - 1
+        return F.struct(
+            value.alias("value"),
+            F.concat(named, F.get("gaps", k)).alias("lead"),
+            F.when(k == 0, F.col("words_before")).otherwise(F.lit("")).alias("before"),
+            F.when(last, F.col("word_after")).otherwise(F.get("gaps", k + 1)).alias("after"),
+        )
+
+    every = F.filter(F.transform("values", described), lambda c: c["value"].rlike("[0-9]"))
+    found = parted.select("id", "path", "place", F.posexplode(every).alias("part", "c"))
+    return found.select("id", "path", "place", F.col("part").cast("long").alias("part"), "c.*")
 
 
 def dictionary(docs: DataFrame, found: DataFrame, text_column: str, min_count: int) -> DataFrame:
@@ -86,7 +103,7 @@ def _pieces(value: Column) -> Column:
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with ``FEATURES`` as doubles."""
     numbered = stored(
-        found.select("*", F.xxhash64("id", "place", "value").alias("finding")).distinct(), "candidates"
+        found.select("*", F.xxhash64("id", "place", "part", "value").alias("finding")).distinct(), "candidates"
     )
     pieces = numbered.select("finding", F.explode(F.array_distinct(_pieces(F.col("value")))).alias("word"), "value")
     size = F.length("word") * F.size(F.filter(_pieces(F.col("value")), lambda w: w == F.col("word")))
@@ -176,24 +193,28 @@ def scan(
     labels: DataFrame | None = None,
     min_count: int = 3,
 ) -> DataFrame:
-    """A row per candidate: the id, ``place``, ``value_sha256``, ``length``, ``label`` (null if
-    unknown), ``held_out``, ``probability`` and ``is_secret``. ``labels``: id, place and label;
-    without it the label is ``weak_label``. Findings of every fourth id are not learned from.
-    Equal findings at one place of rows that share an id are one finding."""
+    """A row per candidate: the id, ``place``, ``part``, ``value_sha256``, ``length``, ``label``
+    (null if unknown), ``held_out``, ``probability`` and ``is_secret``. ``labels``: id, place,
+    part and label, where no ``part`` stands for the first; without it the label is
+    ``weak_label``. Findings of every fourth id are not learned from. Equal findings at one place of rows that share an id are one finding."""
     found = candidates(docs, id_column, path_column, text_column)
     found = stored(found, "found")
     known = features(found, stored(dictionary(docs, found, text_column, min_count), "dictionary"))
     if labels is None:
         known = known.select("*", weak_label(known).alias("label"))
     else:
-        labels = labels.select(F.col(id_column).alias("id"), "place", F.col("label").cast("double"))
-        known = known.join(labels, ["id", "place"], "left")
+        part = F.col("part") if "part" in labels.columns else F.lit(0).cast("long")
+        labels = labels.select(
+            F.col(id_column).alias("id"), "place", part.alias("part"), F.col("label").cast("double")
+        )
+        known = known.join(labels, ["id", "place", "part"], "left")
     held_out = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % 4 == 0
     known = stored(known.select("*", held_out.alias("held_out")), "features")
     scored = score(known, fit(known.where("not held_out")))
     return scored.select(
         F.col("id").alias(id_column),
         "place",
+        "part",
         F.sha2("value", 256).alias("value_sha256"),
         F.length("value").cast("long").alias("length"),
         "label",

@@ -170,6 +170,38 @@ def test_no_python_in_the_secret_plan(texts):
     assert "Arrow" not in plan and "Python" not in plan
 
 
+def test_every_value_of_a_token_is_a_candidate(texts):
+    key = "ghp_" + "1a2b3c4d5e" * 3
+    values = [f"{k:016d}" for k in range(500)]
+    docs = texts(
+        'see {"description":"configuration-settings","token":"%s","github_access_token":"%s"} now' % (key, key + "9"),
+        ",".join(values),
+        f"a\u2028{values[1]}\u0085;{values[2]} next",
+        f'name = "{key}" end',
+        "configuration-settings;1;administration-panel",
+    ).withColumn("source", F.lit("s"))
+    found = secretscan.candidates(docs, "doc_id", "source", "text").collect()
+    of = {k: sorted((r for r in found if r.id == k), key=lambda r: r.part) for k in range(5)}
+    assert [r.value for r in of[0]] == [key, key + "9"] and [r.part for r in of[0]] == [0, 1]
+    assert of[0][0].lead == 'configuration-settings","token":"'
+    assert of[0][1].lead == 'github_access_token":"'
+    assert [r.value for r in of[1]] == values and [r.part for r in of[1]] == list(range(500))
+    assert [r.value for r in of[2]] == values[1:3] and of[2][1].after == "next"
+    assert [(r.place, r.part, r.value, r.lead, r.before, r.after) for r in of[3]] == [(2, 0, key, '"', "name =", "end")]
+    assert of[4] == []
+    scanned = secretscan.scan(docs).collect()
+    assert len({(r.doc_id, r.place, r.part) for r in scanned}) == len(scanned) == len(found)
+
+
+def test_labels_name_a_value_of_a_token(texts):
+    docs = texts(*(f'x:"{k:020d}";token:"{k + 500:020d}"' for k in range(120))).withColumn("source", F.lit("s"))
+    labels = secretscan.scan(docs).select("doc_id", "place", "part", F.col("part").cast("int").alias("label"))
+    found = secretscan.scan(docs, labels=labels).collect()
+    assert len(found) == 240 and all(r.is_secret == (r.part == 1) == (r.label == 1) for r in found)
+    first = secretscan.scan(docs, labels=labels.where("part = 0").drop("part")).collect()
+    assert {(r.part, r.label) for r in first} == {(0, 0.0), (1, None)}
+
+
 def test_dictionary_coverage(texts):
     docs = texts("apple apple apple river", "see applezriver-apple-0123456789 apple river")
     docs = docs.withColumn("source", F.lit("s"))
