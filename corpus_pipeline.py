@@ -13,14 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm import decontamination, langid
 from medallion.llm.linefreq import drop_frequent_lines, normalised
 from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
-from medallion.llm.store import ship, stored, temporary
+from medallion.llm.store import free, ship, stored, temporary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -36,19 +36,34 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines, as far as a word is left."""
-    cut = drop_frequent_lines(docs)
-    cut = cut.where(normalised(F.regexp_replace("text", "\n", " ")) != "")
+    """Documents without their source's boilerplate lines. One that has no other lines keeps
+    them: it may be one of many copies, which are for the next stage to reduce."""
+    whole = free("_before", docs.columns)
+
+    def worded(text: str) -> Column:
+        return normalised(F.regexp_replace(text, "\n", " ")) != ""
+
+    cut = drop_frequent_lines(docs.withColumn(whole, F.col("text")).where(worded("text")))
+    cut = cut.withColumn("text", F.when(worded("text"), F.col("text")).otherwise(F.col(whole)))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the least id."""
+    """One document of each group of near copies: the one of the least id. Rows without an id
+    are documents of their own, after all others."""
     ship(spark)
-    copies = stored(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_copy")), "copies")
+    columns, key = docs.columns, free("_key", docs.columns)
+    docs = docs.withColumn(key, F.col("doc_id"))
+    unnamed = docs.where("doc_id is null")
+    if unnamed.limit(1).count():
+        after = F.lit((docs.agg(F.max("doc_id")).first()[0] or 0) + 1)
+        unnamed = stored(unnamed.withColumn(key, after + F.monotonically_increasing_id()), "unnamed")
+        docs = docs.where("doc_id is not null").union(unnamed)
+    found = near_duplicates(docs, id_column=key)
+    copies = stored(found.where("not kept").select(F.col(key).alias("_copy")), "copies")
     if copies.count() <= BROADCAST_IDS:
         copies = F.broadcast(copies)
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    return docs.join(copies, docs[key] == copies["_copy"], "left_anti").select(columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,31 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing):
                 assert found.columns == frame.columns
 
 
+def test_a_third_of_copies_is_reduced_to_one_and_the_rest_stays(spark):
+    def page(name, lines=6):
+        return "\n".join(" ".join(f"{name}word{line}x{k}" for k in range(12)) for line in range(lines))
+
+    rows = [(k, "s", "Home | About\n" + page(f"own{k}")) for k in range(40)]
+    rows += [(100 + k, "s", "Home | About\n" + page("copied")) for k in range(20)] + [(200, "s", " \n"), (201, "s", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    stages = dict(corpus_pipeline.STAGES)
+    cut = stages["line_dedup"](spark, frame, SF_DIR).cache()
+    assert {r.doc_id for r in cut.collect()} == {*range(40), *range(100, 120)}
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert all(texts[k] == page(f"own{k}") for k in range(40)) and texts[100] == dict((r[0], r[2]) for r in rows)[100]
+    assert cut.where("n_chars <> length(text)").count() == 0
+    single = stages["near_dedup"](spark, cut, SF_DIR)
+    assert {r.doc_id for r in single.collect()} == {*range(40), 100} and single.columns == frame.columns
+
+
+def test_copies_without_an_id_go_and_other_texts_without_one_stay(spark):
+    a, b, c = (" ".join(f"{name}{k}" for k in range(40)) for name in "abc")
+    rows = [(7, a), (None, a), (None, b), (None, c), (None, c), (9, a)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    single = corpus_pipeline.near_dedup(spark, frame, SF_DIR).collect()
+    assert sorted(((r.doc_id, r.text) for r in single), key=repr) == sorted([(7, a), (None, b), (None, c)], key=repr)
+
+
 def test_a_pipeline_run_leaves_only_what_its_result_reads(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(folder))
