@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm import decontamination, langid, quality, qualityrules
+from medallion.llm.lexical import search
 from medallion.llm.linefreq import drop_frequent_lines
 from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
 from medallion.llm.revisits import header_lines, resolve_revisits
 from medallion.llm.secretscan import scan
+from medallion.llm.spelling import variants
 from medallion.llm.store import ship
 from medallion.llm.substrings import repeated_passages
+from medallion.llm.vectors import near_vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -249,6 +252,53 @@ select d.doc_id, d.source, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped,
 from documents d left join texts t using (doc_id)
 """
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+with
+doc as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from documents where text is not null
+),
+item as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark where text is not null
+),
+sized as (select doc_id, count(*)::bigint as n from doc group by 1),
+total as (select count(*)::bigint as nn, sum(n)::bigint as l from sized),
+tf as (select doc_id, term, count(*)::bigint as tf from doc where term in (select term from item) group by 1, 2),
+weight as (
+  select term, floor(1000 * ln((2 * max(nn) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from tf, total group by 1
+),
+scored as (
+  select item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::bigint as score
+  from item join tf using (term) join weight using (term) join sized using (doc_id), total
+  group by 1, 2
+),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank,
+         doc_id, score
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -262,6 +312,9 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_decontamination,
         op10_line_dedup,
+        op11_embedding_near_dedup,
+        op12_spelling_variants,
+        op13_lexical_search,
     )
 }
-SQL = {"op5_warc_revisits": OP5_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
+SQL = {"op5_warc_revisits": OP5_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL, "op13_lexical_search": OP13_SQL}

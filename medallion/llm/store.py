@@ -14,12 +14,16 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.sources import files, new_scratch
 
 #: Texts are long rows: of the default 10,000 a worker would hold some 100 MB several times.
 ARROW_BATCH = {"maxRecordsPerBatch": "1000", "maxBytesPerBatch": "16m"}
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 32  # what a row takes besides its values
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
@@ -38,6 +42,33 @@ def parts(df: DataFrame, rows: int = 200_000) -> int:
     return 1 + df.count() // rows
 
 
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """About the bytes that a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            of = F.aggregate(value, F.lit(0), lambda n, e: n + _bytes(e, kind.elementType).cast("int"))
+        else:
+            of = 8 * F.greatest(F.size(value), F.lit(0))
+        return F.coalesce(of, F.lit(0)) + 24
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind), F.lit(24))
+    return F.lit(8)
+
+
+def size_of(df: DataFrame) -> int:
+    """About the bytes that a stored table takes in memory, from a pass over it."""
+    each = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(ROW_BYTES))
+    return df.agg(F.sum(each.cast("long"))).first()[0] or 0
+
+
+def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, to be broadcast if its bytes, which are measured, are within ``limit``;
+    else it is joined as Spark sees fit."""
+    return F.broadcast(df) if size_of(df) <= limit else df
+
+
 def free(name: str, columns: list[str]) -> str:
     """``name``, lengthened until no column has it."""
     taken = {c.lower() for c in columns}
