@@ -243,3 +243,34 @@ def raw_read_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
     lake.write(table(spark, sf_dir, "events"), "raw", "shop", "events")
     return read_raw(lake, "shop", "events", from_events=False)
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, l_quantity::double AS l_quantity,
+           CASE WHEN l_orderkey % 3 = 0 THEN l_tax::decimal(4, 2)::decimal(12, 4)
+                ELSE l_tax::decimal(12, 4) END AS l_tax,
+           CASE WHEN l_orderkey % 3 = 0 THEN l_shipdate::date::timestamp
+                ELSE l_shipdate END AS l_shipdate,
+           CASE WHEN l_orderkey % 3 = 2 THEN l_returnflag END AS l_returnflag
+    FROM lineitem""")
+def raw_read_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source widened four columns and added one, a batch after the other."""
+    lines = table(spark, sf_dir, "lineitem")
+    kinds = (
+        ("int", "float", "decimal(4,2)", "date"),
+        ("bigint", "double", "decimal(12,4)", "timestamp_ntz"),
+        ("bigint", "double", "decimal(12,4)", "timestamp_ntz"),
+    )
+    lake = new_lake(spark)
+    for number, (whole, real, exact, day) in enumerate(kinds):
+        columns = [
+            F.col("l_orderkey"),
+            F.col("l_linenumber").cast(whole),
+            F.col("l_quantity").cast(real),
+            F.col("l_tax").cast(exact),
+            F.col("l_shipdate").cast(day),
+            *(["l_returnflag"] if number == 2 else []),
+        ]
+        batch = lines.filter(F.col("l_orderkey") % 3 == number).select(*columns)
+        lake.table("raw", "shop", "lineitem").add_batch(batch, "run", number)
+    return read_raw(lake, "shop", "lineitem", from_events=False)

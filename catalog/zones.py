@@ -267,3 +267,30 @@ def safe_zone_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake.table("raw", "shop", "events").add_batch(arriving, "backfill", number)
         refine_new(lake, spec, state, LOAD_AT)
     return wall_clock(lake.read("safe", "shop", "events"))
+
+
+@query(f"""
+    SELECT * EXCLUDE (props), md5(CAST(event_id AS varchar)) AS key, {LOADED} AS timestamp_kafka
+    FROM events""")
+def trusted_zone_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without natural partitions, in buckets of its key: late rows and corrections
+    rewrite the buckets of their keys only."""
+    events = table(spark, sf_dir, "events")
+    late = F.col("event_id") % 997 == 0
+    spec = TableSpec(
+        "shop",
+        "events",
+        ("event_id",),
+        checkpoint_column="ts",
+        ignore_columns=("props",),
+        merge=True,
+        buckets=16,
+    )
+    lake = new_lake(spark)
+    state = RefinedState(lake.table("state", "refine", "batches"))
+    first = events.filter(~late).withColumn("value", F.lit(0.0)).withColumn("ts", F.col("ts") - F.expr("interval 1 year"))
+    for number, arriving in enumerate((first, events.filter(late), events.filter(~late))):
+        lake.table("raw", "shop", "events").add_batch(arriving, "run", number)
+        refine_new(lake, spec, state, LOAD_AT)
+    path = lake.path("trusted", "shop", "events")
+    return wall_clock(PartitionedTable(spark, path, buckets=spec.buckets).read())

@@ -73,6 +73,7 @@ def upsert(
     broadcast_limit: int = BROADCAST_LIMIT,
     order: Sequence[str] = (),
     unique: bool = False,
+    same: Sequence[str] = (),
 ) -> DataFrame:
     """Update matched rows in all columns, insert the rest of ``source``, keep
     the rest of ``lake``. Null keys never match, so both sides keep theirs.
@@ -89,6 +90,10 @@ def upsert(
     shuffle, and a key that the target repeats often is split by adaptive skew
     handling. If the target holds each key once as well (``unique``), a shuffled
     comparison takes one join instead of three scans of the target.
+
+    ``same`` names columns in which rows of one key must agree on both sides. A
+    key that stands for other values stops the job, from inside the join; of
+    the source only a hash of these columns goes along.
     """
     keys = list(keys)
     source = source.select(*[F.col(f"`{c}`") for c in lake.columns])
@@ -97,8 +102,11 @@ def upsert(
     match = source.filter(_all_present(keys)).select(
         *[F.col(f"`{c}`").alias(f"__s_{c}") for c in keys],
         *([rank.alias("__offered")] if compared else []),
+        *([_meaning(same).alias("__meant")] if same else []),
     )
     same_key = _and([F.col(k) == F.col(f"__s_{k}") for k in keys])
+    if same:
+        same_key = same_key & _agrees(keys, _meaning(same))
 
     profile = profile or profile_source(source, keys)
     profile.require_unique(keys)
@@ -109,24 +117,48 @@ def upsert(
     if not compared:
         return _without(lake, match, same_key, keys, how).unionByName(source)
     if unique and how == "merge":
-        return _newest(lake, source, keys, rank)
+        return _newest(lake, source, keys, rank, same)
     replaced = same_key & ~(rank > F.col("__offered"))
-    fresh = _not_stale(lake, source, match, keys, rank, how)
+    fresh = _not_stale(lake, source, match, keys, rank, how, same)
     return _without(lake, match, replaced, keys, how).unionByName(fresh)
 
 
-def _newest(lake: DataFrame, source: DataFrame, keys: list[str], rank: Column) -> DataFrame:
+def _meaning(columns: Sequence[str]) -> Column:
+    """A hash of the columns' text, with nulls apart from everything else."""
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    return F.xxhash64(*[part for t in texts for part in (t, t.isNull())])
+
+
+def _agrees(keys: Sequence[str], meaning: Column) -> Column:
+    """True, or the end of the job."""
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    failure = F.raise_error(F.concat(F.lit("key "), shown, F.lit(" stands for different values")))
+    return F.when(meaning == F.col("__meant"), F.lit(True)).otherwise(failure.cast("boolean"))
+
+
+def _newest(
+    lake: DataFrame, source: DataFrame, keys: list[str], rank: Column, same: Sequence[str]
+) -> DataFrame:
     """Of each key's two rows the one of greater rank, the source's if they are equal. Rows
     without a key stay out of the join."""
     present = _all_present(keys)
     whole = F.struct(*[F.col(f"`{c}`") for c in lake.columns])
+    meaning = _meaning(same) if same else F.lit(0)
     old = lake.filter(present).select(
-        *[F.col(k).alias(f"__l_{k}") for k in keys], whole.alias("__old"), rank.alias("__stored")
+        *[F.col(k).alias(f"__l_{k}") for k in keys],
+        whole.alias("__old"),
+        rank.alias("__stored"),
+        meaning.alias("__means"),
     )
     new = source.filter(present).select(
-        *[F.col(k).alias(f"__s_{k}") for k in keys], whole.alias("__new"), rank.alias("__offered")
+        *[F.col(k).alias(f"__s_{k}") for k in keys],
+        whole.alias("__new"),
+        rank.alias("__offered"),
+        meaning.alias("__meant"),
     )
     same_key = _and([F.col(f"__l_{k}") == F.col(f"__s_{k}") for k in keys])
+    if same:
+        same_key = same_key & _agrees([f"__l_{k}" for k in keys], F.col("__means"))
     both = old.join(new.hint("merge"), same_key, "full_outer")
     stays = F.col("__new").isNull() | F.coalesce(F.col("__stored") > F.col("__offered"), F.lit(False))
     chosen = both.select(F.when(stays, F.col("__old")).otherwise(F.col("__new")).alias("row"))
@@ -141,14 +173,19 @@ def _not_stale(
     keys: list[str],
     rank: Column,
     how: str,
+    same: Sequence[str],
 ) -> DataFrame:
     """Source rows that the target has nothing newer for. The target is reduced
     to one value per key within partitions before it is shuffled. Ranks are
     structs, in which a null comes before all values."""
-    stored = lake.filter(_all_present(keys)).select(*keys, rank.alias("__rank"))
+    stored = lake.filter(_all_present(keys)).select(
+        *keys, rank.alias("__rank"), *([_meaning(same).alias("__means")] if same else [])
+    )
     if how == "broadcast":
         # Leaves at most one value per source key, so within the same bound.
         same_key = _and([F.col(k) == F.col(f"__s_{k}") for k in keys])
+        if same:
+            same_key = same_key & _agrees(keys, F.col("__means"))
         stored = stored.join(F.broadcast(match), same_key, "left_semi")
     newest = (
         stored.groupBy(*keys)

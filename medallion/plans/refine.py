@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from datetime import datetime
-from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.dates import LOAD_COLUMN, date_columns, guard_dates, with_load_timestamp
@@ -15,7 +16,7 @@ from medallion.functions.keys import surrogate_key
 from medallion.operators.columns import drop_restricted
 from medallion.operators.dedup import latest_per_key, one_per_key
 from medallion.operators.envelope import accepted, event_schema, flatten, rejected
-from medallion.operators.upsert import BROADCAST_LIMIT, SourceProfile, profile_source
+from medallion.operators.upsert import profile_source
 from medallion.plans.spec import TableSpec
 from medallion.plans.state import RefinedState
 from medallion.sources.lake import DeltaTable, Lake, ParquetTable, with_columns_of
@@ -25,7 +26,7 @@ from medallion.sources.scratch import staged
 Zone = ParquetTable | PartitionedTable | DeltaTable
 
 KEY = "key"
-SMALL_VALUES = 500_000  # key values that may be broadcast with their keys
+CLASH = re.compile(r"key \S+ stands for different values")
 
 
 def read_raw(
@@ -35,18 +36,21 @@ def read_raw(
     from_events: bool,
     schema: T.StructType | None = None,
     storage_format: str | None = None,
+    narrower: str = "error",
 ) -> DataFrame:
     """Rows of a raw table: after-images if it holds change events, else as is.
 
     ``schema`` are the table's columns now. Batches written before a column was
     added have null in it; without a schema the columns are those of all files.
-    Database rows keep the types they were read with.
+    Database rows have the widest type that a batch was read with; a batch with
+    a narrower type than those before it is an error that names it, unless
+    ``narrower`` is ``"widen"``.
     """
     raw = lake.table("raw", namespace, dataset, storage_format)
     if from_events:
         events = raw.read(None if schema is None else event_schema(schema))
         return flatten(accepted(events))
-    return raw.read(all_columns=True)
+    return raw.read_widened(narrower)
 
 
 def read_quarantine(lake: Lake, namespace: str, dataset: str) -> DataFrame:
@@ -89,7 +93,13 @@ def refine(lake: Lake, spec: TableSpec, load_at: datetime | None = None) -> None
     just written, and a merge reads a stored copy.
     """
     raw = read_raw(
-        lake, spec.namespace, spec.dataset, spec.topic is not None, spec.schema, spec.storage_format
+        lake,
+        spec.namespace,
+        spec.dataset,
+        spec.topic is not None,
+        spec.schema,
+        spec.storage_format,
+        spec.narrower,
     )
     _land(lake, spec, _refined(raw, spec, load_at))
 
@@ -119,7 +129,7 @@ def refine_new(
         refine(lake, spec, load_at)
     else:
         if spec.topic is None:
-            raw = table.read_batches(batches)
+            raw = table.read_batches(batches, narrower=spec.narrower)
         else:
             raw = flatten(accepted(table.read_batches(batches, event_schema(spec.schema))))
         known = (safe or trusted).read().drop(KEY, LOAD_COLUMN)
@@ -140,11 +150,20 @@ def _refined(raw: DataFrame, spec: TableSpec, load_at: datetime | None) -> DataF
 
 
 def _zones(lake: Lake, spec: TableSpec):
-    """The safe zone, if there is to be one or is one, and the trusted zone."""
+    """The safe zone, if there is to be one or is one, and the trusted zone. A table whose
+    layout is not the one of ``spec`` is brought into it first, with all its rows."""
     def zone(name: str):
         table = lake.table(name, spec.namespace, spec.dataset, spec.storage_format)
-        if spec.partition_by and isinstance(table, ParquetTable):
-            return PartitionedTable(lake.spark, table.path, spec.partition_by)
+        divided = spec.partition_by or spec.buckets
+        if isinstance(table, DeltaTable):
+            if divided:
+                raise ValueError(f"{spec.dataset}: a Delta table is not partitioned here")
+            return table
+        if divided:
+            table = PartitionedTable(lake.spark, table.path, spec.partition_by, spec.buckets, KEY)
+            table.settle()
+        else:
+            PartitionedTable(lake.spark, table.path, buckets=1).dissolve()
         return table
 
     safe = zone("safe")
@@ -190,35 +209,34 @@ def _merge(
             options["newer_than"] = spec.newer_than or (order[0] if order else None)
         else:
             options |= {"order": order} if order else {"newer_than": spec.newer_than}
-            if order:
-                _require_same_values(spec, safe or trusted, source, profile)
+            target = safe or trusted
+            if order and target.exists():
+                known = target.read().columns
+                options["same"] = [c for c in spec.table_key if c in known]
         complete = safe is not None and safe.exists()
         if safe is not None:
-            safe.merge(source, [KEY], **options)
+            _checked(spec, lambda: safe.merge(source, [KEY], **options))
         if complete and trusted.exists():
-            if isinstance(safe, PartitionedTable) and not set(hidden) & set(trusted.read().columns):
+            whole = drop_restricted(safe.read(), hidden)
+            kinds, shown = dict(whole.dtypes), dict(trusted.read().dtypes)
+            if isinstance(safe, PartitionedTable) and all(kinds.get(c) == k for c, k in shown.items()):
                 touched = safe.read_parts(safe.parts(source))
                 trusted.write_parts(drop_restricted(touched, hidden))
             else:
-                trusted.replace(drop_restricted(safe.read(), hidden))
+                trusted.replace(whole)
         else:
-            trusted.merge(drop_restricted(source, hidden), [KEY], drop=hidden, **options)
-
-
-def _require_same_values(
-    spec: TableSpec, target: Zone, source: DataFrame, profile: SourceProfile
-) -> None:
-    """An error if a key in the target stands for other values than in ``source``."""
-    columns = [c for c in spec.table_key if c in target.read().columns]
-    ours = source.filter(F.col(KEY).isNotNull()).select(
-        F.col(KEY).alias("__key"), *[F.col(f"`{c}`").alias(f"__s_{c}") for c in columns]
-    )
-    if profile.key_bytes <= BROADCAST_LIMIT and profile.rows * len(columns) <= SMALL_VALUES:
-        ours = F.broadcast(ours)
-    other = reduce(
-        lambda a, b: a | b, [~F.col(f"`{c}`").eqNullSafe(F.col(f"__s_{c}")) for c in columns]
-    )
-    clash = target.read().join(ours, F.col(KEY) == F.col("__key")).filter(other)
-    found = clash.select(KEY).first()
-    if found is not None:
-        raise ValueError(f"{spec.dataset}: key {found[0]} stands for different values")
+            options["same"] = [c for c in options.get("same", ()) if c not in hidden]
+            shown = drop_restricted(source, hidden)
+            _checked(spec, lambda: trusted.merge(shown, [KEY], drop=hidden, **options))
+
+
+def _checked(spec: TableSpec, merge: Callable[[], None]) -> None:
+    """Run a merge; keys that stand for different values, which its join finds, are the
+    caller's error."""
+    try:
+        merge()
+    except (PySparkException, Py4JJavaError) as error:
+        clash = CLASH.search(str(error))
+        if clash is None:
+            raise
+        raise ValueError(f"{spec.dataset}: {clash[0]}") from error

@@ -18,8 +18,10 @@ class TableSpec:
     given ``schema``, otherwise from the database. ``merge`` upserts into the
     safe and trusted zones instead of replacing them, and then deletes what was
     replaced more than ``retention_hours`` ago. ``storage_format`` is that of
-    the lake unless named. With ``partition_by``, columns of the key, a merge
-    rewrites only the partitions that it touches."""
+    the lake unless named. With ``partition_by``, columns of the key, or
+    ``buckets`` of the hashed key, a merge rewrites only the partitions that it
+    touches. ``narrower`` tells what to do with rows from the database in which
+    a column has a narrower type than it had before."""
 
     namespace: str
     dataset: str
@@ -38,6 +40,8 @@ class TableSpec:
     retention_hours: float = RETENTION_HOURS
     storage_format: Literal["parquet", "delta"] | None = None
     partition_by: tuple[str, ...] = ()
+    buckets: int = 0
+    narrower: Literal["error", "widen"] = "error"
 
     def __post_init__(self) -> None:
         if self.topic and self.schema is None:
@@ -48,6 +52,12 @@ class TableSpec:
             raise ValueError(f"{self.dataset}: rows without a key can only be rejected by a merge")
         if not set(self.partition_by) <= set(self.table_key) - set(self.ignore_columns):
             raise ValueError(f"{self.dataset}: partitions need open columns of the key")
+        if self.buckets < 0 or (self.buckets and self.partition_by):
+            raise ValueError(f"{self.dataset}: partitions are by columns or by buckets of the key")
+        if self.storage_format == "delta" and (self.buckets or self.partition_by):
+            raise ValueError(f"{self.dataset}: a Delta table is not partitioned here")
+        if self.narrower not in ("error", "widen"):
+            raise ValueError(f"{self.dataset}: narrower must be error or widen")
         if self.newer_than in self.ignore_columns:
             raise ValueError(f"{self.dataset}: the trusted zone needs {self.newer_than} to compare")
 
@@ -81,6 +91,8 @@ def specs_from_config(config: Mapping[str, Mapping[str, Any]]) -> list[TableSpec
                     retention_hours=entry.get("retention_hours", RETENTION_HOURS),
                     storage_format=entry.get("storage_format"),
                     partition_by=tuple(entry.get("partition_by") or ()),
+                    buckets=entry.get("buckets", 0),
+                    narrower=entry.get("narrower", "error"),
                 )
             )
     return specs

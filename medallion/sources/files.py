@@ -32,13 +32,24 @@ def entries(spark: SparkSession, path: str) -> list[Entry]:
     ]
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob, by one listing."""
+@dataclass(frozen=True)
+class Match:
+    path: str
+    modified_ms: int
+
+
+def matching_entries(spark: SparkSession, pattern: str) -> list[Match]:
+    """What matches a glob, by one listing."""
     fs, handle = _open(spark, pattern)
     found = fs.globStatus(handle)
     if found is None:
         return []
-    return [status.getPath().toString() for status in found]
+    return [Match(s.getPath().toString(), s.getModificationTime()) for s in found]
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob."""
+    return [found.path for found in matching_entries(spark, pattern)]
 
 
 def exists(spark: SparkSession, path: str) -> bool:

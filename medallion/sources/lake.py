@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from medallion.operators.upsert import BROADCAST_LIMIT, SourceProfile, profile_source, upsert
 from medallion.sources import files
+from medallion.sources.schemas import cast_to, read_together, reconciled
 
 # Bucket prefix per environment, retention of the writer option
 # and of the cleanup after a merge.
@@ -157,13 +158,44 @@ class ParquetTable:
         return number
 
     def read_batches(
-        self, batches: Sequence[str], schema: T.StructType | str | None = None
+        self,
+        batches: Sequence[str],
+        schema: T.StructType | str | None = None,
+        narrower: str = "error",
     ) -> DataFrame:
-        """Rows of some batches, with the columns of ``schema`` or of any file."""
+        """Rows of some batches, with the columns of ``schema`` or of any file, each of the
+        widest type that a batch has."""
+        if schema is not None:
+            paths = [f"{self.current_path()}/{batch}" for batch in batches]
+            return self.spark.read.schema(schema).parquet(*paths)
+        chosen = set(batches)
+        names = [name for name in self._in_order() if name in chosen]
+        return read_together(names, self._read_pieces, narrower)
+
+    def read_widened(self, narrower: str = "error") -> DataFrame:
+        """All rows, with the columns of any file, each of the widest type that a piece of the
+        table has: a complete ingest batch, or a file beside them."""
+        names = self._in_order()
+        if not names:
+            return self.read(all_columns=True)  # an error that names the table
+        return read_together(names, self._read_pieces, narrower)
+
+    def _in_order(self) -> list[str]:
+        """Complete batches and what lies beside them, as they were written."""
+        root = self.current_path()
+        found = [
+            ("/".join(e.path.split("/")[-3:-1]), e.modified_ms)
+            for e in files.matching_entries(self.spark, f"{root}/run-*/batch-*/{COMPLETE}")
+        ]
+        for entry in files.entries(self.spark, root):
+            if not entry.name.startswith(("_", ".", "run-")):
+                found.append((entry.name, entry.modified_ms))
+        return [name for name, _ in sorted(found, key=lambda e: (e[1], e[0]))]
+
+    def _read_pieces(self, names: Sequence[str]) -> DataFrame:
         root = self.current_path()
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        paths = [f"{root}/{batch}" for batch in batches]
-        return reader.option("mergeSchema", schema is None).parquet(*paths)
+        reader = self.spark.read.option("mergeSchema", "true")
+        return reader.parquet(*[f"{root}/{name}" for name in names])
 
     def replace(self, df: DataFrame) -> None:
         """Make ``df`` the whole content. It may be derived from this table."""
@@ -183,19 +215,22 @@ class ParquetTable:
         broadcast_limit: int = BROADCAST_LIMIT,
         order: Sequence[str] = (),
         unique: bool = False,
+        same: Sequence[str] = (),
     ) -> None:
         """Upsert ``source``, or load it if there is no table yet. Columns in
         ``drop`` leave the table, new ones of ``source`` come in, with nulls in
-        the rows that stay. ``source`` is evaluated three times: hand in a stored
-        frame if it is costly. ``order`` and ``unique`` are those of ``upsert``."""
+        the rows that stay, and a type gets as wide as both sides need. ``source`` is evaluated three times: hand in a stored
+        frame if it is costly. ``order``, ``unique`` and ``same`` are those of ``upsert``."""
         profile = profile or profile_source(source, keys)
         profile.require_unique(keys)
         if not self.exists():
             self.replace(source)
             return
-        lake = with_columns_of(self.read().drop(*drop), source)
+        lake = self.read().drop(*drop)
+        wanted = list(reconciled(lake.schema, source.schema, self.path))
+        lake, source = cast_to(lake, wanted), cast_to(source, wanted)
         self.replace(
-            upsert(lake, source, keys, newer_than, profile, broadcast_limit, order, unique)
+            upsert(lake, source, keys, newer_than, profile, broadcast_limit, order, unique, same)
         )
 
     def expire(self, hours: float = RETENTION_HOURS) -> list[str]:
@@ -246,6 +281,10 @@ class DeltaTable:
         """All rows; the table itself knows its columns."""
         return self.spark.read.format("delta").load(self.path)
 
+    def read_widened(self, narrower: str = "error") -> DataFrame:
+        """All rows; the table itself widens its types."""
+        return self.read()
+
     def _writer(self, df: DataFrame, mode: str):
         writer = df.write.format("delta").mode(mode)
         return writer.option("deltaRetentionDuration", DELTA_WRITER_RETENTION)
@@ -280,6 +319,7 @@ class DeltaTable:
         broadcast_limit: int = BROADCAST_LIMIT,
         order: Sequence[str] = (),
         unique: bool = False,
+        same: Sequence[str] = (),
     ) -> None:
         (profile or profile_source(source, keys)).require_unique(keys)
         if order:
