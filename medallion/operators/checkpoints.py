@@ -18,6 +18,7 @@ STATE_SCHEMA = (
 #: State of one dataset: the value as text with its type, so that it does not depend on a zone.
 ENTRY_SCHEMA = f"{STATE_SCHEMA}, value_type string, value string, run_id string"
 KEYSET_SCHEMA = "key_column string, last_processed_id bigint"
+PUBLISHED_SCHEMA = "id bigint"
 REFINED_SCHEMA = "key_column string, batch string"
 
 

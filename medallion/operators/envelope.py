@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -79,8 +80,13 @@ def _iso_instant(column: Column) -> Column:
     )
 
 
-def parse_envelope(df: DataFrame, schema: T.StructType | str, column: str = "value") -> DataFrame:
-    """Parse JSON text into envelope columns plus ``rejected``.
+def parse_envelope(
+    df: DataFrame,
+    schema: T.StructType | str,
+    column: str = "value",
+    carry: Sequence[Column] = (),
+) -> DataFrame:
+    """Parse JSON text into envelope columns plus ``rejected``, then the columns ``carry``.
 
     Fields are matched by name: missing ones become null, extra ones are
     dropped. ``rejected`` holds the raw text of a message that is not an
@@ -95,7 +101,8 @@ def parse_envelope(df: DataFrame, schema: T.StructType | str, column: str = "val
     )
     # Generated columns are computed once per message: as plain expressions the
     # parser would run again for a filter on its result.
-    rows = df.select(F.col(column).alias("__text"), F.inline(F.array(event)))
+    kept = [c.alias(f"__kept_{k}") for k, c in enumerate(carry)]
+    rows = df.select(F.col(column).alias("__text"), *kept, F.inline(F.array(event)))
 
     # The parser stops after the first JSON value; as array items, two show.
     items = F.json_array_length(F.concat(F.lit("["), F.col("__text"), F.lit("]")))
@@ -104,7 +111,9 @@ def parse_envelope(df: DataFrame, schema: T.StructType | str, column: str = "val
     ]
     text = F.coalesce(F.col("__text"), F.lit(""))
     bad = F.when(reduce(lambda a, b: a | b, faults), text)
-    return rows.select(*fields.names, F.coalesce(F.col(REJECTED), bad).alias(REJECTED))
+    names = df.select(*carry).columns if carry else []
+    kept = [F.col(f"__kept_{k}").alias(name) for k, name in enumerate(names)]
+    return rows.select(*fields.names, F.coalesce(F.col(REJECTED), bad).alias(REJECTED), *kept)
 
 
 def accepted(events: DataFrame) -> DataFrame:

@@ -9,19 +9,28 @@ from datetime import datetime
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.dates import LOAD_COLUMN, date_columns, guard_dates, with_load_timestamp
 from medallion.functions.keys import surrogate_key
 from medallion.operators.columns import drop_restricted
 from medallion.operators.dedup import latest_per_key, one_per_key
-from medallion.operators.envelope import accepted, event_schema, flatten, rejected
+from medallion.operators.envelope import (
+    REJECTED,
+    accepted,
+    event_schema,
+    flatten,
+    parse_envelope,
+    rejected,
+)
 from medallion.operators.upsert import profile_source
 from medallion.plans.spec import TableSpec
 from medallion.plans.state import RefinedState
 from medallion.sources.lake import DeltaTable, Lake, ParquetTable, with_columns_of
 from medallion.sources.partitioned import PartitionedTable
 from medallion.sources.scratch import staged
+from medallion.streaming.positions import RAW_POSITION
 
 Zone = ParquetTable | PartitionedTable | DeltaTable
 
@@ -53,9 +62,21 @@ def read_raw(
     return raw.read_widened(narrower)
 
 
-def read_quarantine(lake: Lake, namespace: str, dataset: str) -> DataFrame:
-    """Raw text of the messages that were not envelopes."""
-    return rejected(lake.read("raw", namespace, dataset))
+def read_quarantine(
+    lake: Lake, namespace: str, dataset: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Raw text of the messages that were not envelopes. With a corrected ``schema``, only of
+    those that are none under it either."""
+    found = rejected(lake.read("raw", namespace, dataset))
+    return found if schema is None else rejected(parse_envelope(found, schema, REJECTED))
+
+
+def locate_quarantine(lake: Lake, namespace: str, dataset: str) -> DataFrame:
+    """The same with the ``batch`` and the position in the topic, as far as messages had one."""
+    raw = lake.table("raw", namespace, dataset).read(all_columns=True)
+    place = F.regexp_extract("_metadata.file_path", "(run-[^/]+/batch-[0-9]+)/[^/]+$", 1)
+    kept = [c for c in RAW_POSITION if c in raw.columns]
+    return raw.where(F.col(REJECTED).isNotNull()).select(place.alias("batch"), *kept, REJECTED)
 
 
 def refine_frame(

@@ -20,6 +20,7 @@ from medallion.functions.keys import checkpoint_key
 from medallion.operators.checkpoints import (
     ENTRY_SCHEMA,
     KEYSET_SCHEMA,
+    PUBLISHED_SCHEMA,
     REFINED_SCHEMA,
     decoded,
     entry_rows,
@@ -38,9 +39,16 @@ def _own(table: Table, name: str) -> Table:
 
 
 def _read_all(table: Table, schema: str) -> DataFrame:
+    """The rows of all datasets: one scan, however many there are."""
     names = [e.name for e in files.entries(table.spark, table.path) if e.name[0] not in "._"]
-    parts = [_own(table, name).read(schema) for name in sorted(names)]
-    return reduce(DataFrame.unionByName, parts, table.spark.createDataFrame([], schema))
+    own = [_own(table, name) for name in sorted(names)]
+    if isinstance(table, DeltaTable):
+        parts = [part.read() for part in own]
+        return reduce(DataFrame.unionByName, parts, table.spark.createDataFrame([], schema))
+    paths = [part.current_path() for part in own]
+    if not paths:
+        return table.spark.createDataFrame([], schema)
+    return table.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
 
 
 @dataclass(frozen=True)
@@ -97,17 +105,30 @@ class CheckpointState:
 @dataclass(frozen=True)
 class KeysetState:
     """Last processed id per table. Before the first poll there is none, or ``start``: with 0,
-    ids up to 0 are never captured."""
+    ids up to 0 are never captured. With an ``overlap`` the ids published in so long a window
+    below the last one are kept as well, so that a poll can look there for late ones."""
 
     table: Table
     start: int | None = None
+    overlap: int = 0
 
     def value(self, name: str) -> int | None:
         own = _own(self.table, name)
         row = own.read(KEYSET_SCHEMA).first() if own.exists() else None
         return self.start if row is None else row.last_processed_id
 
-    def save(self, name: str, value: int) -> None:
+    def published(self, name: str) -> DataFrame | None:
+        """``id`` of what was published in the window, if that is known."""
+        own = _own(self.table, f"_published/{name}")
+        return own.read(PUBLISHED_SCHEMA) if own.exists() else None
+
+    def save(self, name: str, value: int, published: DataFrame | None = None) -> None:
+        """``published`` goes first: a job that stops in between publishes ids again, and
+        leaves none out."""
+        if published is not None:
+            ids = _own(self.table, f"_published/{name}")
+            ids.replace(published.where(F.col("id") > value - self.overlap))
+            ids.expire(0)
         own = _own(self.table, name)
         own.replace(keyset_rows(self.table.spark, name, value))
         own.expire()

@@ -1,5 +1,6 @@
 """Message topics: a Kafka topic, or a folder of text files with one message a
-line. Both give a frame with one ``value`` string column."""
+line. Both give a frame with a ``value`` string column; Kafka's has the position of
+each message as well."""
 
 from __future__ import annotations
 
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Columns of a message's position, as Kafka names them.
+POSITION = ("topic", "partition", "offset")
+
+
 def kafka_options(
     servers: str,
     topic: str,
@@ -37,7 +42,12 @@ def kafka_messages(
     """Stream of a topic from its earliest offset. Needs the Kafka connector."""
     reader = spark.readStream.format("kafka")
     reader = reader.options(**kafka_options(servers, topic, max_offsets, options))
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    return positioned(reader.load())
+
+
+def positioned(frame: DataFrame) -> DataFrame:
+    """A frame of Kafka's columns as text and position."""
+    return frame.select(F.col("value").cast("string").alias("value"), *POSITION)
 
 
 def text_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
-"""Structured Streaming jobs."""
+"""Change streams: messages to the raw zone, and which of them it holds."""
 
-from medallion.streaming.ingest import drain_to_raw
+from medallion.streaming.ingest import drain_to_raw, land_messages, parse_again
+from medallion.streaming.positions import Offsets
 
-__all__ = ["drain_to_raw"]
+__all__ = ["Offsets", "drain_to_raw", "land_messages", "parse_again"]

@@ -1,7 +1,7 @@
 import pytest
 from medallion.sources import CatalogSource, JdbcSource
 from medallion.sources.messages import kafka_options
-from medallion.sources.tables import RemainderSplit, Split
+from medallion.sources.tables import QuantileSplit, RemainderSplit, Split
 
 URL = "jdbc:db:somewhere"
 
@@ -116,3 +116,32 @@ def test_a_query_is_split_where_its_bounds_are_known(spark):
     assert split["dbtable"] == "(SELECT id FROM t) split_query" and "query" not in split
     assert (split["partitionColumn"], split["lowerBound"], split["numPartitions"]) == ("id", "0", "4")
     assert source.query_options("SELECT 1", source.splits["u"])["query"] == "SELECT 1"
+
+
+def test_quantiles_make_ranges_of_equal_rows(spark):
+    """Half of the ids crowd in a hundredth of their range, one value holds a tenth."""
+    ids = spark.range(1000).selectExpr("id").union(spark.range(1000).selectExpr("100000 + id * 97"))
+    ids = ids.union(spark.range(220).selectExpr("500L")).union(spark.sql("SELECT CAST(NULL AS bigint)"))
+    split = QuantileSplit("id", 8)
+    predicates = split.predicates(split.bounds(ids))
+    sizes = [ids.filter(p).count() for p in predicates]
+    assert sum(sizes) == 2221 and len(sizes) == 8
+    assert max(sizes) <= 500 and min(sizes) >= 150
+    assert all(ids.filter(f"({a}) AND ({b})").count() == 0 for a in predicates for b in predicates if a < b)
+
+    database = Database(ids)
+    JdbcSource(database, URL, splits={"orders": split}).table("orders")
+    asked, read = database.asked
+    assert asked["query"] == "SELECT id FROM orders"
+    assert read["predicates"] == predicates
+
+
+def test_quantiles_of_few_values_and_of_other_types(spark):
+    split = QuantileSplit("x", 4)
+    one = spark.range(9).selectExpr("7.5d AS x")
+    assert split.predicates(split.bounds(one)) == ["x < 7.5 OR x IS NULL", "x >= 7.5"]
+    assert split.predicates(split.bounds(one.limit(0))) == ["1 = 1"]
+    money = spark.sql("SELECT CAST(1.25 AS decimal(9,2)) AS x UNION ALL SELECT 3.5")
+    assert set(split.bounds(money)) <= {1.25, 3.5}
+    with pytest.raises(ValueError, match="no quantiles"):
+        split.bounds(spark.sql("SELECT 'a' AS x"))

@@ -2,8 +2,11 @@ import json
 
 import pytest
 from medallion.plans import read_quarantine, read_raw
+from medallion.plans.refine import locate_quarantine
 from medallion.sources import text_messages
-from medallion.streaming import drain_to_raw
+from medallion.sources.messages import positioned
+from medallion.streaming import Offsets, drain_to_raw, land_messages, parse_again
+from medallion.streaming.positions import RAW_POSITION, folded
 
 SCHEMA = "id int, v string"
 
@@ -98,3 +101,75 @@ def test_files_per_batch(spark, lake, folder, topic):
     )
     assert len(raw.read().inputFiles()) == 1
     assert ids(lake) == [0, 1, 2, 3]
+
+
+WITH_POSITION = "value string, topic string, partition int, offset bigint"
+
+
+@pytest.fixture
+def positioned_messages(spark):
+    def make(*places, partition=0, text=None):
+        rows = [(text or f'{{"after": {{"id": {o}}}}}', "t", partition, o) for o in places]
+        return spark.createDataFrame(rows, WITH_POSITION)
+
+    return make
+
+
+def test_positions_stay_with_the_messages(spark, lake, positioned_messages):
+    raw = lake.table("raw", "shop", "p")
+    land_messages(positioned_messages(3, 4, partition=7), raw, "id bigint", "a", 0)
+    land_messages(positioned_messages(9, text="no json"), raw, "id bigint", "a", 1)
+    found = raw.read(all_columns=True).select("after.id", *RAW_POSITION).collect()
+    assert sorted(map(tuple, found), key=str) == [(3, "t", 7, 3), (4, "t", 7, 4), (None, "t", 0, 9)]
+    assert [tuple(r) for r in locate_quarantine(lake, "shop", "p").collect()] == [
+        ("run-a/batch-1", "t", 0, 9, "no json")
+    ]
+
+
+def test_offsets_that_raw_holds_stay_out(spark, lake, positioned_messages):
+    raw, offsets = lake.table("raw", "shop", "p"), Offsets(lake.table("state", "offsets", "p"))
+
+    def land(run, batch, *messages):
+        rows = messages[0]
+        for more in messages[1:]:
+            rows = rows.union(more)
+        land_messages(rows, raw, "id bigint", run, batch, offsets=offsets)
+
+    def held():
+        return sorted((r[2], r[3]) for r in raw.read(all_columns=True).select("after.id", *RAW_POSITION).collect())
+
+    land("a", 0, positioned_messages(0, 1, 2), positioned_messages(0, partition=1))
+    land("a", 1, positioned_messages(3, 4), positioned_messages(5, 6, partition=1))
+    # another stream from the start, and a batch of the first one again
+    land("b", 0, positioned_messages(*range(7)), positioned_messages(*range(7), partition=1))
+    land("a", 1, positioned_messages(3, 4), positioned_messages(5, 6, partition=1))
+    assert held() == [(0, k) for k in range(7)] + [(1, k) for k in range(7)]
+    with pytest.raises(ValueError, match="no position"):
+        land("c", 0, spark.createDataFrame([("x",)], "value string"))
+
+
+def test_ranges_fold(spark):
+    rows = [("t", 0, 0, 4), ("t", 0, 5, 9), ("t", 0, 20, 30), ("t", 0, 2, 3), ("t", 0, 25, 26), ("t", 1, 0, 0), ("u", 0, 1, 2)]
+    frame = spark.createDataFrame(rows, "topic string, partition int, first bigint, last bigint")
+    assert sorted(map(tuple, folded(frame).collect())) == [
+        ("t", 0, 0, 9), ("t", 0, 20, 30), ("t", 1, 0, 0), ("u", 0, 1, 2),
+    ]
+
+
+def test_rejected_messages_get_a_second_chance(spark, lake, positioned_messages):
+    raw = lake.table("raw", "shop", "p")
+    text = '{"after": {"id": "x7"}}'
+    land_messages(positioned_messages(1, text=text), raw, "id bigint", "a", 0)
+    land_messages(positioned_messages(2, text="never"), raw, "id bigint", "a", 1)
+    land_messages(positioned_messages(3), raw, "id bigint", "a", 2)
+    assert [parse_again(raw, "id string") for _ in range(2)] == [1, 1]
+    again = raw.read_batches(["run-again/batch-0"])
+    assert [tuple(r) for r in again.select("after.id", *RAW_POSITION).collect()] == [("x7", "t", 0, 1)]
+    assert read_quarantine(lake, "shop", "p").count() == 2
+    assert [r[0] for r in read_quarantine(lake, "shop", "p", "id string").collect()] == ["never"]
+    assert parse_again(lake.table("raw", "shop", "none"), "id string") == 0
+
+
+def test_kafka_frames_keep_text_and_position(spark):
+    frame = spark.sql("SELECT CAST('x' AS binary) AS value, 't' AS topic, 1 AS partition, 5L AS offset, 0 AS key")
+    assert [tuple(r) for r in positioned(frame).collect()] == [("x", "t", 1, 5)]
