@@ -4,12 +4,13 @@ Method: the index stores (term, text, position) of training tokens, each file so
 A benchmark window is looked up from its rarest terms: their postings, moved by the term's
 place in the item, are intersected, which gives the place where the item would have to start.
 Only there are the document's words compared with the item's, so phrase matches are exact.
-``proximity`` finds all terms of an item within a span of words, from the same index.
+``proximity`` finds all terms of an item within a span of words, from postings of all its terms
+near the rarest one, which it makes itself.
 
 Only terms that lookups start from are stored, so the first pass over the texts counts the
 benchmark's terms (reduced in each partition before a shuffle of one row per term), and the
-second stores the postings of the rarest. The benchmark side is broadcast if it has been
-counted to be small, else joined. Texts are named by a 64-bit hash, so copies are matched once
+second stores the postings of the rarest. The benchmark side is broadcast if its bytes have been
+measured to be few, else joined. Texts are named by a 64-bit hash, so copies are matched once
 and ids may be null or repeated. Built-in expressions only.
 
 Defined cases: a null or wordless text or item has no words and matches nothing; an item with a
@@ -22,12 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import free, parts, stored
+from medallion.llm.store import broadcast_within, free, parts, stored
 
 WINDOW = 13
 RAREST = 2  # terms whose postings are intersected for each window
 ITEMS = 10_000  # benchmark items for a file of what is derived from them
-SMALL = 200_000  # rows of a benchmark or key table that may be broadcast
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,11 +41,6 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A stored table, broadcast if it has few rows."""
-    return F.broadcast(df) if df.count() <= SMALL else df
-
-
 def items(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
     """``item`` (a number for each row), ``item_id`` and its ``words``, none without words."""
     rows = benchmark.select(
@@ -71,7 +66,7 @@ def _terms(found: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
     """How often each item term stands in ``docs``; terms that do not are left out."""
     files_ = parts(found, ITEMS)
-    terms = small(stored(_terms(found).select("term").distinct(), "terms", files_))
+    terms = broadcast_within(stored(_terms(found).select("term").distinct(), "terms", files_))
     counted = _tokens(docs).join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return stored(counted, "counts", files_)
 
@@ -99,7 +94,7 @@ def anchors(found: DataFrame, counts: DataFrame, rarest: int, size: int) -> Data
 def index(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The stored postings (term, key, pos) of the terms that ``chosen`` lookups start from."""
     terms = chosen.select(F.explode(F.flatten("lookups")).alias("t")).select("t.term").distinct()
-    postings = _tokens(docs).join(small(stored(terms, "anchors", parts(chosen, ITEMS))), "term")
+    postings = _tokens(docs).join(broadcast_within(stored(terms, "anchors", parts(chosen, ITEMS))), "term")
     return stored(postings.sortWithinPartitions("term", "key", "pos"), "postings")
 
 
@@ -112,21 +107,21 @@ def aligned(postings: DataFrame, chosen: DataFrame) -> DataFrame:
     wanted = chosen.select("item", F.transform("lookups", lambda w: w["place"]).alias("wanted"))
     files_ = parts(chosen, ITEMS)
     met = (
-        postings.join(small(stored(places, "places", files_)), "term")
+        postings.join(broadcast_within(stored(places, "places", files_)), "term")
         .select("key", "item", (F.col("pos") - F.col("place")).alias("shift"), "place")
         .groupBy("key", "item", "shift")
         .agg(F.collect_set("place").alias("met"))
     )
     complete = F.exists("wanted", lambda w: F.size(F.array_except(w, F.col("met"))) == 0)
-    return met.join(small(stored(wanted, "wanted", files_)), "item").where(complete).select("key", "item", "shift")
+    return met.join(broadcast_within(stored(wanted, "wanted", files_)), "item").where(complete).select("key", "item", "shift")
 
 
 def exact_hits(docs: DataFrame, candidates: DataFrame, found: DataFrame, size: int) -> DataFrame:
     """(key, item, positions): the words of a text that lie in a window of the item."""
     candidates = stored(candidates, "candidates")
-    keys = small(stored(candidates.select("key").distinct(), "keys", parts(candidates)))
+    keys = broadcast_within(stored(candidates.select("key").distinct(), "keys", parts(candidates)))
     texts = docs.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    rows = candidates.join(small(found.select("item", "words")), "item").join(
+    rows = candidates.join(broadcast_within(found.select("item", "words")), "item").join(
         texts.select("key", words(F.col("text")).alias("own")), "key"
     )
     length = F.least(F.lit(size), F.size("words"))
@@ -163,7 +158,7 @@ def matches(
     named = (
         hits.select("key", "item")
         .distinct()
-        .join(small(found.select("item", "item_ids")), "item")
+        .join(broadcast_within(found.select("item", "item_ids")), "item")
         .groupBy("key")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("hit_items"))
     )
@@ -176,7 +171,7 @@ def judged(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text
     rows = docs.select(
         docs[id_column], F.size(words(text)).cast("long").alias("n_words"), text_key(text).alias("_key")
     )
-    rows = rows.join(small(found), F.col("_key") == F.col("key"), "left")
+    rows = rows.join(broadcast_within(found), F.col("_key") == F.col("key"), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("hit_items", F.array().cast("array<string>"))
     return rows.select(
@@ -199,7 +194,7 @@ def without_contaminated(docs: DataFrame, found: DataFrame, *, text_column: str
     key, hit = free("_key", docs.columns), free("_hit", docs.columns)
     keys = stored(found.select(F.col("key").alias(key), F.col("n_hit").alias(hit)), "hit-keys", parts(found))
     bad = (text_key(text) == F.col(key)) & contaminated(F.col(hit), F.size(words(text)))
-    return docs.join(small(keys), bad, "left_anti")
+    return docs.join(broadcast_within(keys), bad, "left_anti")
 
 
 def proximity(
@@ -222,15 +217,15 @@ def proximity(
         F.collect_list("term").alias("terms"),
     )
     sized = stored(sized.where("kinds = present"), "proximity")
-    texts = small(
+    texts = broadcast_within(
         stored(
             _tokens(docs)
-            .join(small(stored(sized.select(F.col("rare.term").alias("term"), "item"), "rare")), "term")
+            .join(broadcast_within(stored(sized.select(F.col("rare.term").alias("term"), "item"), "rare")), "term")
             .select("key", "item", F.col("pos").alias("middle")),
             "middles",
         )
     )
-    wanted = small(stored(sized.select("item", "kinds", F.explode("terms").alias("term")), "wanted"))
+    wanted = broadcast_within(stored(sized.select("item", "kinds", F.explode("terms").alias("term")), "wanted"))
     near = (
         _tokens(docs)
         .join(texts, "key")
@@ -262,6 +257,6 @@ def proximity(
     return (
         near.select("key", "item", best.alias("best"))
         .where("best is not null")
-        .join(small(found.select("item", "item_ids")), "item")
+        .join(broadcast_within(found.select("item", "item_ids")), "item")
         .select("key", "item_ids", F.col("best.first").alias("first"), F.col("best.last").alias("last"))
     )

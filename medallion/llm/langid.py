@@ -230,14 +230,18 @@ def calibrate(model: Model, lang: list[str], count: np.ndarray, entropy: np.ndar
         model.usual[3, k] = 1.5 * max(np.quantile(z, 0.999), 2.0)
 
 
-def _learning(docs: DataFrame, held: Column, columns: tuple[str, str, str], bound: int):
-    """The learning texts with a calibration flag, at most about ``bound`` per language."""
+def _learning(docs: DataFrame, held: Column, columns: tuple[str, str, str], bound: int, chars: int):
+    """The learning texts with a calibration flag, at most about ``bound`` per language, and of
+    about ``chars`` characters."""
     identifier, text, lang = (docs[c] for c in columns)
     rows = docs.where(~F.coalesce(held, F.lit(True)) & lang.isNotNull() & text.isNotNull())
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy(lang.alias("lang")).count().collect()}
-    if not sizes:
+    sizes = rows.groupBy(lang.alias("lang")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length(text)).alias("chars")
+    )
+    shares = {r.lang: min(bound / r.n, chars / max(r.chars, 1)) for r in sizes.collect()}
+    if not shares:
         return None
-    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, bound / n)))
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
     draw = F.pmod(F.xxhash64(identifier, F.lit(7)), F.lit(1_000_000)) / F.lit(1_000_000.0)
     return rows.where(draw < share[lang]).select(
         lang.alias("lang"),
@@ -254,10 +258,12 @@ def fit(
     text_column: str = "text",
     lang_column: str = "lang",
     max_texts: int = 20_000,
-    max_grams: int = 300_000,
+    max_chars: int = 200_000_000,
 ) -> Model | None:
-    """Models of all languages in ``lang_column`` where ``held_out`` is false."""
-    rows = _learning(docs, held_out, (id_column, text_column, lang_column), max_texts)
+    """Models of all languages in ``lang_column`` where ``held_out`` is false, from about
+    ``max_texts`` texts and ``max_chars`` characters of each: what the driver gets does not grow
+    beyond that. Every n-gram of these texts is counted and kept."""
+    rows = _learning(docs, held_out, (id_column, text_column, lang_column), max_texts, max_chars)
     if rows is None:
         return None
 
@@ -281,7 +287,7 @@ def fit(
         .groupBy("lang", "key")
         .agg(F.sum("n").alias("n"))
     )
-    counts = _most_frequent(counted, max_grams)
+    counts = counted.toPandas()
     if not len(counts):
         return None
     model = build(counts)
@@ -311,24 +317,6 @@ def fit(
     return model
 
 
-def _most_frequent(counted: DataFrame, bound: int) -> pd.DataFrame:
-    """The ``bound`` most frequent keys of each language, less those tied at the bound."""
-    counted = counted.where("n > 0").persist()
-    try:
-        spread = counted.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).count().toPandas()
-        least = {}
-        for lang, own in spread.groupby("lang"):
-            own = own.sort_values("n", ascending=False)
-            fits = own[own["count"].cumsum() <= bound]["n"]
-            least[lang] = int(fits.min()) if len(fits) else 1000
-        if not least:
-            return counted.limit(0).toPandas()
-        bounds = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
-        return counted.where(F.col("n") >= bounds[F.col("lang")]).toPandas()
-    finally:
-        counted.unpersist()
-
-
 def identify(
     docs: DataFrame,
     model: Model | None,

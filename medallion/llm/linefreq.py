@@ -3,7 +3,7 @@
 Method: pages are grouped by host, each distinct line is counted once per page, the count is
 divided by the host's number of pages, and lines above a ratio are dropped from all pages of
 that host. Lines compare after white space is collapsed and A-Z lower-cased. A line must also
-stand on ``min_pages`` pages, so that small hosts lose nothing.
+stand on ``min_pages`` pages: on fewer, nothing tells boilerplate from a line that is the page's own.
 
 The counts are reduced inside each partition before their only shuffle, whatever share of the
 pages one host has. A host has at most (distinct lines per page) / ratio such lines, so they
@@ -25,6 +25,7 @@ from medallion.llm.store import free, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_LINES = 500_000  # 8 bytes each
+MIN_PAGES = 3
 
 
 def normalised(line: Column) -> Column:
@@ -59,34 +60,34 @@ def drop_frequent_lines(
     host_column: str = "source",
     text_column: str = "text",
     ratio: float = 0.1,
-    min_pages: int = 10,
+    min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """``docs`` with the text reduced, and ``n_lines``, ``n_dropped`` (lines with a word)."""
     found = stored(
         frequent_lines(docs, docs[host_column], docs[text_column], ratio, min_pages), "lines"
     )
     size = found.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
-    host, bad, whole, left, worded = (
-        free(c, docs.columns) for c in ("_host", "_bad", "_whole", "_left", "_worded")
-    )
+    host, bad, whole, norms, left = (free(c, docs.columns) for c in ("_host", "_bad", "_whole", "_norms", "_left"))
     found = found.select(F.col("host").alias(host), F.col("lines").alias(bad))
     if size <= BROADCAST_LINES:
         found = F.broadcast(found)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     joined = docs.join(found, F.coalesce(docs[host_column], F.lit("")) == F.col(host), "left")
+    # each line is normalised once, here
+    split = F.split(docs[text_column], "\n")
+    rows = joined.select(
+        *(docs[c] for c in names), F.col(bad), split.alias(whole), F.transform(split, normalised).alias(norms)
+    )
 
-    def boilerplate(line: Column) -> Column:
-        frequent = F.array_contains(bad, F.xxhash64(normalised(line)))
-        return F.coalesce(frequent & (normalised(line) != ""), F.lit(False))
+    def kept(line: Column, k: Column) -> Column:
+        norm = F.get(norms, k)
+        return ~((norm != "") & F.coalesce(F.array_contains(bad, F.xxhash64(norm)), F.lit(False)))
 
-    lines = F.split(docs[text_column], "\n")
-    kept = F.when(F.col(bad).isNull(), lines).otherwise(F.filter(lines, lambda line: ~boilerplate(line)))
-    words = F.size(F.filter(lines, lambda line: normalised(line) != ""))
-    result = joined.select(
-        *(docs[c] for c in names), lines.alias(whole), kept.alias(left), words.alias(worded)
-    )
-    return result.select(
+    lines = F.when(F.col(bad).isNull(), F.col(whole)).otherwise(F.filter(whole, kept))
+    worded = F.size(F.filter(norms, lambda norm: norm != ""))
+    rows = rows.select(*names, whole, lines.alias(left), worded.alias(norms))
+    return rows.select(
         *(F.array_join(left, "\n").alias(c) if c == text_column else F.col(c) for c in names),
-        F.coalesce(F.greatest(worded, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.greatest(norms, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size(whole) - F.size(left), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from medallion.llm.arrays import blocks, hash_runs, mix, per_text, random_words, runs, utf8, window_hashes
 from medallion.llm.components import components
-from medallion.llm.store import parts, stored
+from medallion.llm.store import broadcast_within, parts, stored
 
 SHINGLE = 5
 SKETCH = 64
@@ -49,7 +49,6 @@ SHARED = 24  # retained values that linked documents share at least
 LEAST_ESTIMATE = 0.43  # six standard deviations below 0.75 for 64 values
 BLOCK = 256  # classes, compared with as many in one task
 COLUMNS = 8192  # shared shingles per matrix product
-BROADCAST_IDS = 1_000_000
 TEXTS = 5_000  # texts in a file
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -161,9 +160,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             digests = pa.array([_digest(s) for s in shingle_sets(batch.column(0))], pa.int64())
             yield pa.RecordBatch.from_arrays([digests, batch.column(0)], ["class", "text"])
 
-    ids = wanted.select(F.col("id").alias("wanted")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = broadcast_within(wanted.select(F.col("id").alias("wanted")).distinct())
     rows = docs.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
     found = rows.mapInArrow(work, "class long, text string")
     found = found.join(wanted.select("class"), "class", "left_semi")

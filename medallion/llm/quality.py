@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructType
 
 from medallion.llm.arrays import blocks, hash_runs, mix, per_text, utf8
+from medallion.llm.store import broadcast_within, stored
 
 WORDS = 1 << 15  # hashed vocabulary of the word vectors
 SHAPES, JOINS, DISTANCES = 256, 32, 32
@@ -253,19 +254,26 @@ def fit(
     label_column: str = "quality",
     max_texts: int = 12_000,
 ) -> Model | None:
-    """Learn from labelled rows where ``held_out`` (of the labels' id) is false."""
+    """Learn from labelled rows where ``held_out`` (of the labels' id) is false, at most
+    ``max_texts`` different ones, chosen by hash."""
     rows = labels.where(~F.coalesce(held_out, F.lit(True)) & labels[label_column].isNotNull())
     rows = rows.groupBy(labels[id_column].alias("id")).agg(F.max(label_column).cast("int").alias("label"))
-    total = rows.count()
-    if not total:
+    named = docs.select(
+        docs[id_column].alias("id"), docs[text_column].alias("text"), F.xxhash64(docs[text_column]).alias("h")
+    )
+    # labelled texts by id and hash, each once: an id may stand on any number of rows
+    draw = F.xxhash64("id", "h", F.lit(3))
+    keys = named.select("id", "h").join(broadcast_within(stored(rows, "labels")), "id")
+    keys = stored(keys.groupBy("id", "h").agg(F.max("label").alias("label")), "labelled")
+    least = keys.select(draw.alias("draw")).orderBy("draw").limit(max_texts).agg(F.max("draw")).first()[0]
+    if least is None:
         return None
-    draw = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    rows = rows.where(draw < max_texts / total)
+    chosen = keys.where(draw <= least)
     tempering = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(5)) == 0
-    named = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
-    # the chosen labels are bounded by max_texts
-    sample = named.join(F.broadcast(rows), "id").select("id", "label", tempering.alias("tempering"), "text")
-    sample = sample.repartition(PARTS, "id").persist()
+    # ``max_texts`` bounds what is chosen
+    sample = named.join(F.broadcast(chosen), ["id", "h"]).dropDuplicates(["id", "h"])
+    sample = sample.select("id", "label", tempering.alias("tempering"), "text", "h")
+    sample = sample.repartition(PARTS, "id", "h").persist()
     try:
         return _fit(sample)
     finally:
@@ -292,10 +300,12 @@ def _fit(sample: DataFrame) -> Model | None:
         for batch in batches:
             found = [v for part in vectors(batch.column(3), shared.value) for v in part]
             pooled = pa.array(found, pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pooled], ["id", "label", "tempering", "vector"])
+            columns = [*batch.columns[:3], batch.column(4), pooled]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "tempering", "h", "vector"])
 
-    schema = StructType(sample.schema.fields[:3]).add("vector", ArrayType(FloatType()))
-    known = sample.mapInArrow(pool, schema).toArrow().sort_by("id")
+    schema = StructType([sample.schema[c] for c in ("id", "label", "tempering", "h")])
+    schema = schema.add("vector", ArrayType(FloatType()))
+    known = sample.mapInArrow(pool, schema).toArrow().sort_by([("id", "ascending"), ("h", "ascending")])
     if not len(known):
         return None
     x = known["vector"].combine_chunks().flatten().to_numpy().reshape(len(known), -1)

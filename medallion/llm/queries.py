@@ -235,7 +235,7 @@ frequent as (
   select host, norm
   from (select host, norm, count(distinct doc_id) as n from lines where norm <> '' group by 1, 2)
   join totals using (host)
-  where n >= 10 and n > 0.1::double * pages
+  where n >= 3 and n > 0.1::double * pages
 ),
 judged as (
   select l.doc_id, l.place, l.line, l.norm, f.norm is not null as dropped

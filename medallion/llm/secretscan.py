@@ -11,7 +11,7 @@ per partition before the shuffle, and only words that candidates contain are kep
 takes at most about ``max_findings`` rows, chosen by hash; every candidate is scored.
 
 Defined cases: null and empty texts have no candidates; a null path is the empty one; rows that
-share an id are separate texts; if the labels are of one kind only, every score is that label,
+share an id are separate texts, of which equal findings in equal places are one; if the labels are of one kind only, every score is that label,
 without any 0; an empty table gives no rows; other columns are ignored.
 """
 
@@ -88,10 +88,12 @@ def candidates(docs: DataFrame, id_column: str, path_column: str, text_column: s
 
 
 def dictionary(docs: DataFrame, found: DataFrame, text_column: str, min_count: int) -> DataFrame:
-    """Letter words of at least three characters that stand ``min_count`` times in the texts
-    and somewhere in a candidate."""
+    """Letter words of at least three characters that ``min_count`` texts have outside of runs
+    that could be candidates, and that stand somewhere in a candidate. A secret that is copied
+    does not become a word by that."""
     wanted = found.select(F.explode(_pieces(F.col("value"))).alias("word")).distinct()
-    words = docs.select(F.explode(F.split(F.lower(docs[text_column]), "[^a-z]+")).alias("word"))
+    prose = F.lower(F.regexp_replace(docs[text_column], VALUE, " "))
+    words = docs.select(F.explode(F.array_distinct(F.split(prose, "[^a-z]+"))).alias("word"))
     counted = words.where(F.length("word") >= 3).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counted.where(F.col("n") >= min_count).join(wanted, "word", "left_semi").select("word")
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.arrays import mix, random_words
-from medallion.llm.store import stored
+from medallion.llm.store import parts, stored
 
 LENGTH, OCCURRENCES = 6, 5
 RATIO = 5
@@ -43,6 +43,7 @@ SYMBOLS = 8
 SPOILT = 199  # a run whose hash this divides loses a letter
 FLUSH_WORDS, FLUSH_LETTERS = 200_000, 1 << 23  # what a task holds before it hands counts on
 SLICE = 1 << 18  # neighbours made together
+NEIGHBOURING = 20_000  # words whose neighbours one task makes
 SHORT = 64  # letters of a word that goes along with its neighbours
 _RUN = re.compile("[A-Za-zÀ-ÿ]{%d,}" % LENGTH)
 _LOWER = {k: k + 32 for k in range(65, 91)}
@@ -176,7 +177,9 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """``id``, ``near`` and ``near_n`` of all words (id, word, n) that differ by one edit. Short
     words are verified where their keys meet; long ones, which hardly ever meet by chance, after
     their letters have been looked up."""
-    around = _keyed(words, symbols, full=True).select("key", "id", "short")
+    # few files hold a vocabulary, and each word has many neighbours
+    spread = words.repartition(parts(words, NEIGHBOURING), "id")
+    around = _keyed(spread, symbols, full=True).select("key", "id", "short")
     vocabulary = _keyed(words, symbols, full=False).select(
         "key", F.col("id").alias("near_id"), F.col("short").alias("near"), F.col("n").alias("near_n")
     )

@@ -63,10 +63,10 @@ def size_of(df: DataFrame) -> int:
     return df.agg(F.sum(each.cast("long"))).first()[0] or 0
 
 
-def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A stored table, to be broadcast if its bytes, which are measured, are within ``limit``;
-    else it is joined as Spark sees fit."""
-    return F.broadcast(df) if size_of(df) <= limit else df
+def broadcast_within(df: DataFrame) -> DataFrame:
+    """A stored table, to be broadcast if its bytes, which are measured, are within
+    ``BROADCAST_BYTES``; else it is joined as Spark sees fit."""
+    return F.broadcast(df) if size_of(df) <= BROADCAST_BYTES else df
 
 
 def free(name: str, columns: list[str]) -> str:

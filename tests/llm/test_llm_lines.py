@@ -33,7 +33,7 @@ def test_lines_above_the_ratio_go(pages):
     expected = {}
     for doc, host, text in rows:
         lines = text.split("\n")
-        bad = [(n := count[host or "", norm(x)]) >= 10 and n > 0.2 * hosts[host or ""] for x in lines]
+        bad = [(n := count[host or "", norm(x)]) >= 3 and n > 0.2 * hosts[host or ""] for x in lines]
         kept = [x for x, b in zip(lines, bad, strict=True) if not b]
         expected[doc] = ("\n".join(kept), sum(bool(norm(x)) for x in lines), sum(bad))
     found = drop_frequent_lines(frame, ratio=0.2).collect()

@@ -85,11 +85,18 @@ def test_odd_languages(odd, nothing):
     assert langid.identify(nothing, model).count() == 0
 
 
-def test_most_frequent_grams_are_bounded(spark):
-    rows = [("en", k, 1 + k % 5) for k in range(100)] + [("de", k, 7) for k in range(3)]
-    frame = spark.createDataFrame(rows, "lang string, key long, n long")
-    kept = langid._most_frequent(frame, 45)
-    assert Counter(kept["lang"]) == {"en": 40, "de": 3} and kept["n"].min() == 4
+def test_rare_grams_are_counted_and_learning_texts_are_bounded(spark):
+    """A language of many rare grams keeps them all; few long texts are bounded by characters."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    rows = [(k, "".join(map(chr, 0x4E00 + rng.integers(0, 20_000, 400))), "zh") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    never = F.lit(False)
+    whole = langid.fit(docs, never)
+    assert len(whole.grams[-1][0]) > 100_000
+    fewer = langid._learning(docs, never, ("doc_id", "text", "lang"), 20_000, 40_000).count()
+    assert 60 <= fewer <= 150
 
 
 def test_quality_on_held_out_rows(spark):
@@ -210,3 +217,26 @@ def test_dictionary_coverage(texts):
     row = secretscan.features(found, words).first()
     assert row.value == "applezriver-apple-0123456789"
     assert row.f_coverage == pytest.approx(5 / 28) and row.f_length == 28
+
+
+def test_copies_of_a_secret_are_not_words(texts):
+    secret = "Qwertyuiop-Zxcvbnm/Lkjhgf7dsapoiu"
+    frame = texts(*[f"key = {secret} end"] * 5, "plain qwertyuiop", "other qwertyuiop zxcvbnm zxcvbnm")
+    docs = frame.selectExpr("doc_id", "text", "'p' as path")
+    found = secretscan.candidates(docs, "doc_id", "path", "text")
+    words = secretscan.dictionary(docs, found, "text", 2)
+    assert {r.word for r in words.collect()} == {"qwertyuiop"}
+
+
+def test_a_repeated_labelled_id_does_not_widen_the_sample(spark, monkeypatch):
+    rows = [(7, f"text number {k} of one id") for k in range(600)] + [(7, "the same text")] * 300
+    rows += [(1000 + k, f"another text {k}") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(r, r % 2) for r in [7, *range(1000, 1500)]], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "_fit", lambda sample: seen.append(sample.select("id", "text").collect()))
+    quality.fit(docs, labels, F.lit(False), max_texts=100)
+    assert len(seen[0]) == len(set(seen[0])) == 100
+    assert 30 <= sum(r.id == 7 for r in seen[0]) <= 80
+    quality.fit(docs, labels, F.lit(False))
+    assert len(seen[1]) == len(set(seen[1])) == 1101
