@@ -4,8 +4,9 @@ Each stage takes what the one before it kept, as Parquet, and its decisions take
 whose language is rejected go, boilerplate lines are cut, one document of each group of near
 copies stays, documents that contain benchmark passages go, and the rest is packed.
 
-A row stands for a document; rows that share an id share what is decided by id. Null and empty
-texts go in the first stage. Columns beyond those of ``documents`` are carried along.
+A row stands for a document, also where rows share an id: decisions are by row or by text. Ids
+may be of any type that can be ordered, or null. Null and empty texts go in the first stage.
+Columns beyond those of ``documents`` are carried along.
 """
 
 from __future__ import annotations
@@ -13,19 +14,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm import decontamination, langid
-from medallion.llm.linefreq import drop_frequent_lines, normalised
+from medallion.llm.linefreq import drop_frequent_lines
 from medallion.llm.neardup import near_duplicates
 from medallion.llm.packing import pack
-from medallion.llm.store import free, ship, stored, temporary
+from medallion.llm.store import broadcast_within, free, ship, stored, temporary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-BROADCAST_IDS = 1_000_000
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that ``lang`` names."""
@@ -38,32 +37,35 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines. One that has no other lines keeps
     them: it may be one of many copies, which are for the next stage to reduce."""
-    whole = free("_before", docs.columns)
-
-    def worded(text: str) -> Column:
-        return normalised(F.regexp_replace(text, "\n", " ")) != ""
-
-    cut = drop_frequent_lines(docs.withColumn(whole, F.col("text")).where(worded("text")))
-    cut = cut.withColumn("text", F.when(worded("text"), F.col("text")).otherwise(F.col(whole)))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    columns = docs.columns
+    whole = free("_before", columns)
+    # the operator's figures have names that a column of the documents may have too
+    own = {c: free(f"_own_{c}", columns) for c in ("n_lines", "n_dropped") if c in columns}
+    cut = drop_frequent_lines(docs.withColumnsRenamed(own).withColumn(whole, F.col("text")))
+    cut = cut.where("n_lines > 0")
+    cut = cut.withColumn("text", F.when(F.col("n_dropped") < F.col("n_lines"), F.col("text")).otherwise(F.col(whole)))
+    cut = cut.drop("n_lines", "n_dropped").withColumnsRenamed({v: k for k, v in own.items()})
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the least id. Rows without an id
-    are documents of their own, after all others."""
+    """One document of each group of near copies: the one of the least id, where rows without an
+    id come last. Rows that share an id are told apart by their texts; of those that are equal
+    in both, one stays."""
     ship(spark)
     columns, key = docs.columns, free("_key", docs.columns)
-    docs = docs.withColumn(key, F.col("doc_id"))
-    unnamed = docs.where("doc_id is null")
-    if unnamed.limit(1).count():
-        after = F.lit((docs.agg(F.max("doc_id")).first()[0] or 0) + 1)
-        unnamed = stored(unnamed.withColumn(key, after + F.monotonically_increasing_id()), "unnamed")
-        docs = docs.where("doc_id is not null").union(unnamed)
-    found = near_duplicates(docs, id_column=key)
-    copies = stored(found.where("not kept").select(F.col(key).alias("_copy")), "copies")
-    if copies.count() <= BROADCAST_IDS:
-        copies = F.broadcast(copies)
-    return docs.join(copies, docs[key] == copies["_copy"], "left_anti").select(columns)
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+    docs = docs.withColumn(key, name)
+    found = stored(near_duplicates(docs, id_column=key).where("n_shingles > 0"), "found")
+    copies = found.where("not kept").select(F.col(key).alias("_copy")).distinct()
+    copies = broadcast_within(stored(copies, "copies"))
+    left = docs.join(copies, docs[key] == copies["_copy"], "left_anti")
+    # the few rows that are equal in id and text: their key stands several times among those kept
+    again = found.where("kept").groupBy(key).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    again = broadcast_within(stored(again.select(F.col(key).alias("_again")), "again"))
+    once = left.join(again, left[key] == again["_again"], "left_anti")
+    repeated = left.join(again, left[key] == again["_again"], "left_semi").dropDuplicates([key])
+    return once.select(columns).union(repeated.select(columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
