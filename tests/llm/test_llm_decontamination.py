@@ -2,7 +2,8 @@ import hashlib
 import re
 
 import pytest
-from medallion.llm import decontamination, store as dc
+from medallion.llm import decontamination as dc
+from medallion.llm import store
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
