@@ -79,7 +79,7 @@ def test_hits_equal_brute_force(tables, rarest):
 
 
 def test_joined_instead_of_broadcast(tables, monkeypatch):
-    monkeypatch.setattr(dc, "SMALL", -1)
+    monkeypatch.setattr(store, "BROADCAST_BYTES", -1)
     assert result(*tables[:2]) == tables[2]
 
 
