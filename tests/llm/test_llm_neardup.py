@@ -4,7 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from medallion.llm import neardup
+from medallion.llm import neardup, store
 from medallion.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -68,7 +68,7 @@ def test_components_equal_brute_force(spark, copies):
 
 def test_blocks_of_few_classes_give_the_same(spark, copies, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 3)
-    monkeypatch.setattr(neardup, "BROADCAST_IDS", -1)
+    monkeypatch.setattr(store, "BROADCAST_BYTES", -1)
     assert found(spark.createDataFrame(copies, "doc_id long, text string")) == brute(copies)
 
 
