@@ -1,25 +1,29 @@
 """Benchmark passages in documents, by a positional inverted index.
 
 Method: the index stores (term, text, position) of training tokens, each file sorted by term.
-A benchmark window is looked up from its rarest terms: their postings, moved by the term's
-place in the item, are intersected, which gives the place where the item would have to start.
-Only there are the document's words compared with the item's, so phrase matches are exact.
-``proximity`` finds all terms of an item within a span of words, from postings of all its terms
-near the rarest one, which it makes itself.
+A benchmark window is looked up from its rarest terms. Exact phrases: their postings, moved by
+the term's place in the item, are intersected, which gives the place where the item would have
+to start. Proximity: their postings are intersected within a stretch of words, whatever their
+order. Only there are the document's words compared with the window's, so both are exact:
+a phrase has the window's words in a row, a near match has each of them within ``SPAN`` words.
 
 Only terms that lookups start from are stored, so the first pass over the texts counts the
 benchmark's terms (reduced in each partition before a shuffle of one row per term), and the
-second stores the postings of the rarest. The benchmark side is broadcast if its bytes have been
-measured to be few, else joined. Texts are named by a 64-bit hash, so copies are matched once
-and ids may be null or repeated. Built-in expressions only.
+second stores the postings of the rarest, with a row for each document that has its id and
+number of words. A third reads the texts of candidates alone. The benchmark side is broadcast if
+its bytes have been measured to be few, else joined. Texts are named by a 64-bit hash, so copies
+are matched once and ids may be null or repeated. Built-in expressions only.
 
 Defined cases: a null or wordless text or item has no words and matches nothing; an item with a
 null id takes part in hits but is not named; an empty table on either side gives no hits; a text
-hit by several items counts each word once; clashing columns are never read.
+hit by several items counts each word once; a window that repeats a word is near where that word
+stands once; clashing columns are never read.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,7 @@ from medallion.llm.store import broadcast_within, free, parts, stored
 
 WINDOW = 13
 RAREST = 2  # terms whose postings are intersected for each window
+SPAN = 2 * WINDOW  # words in which a near match has all words of a window
 ITEMS = 10_000  # benchmark items for a file of what is derived from them
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,7 +57,7 @@ def items(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    """``docs`` (key, text) as key, pos and the term's hash."""
+    """``docs`` with key and text as key, pos and the term's hash."""
     tokens = docs.select("key", F.posexplode(words(F.col("text"))).alias("pos", "word"))
     return tokens.select("key", "pos", F.xxhash64("word").alias("term"))
 
@@ -72,8 +77,9 @@ def term_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def anchors(found: DataFrame, counts: DataFrame, rarest: int, size: int) -> DataFrame:
-    """Per item: ``lookups``, for each window the places of its rarest terms. Windows with a
-    term that the documents do not have are left out, and so are items without a window."""
+    """Per item: ``lookups``, for each window the places of its rarest terms, and ``near``, the
+    start of each window with its rarest different terms. Windows with a term that the documents
+    do not have are left out, and so are items without a window."""
     placed = (
         _terms(found)
         .join(counts, "term", "left")
@@ -88,13 +94,34 @@ def anchors(found: DataFrame, counts: DataFrame, rarest: int, size: int) -> Data
         possible, lambda w: F.array_sort(F.transform(w, lambda t: F.struct(t["n"], t["place"], t["term"])))
     )
     lookups = F.array_distinct(F.transform(by_count, lambda w: F.slice(w, 1, rarest)))
-    return placed.select("item", lookups.alias("lookups")).where(F.size("lookups") > 0)
+    different = F.transform(
+        possible, lambda w: F.array_distinct(F.array_sort(F.transform(w, lambda t: F.struct(t["n"], t["term"]))))
+    )
+    near = F.transform(
+        F.arrays_zip(
+            F.transform(possible, lambda w: w[0]["place"]).alias("start"),
+            F.transform(different, lambda w: F.slice(w["term"], 1, rarest)).alias("terms"),
+        ),
+        lambda e: F.struct(e["start"].alias("start"), e["terms"].alias("terms")),
+    )
+    return placed.select("item", lookups.alias("lookups"), near.alias("near")).where(F.size("lookups") > 0)
 
 
 def index(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The stored postings (term, key, pos) of the terms that ``chosen`` lookups start from."""
-    terms = chosen.select(F.explode(F.flatten("lookups")).alias("t")).select("t.term").distinct()
-    postings = _tokens(docs).join(broadcast_within(stored(terms, "anchors", parts(chosen, ITEMS))), "term")
+    """The stored postings (term, key, pos) of the terms that ``chosen`` lookups start from.
+    A null term marks the end of a document: ``id``, which is null elsewhere, and in ``pos``
+    the number of its words."""
+    terms = F.concat(F.flatten("lookups")["term"], F.flatten(F.col("near")["terms"]))
+    terms = chosen.select(F.explode(terms).alias("anchor"))
+    anchor = broadcast_within(stored(terms.distinct(), "anchors", parts(chosen, ITEMS)))
+    ended = F.concat(words(F.col("text")), F.array(F.lit(None).cast("string")))
+    tokens = docs.select("id", "key", F.posexplode(ended).alias("pos", "word"))
+    end = F.col("word").isNull()
+    tokens = tokens.select(
+        F.when(end, F.col("id")).alias("id"), "key", "pos", F.when(~end, F.xxhash64("word")).alias("term")
+    )
+    postings = tokens.join(anchor, F.col("term") == F.col("anchor"), "left")
+    postings = postings.where("term is null or anchor is not null").select("term", "key", "pos", "id")
     return stored(postings.sortWithinPartitions("term", "key", "pos"), "postings")
 
 
@@ -116,14 +143,37 @@ def aligned(postings: DataFrame, chosen: DataFrame) -> DataFrame:
     return met.join(broadcast_within(stored(wanted, "wanted", files_)), "item").where(complete).select("key", "item", "shift")
 
 
-def exact_hits(docs: DataFrame, candidates: DataFrame, found: DataFrame, size: int) -> DataFrame:
-    """(key, item, positions): the words of a text that lie in a window of the item."""
-    candidates = stored(candidates, "candidates")
-    keys = broadcast_within(stored(candidates.select("key").distinct(), "keys", parts(candidates)))
-    texts = docs.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    rows = candidates.join(broadcast_within(found.select("item", "words")), "item").join(
-        texts.select("key", words(F.col("text")).alias("own")), "key"
+def close(postings: DataFrame, chosen: DataFrame, span: int) -> DataFrame:
+    """(key, item, bucket, starts): the windows of which all rarest terms stand in the words from
+    ``bucket * span`` on, twice ``span`` of them. Each stretch of ``span`` words lies in one."""
+    files_ = parts(chosen, ITEMS)
+    terms = chosen.select("item", F.explode(F.array_distinct(F.flatten(F.col("near")["terms"]))).alias("term"))
+    bucket = F.floor(F.col("pos") / span).cast("int")
+    met = (
+        postings.join(broadcast_within(stored(terms, "near-terms", files_)), "term")
+        .select("key", "item", "term", F.explode(F.array(bucket, bucket - 1)).alias("bucket"))
+        .groupBy("key", "item", "bucket")
+        .agg(F.collect_set("term").alias("met"))
     )
+    wanted = broadcast_within(stored(chosen.select("item", "near"), "near", files_))
+    within = F.filter("near", lambda w: F.size(F.array_except(w["terms"], F.col("met"))) == 0)
+    rows = met.join(wanted, "item").select("key", "item", "bucket", within["start"].alias("starts"))
+    return rows.where(F.size("starts") > 0)
+
+
+def texts_of(docs: DataFrame, candidates: list[DataFrame]) -> DataFrame:
+    """The stored words (key, own) of each text that a candidate names."""
+    keys = candidates[0].select("key")
+    for more in candidates[1:]:
+        keys = keys.union(more.select("key"))
+    keys = stored(keys.distinct(), "keys", parts(candidates[0]))
+    texts = docs.join(broadcast_within(keys), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    return stored(texts.select("key", words(F.col("text")).alias("own")), "texts")
+
+
+def exact_hits(texts: DataFrame, candidates: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """(key, item, position): the words of a text that lie in a window of the item."""
+    rows = candidates.join(broadcast_within(found.select("item", "words")), "item").join(texts, "key")
     length = F.least(F.lit(size), F.size("words"))
     equal = F.transform(
         "words",
@@ -144,36 +194,92 @@ def exact_hits(docs: DataFrame, candidates: DataFrame, found: DataFrame, size: i
     )
 
 
-def matches(
-    docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text", size: int = WINDOW, rarest: int = RAREST
-) -> DataFrame:
-    """Per text with a hit: ``key``, ``n_hit`` (words in windows) and ``hit_items`` (ids)."""
-    docs = docs.select(text_key(docs[text_column]).alias("key"), docs[text_column].alias("text"))
+def near_hits(texts: DataFrame, candidates: DataFrame, found: DataFrame, size: int, span: int) -> DataFrame:
+    """(key, item, first, last): for each window and bucket of ``candidates`` the shortest
+    stretch of at most ``span`` words with all words of the window; the earliest of equal ones."""
+    begin = F.greatest(F.col("bucket"), F.lit(0)) * span
+    length = F.when(F.col("bucket") < 0, F.lit(span)).otherwise(F.lit(2 * span))
+    rows = (
+        candidates.join(texts, "key")
+        .select("key", "item", "starts", begin.alias("begin"), F.slice("own", begin + 1, length).alias("stretch"))
+        .join(broadcast_within(found.select("item", "words")), "item")
+        .select("key", "item", "begin", "stretch", F.explode("starts").alias("start"), "words")
+        .select("key", "item", "begin", "stretch", F.array_distinct(F.slice("words", F.col("start") + 1, size)).alias("w"))
+        .where(F.size(F.array_except("w", "stretch")) == 0)
+    )
+
+    def ending(s: Column) -> Column:
+        places = F.transform("w", lambda w: F.array_position(F.slice("stretch", s + 1, span), w))
+        return F.when(F.array_min(places) > 0, F.struct(F.array_max(places).alias("n"), s.alias("s")))
+
+    own = F.sequence(F.lit(0), F.size("stretch") - 1)
+    own = F.filter(own, lambda s: F.array_contains("w", F.get("stretch", s)))
+    best = rows.select("key", "item", "begin", F.array_min(F.transform(own, ending)).alias("best")).where("best is not null")
+    first = F.col("begin") + F.col("best.s")
+    return best.select(
+        "key", "item", first.cast("int").alias("first"), (first + F.col("best.n") - 1).cast("int").alias("last")
+    ).distinct()
+
+
+class Search(NamedTuple):
+    """What a search of documents for items has stored."""
+
+    found: DataFrame  # per text with a match: key, n_hit, hit_items, near_items
+    sizes: DataFrame  # per document: id, key, n_words
+    near: DataFrame  # key, item_ids, first and last word of each near match
+
+
+def search(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    id_column: str | None = None,
+    text_column: str = "text",
+    size: int = WINDOW,
+    rarest: int = RAREST,
+    span: int = SPAN,
+) -> Search:
+    """Exact and near matches of the items, both from one index. ``n_hit`` counts the words in
+    exact windows, ``hit_items`` names their items, ``near_items`` those with a near window."""
+    named = docs[id_column] if id_column else F.lit(None).cast("string")
+    docs = docs.select(named.alias("id"), text_key(docs[text_column]).alias("key"), docs[text_column].alias("text"))
     found = items(benchmark)
     chosen = anchors(found, term_counts(docs, found), rarest, size)
     chosen = stored(chosen, "lookups", parts(found, ITEMS))
-    candidates = aligned(index(docs, chosen), chosen)
-    hits = stored(exact_hits(docs, candidates, found, size), "hits")
+    tokens = index(docs, chosen)
+    postings = tokens.where("term is not null")
+    phrases = stored(aligned(postings, chosen), "candidates")
+    stretches = stored(close(postings, chosen, span), "near-candidates")
+    texts = texts_of(docs, [phrases, stretches])
+    hits = stored(exact_hits(texts, phrases, found, size), "hits")
+    near = stored(near_hits(texts, stretches, found, size, span), "near-hits")
+    ids = broadcast_within(found.select("item", "item_ids"))
+
+    def item_ids(rows: DataFrame, name: str) -> DataFrame:
+        rows = rows.select("key", "item").distinct().join(ids, "item").groupBy("key")
+        return rows.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias(name))
+
     counted = hits.groupBy("key").agg(F.countDistinct("position").alias("n_hit"))
-    named = (
-        hits.select("key", "item")
-        .distinct()
-        .join(broadcast_within(found.select("item", "item_ids")), "item")
-        .groupBy("key")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("hit_items"))
+    exact = counted.join(item_ids(hits, "hit_items"), "key")
+    matched = exact.join(item_ids(near, "near_items"), "key", "full")
+    return Search(
+        stored(matched, "matches", parts(hits)),
+        tokens.where("term is null").select("id", "key", F.col("pos").cast("long").alias("n_words")),
+        near.join(ids, "item").select("key", "item_ids", "first", "last"),
     )
-    return stored(counted.join(named, "key"), "matches", parts(hits))
 
 
-def judged(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"):
-    """The id of each row with the figures of its text in ``found`` and the verdict."""
-    text = docs[text_column]
-    rows = docs.select(
-        docs[id_column], F.size(words(text)).cast("long").alias("n_words"), text_key(text).alias("_key")
-    )
+def matches(docs: DataFrame, benchmark: DataFrame, **options: object) -> DataFrame:
+    """Per text with a match: ``key``, ``n_hit`` (words in windows, null if only near),
+    ``hit_items`` and ``near_items`` (ids, or null). Options as in ``search``."""
+    return search(docs, benchmark, **options).found
+
+
+def _verdict(rows: DataFrame, found: DataFrame, id_column: str) -> DataFrame:
     rows = rows.join(broadcast_within(found), F.col("_key") == F.col("key"), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("hit_items", F.array().cast("array<string>"))
+    near = F.coalesce("near_items", F.array().cast("array<string>"))
     return rows.select(
         id_column,
         "n_words",
@@ -181,9 +287,27 @@ def judged(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         contaminated(n_hit, F.col("n_words")).alias("contaminated"),
+        F.size(near).cast("long").alias("n_near_items"),
+        F.sha2(F.array_join(near, ","), 256).alias("near_sha256"),
     )
 
 
+def judged(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"):
+    """The id of each row with the figures of its text in ``found`` and the verdict."""
+    text = docs[text_column]
+    rows = docs.select(
+        docs[id_column], F.size(words(text)).cast("long").alias("n_words"), text_key(text).alias("_key")
+    )
+    return _verdict(rows, found, id_column)
+
+
+def searched(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id", **options: object) -> DataFrame:
+    """``judged`` for the documents that are searched, without another pass over their texts."""
+    result = search(docs, benchmark, id_column=id_column, **options)
+    rows = result.sizes.select(F.col("id").alias(id_column), "n_words", F.col("key").alias("_key"))
+    return _verdict(rows, result.found, id_column)
+
+
 def contaminated(n_hit: Column, n_words: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
@@ -192,71 +316,15 @@ def without_contaminated(docs: DataFrame, found: DataFrame, *, text_column: str
     """The rows of ``docs`` whose text is not contaminated."""
     text = docs[text_column]
     key, hit = free("_key", docs.columns), free("_hit", docs.columns)
+    found = found.where("n_hit > 0")
     keys = stored(found.select(F.col("key").alias(key), F.col("n_hit").alias(hit)), "hit-keys", parts(found))
     bad = (text_key(text) == F.col(key)) & contaminated(F.col(hit), F.size(words(text)))
     return docs.join(broadcast_within(keys), bad, "left_anti")
 
 
 def proximity(
-    docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text", span: int = 30
+    docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text", size: int = WINDOW, span: int = SPAN
 ) -> DataFrame:
-    """(key, item_ids, first, last): the shortest stretches of at most ``span`` words that hold
-    every distinct word of an item, in any order, one per place of its rarest word.
-
-    Postings of an item's words are joined on the text and kept within ``span`` of the rarest
-    word, so texts without it are never looked at.
-    """
-    docs = docs.select(text_key(docs[text_column]).alias("key"), docs[text_column].alias("text")).distinct()
-    found = items(benchmark)
-    counts = term_counts(docs, found)
-    terms = _terms(found).select("item", "term").distinct().join(counts, "term", "left")
-    sized = terms.groupBy("item").agg(
-        F.count(F.lit(1)).alias("kinds"),
-        F.count("n").alias("present"),
-        F.min(F.struct("n", "term")).alias("rare"),
-        F.collect_list("term").alias("terms"),
-    )
-    sized = stored(sized.where("kinds = present"), "proximity")
-    texts = broadcast_within(
-        stored(
-            _tokens(docs)
-            .join(broadcast_within(stored(sized.select(F.col("rare.term").alias("term"), "item"), "rare")), "term")
-            .select("key", "item", F.col("pos").alias("middle")),
-            "middles",
-        )
-    )
-    wanted = broadcast_within(stored(sized.select("item", "kinds", F.explode("terms").alias("term")), "wanted"))
-    near = (
-        _tokens(docs)
-        .join(texts, "key")
-        .where(F.abs(F.col("pos") - F.col("middle")) < span)
-        .join(wanted, ["item", "term"])
-        .groupBy("key", "item", "middle", "kinds", "term")
-        .agg(F.array_sort(F.collect_list("pos")).alias("at"))
-        .groupBy("key", "item", "middle", "kinds")
-        .agg(F.collect_list("at").alias("lists"))
-        .where(F.size("lists") == F.col("kinds"))
-    )
-    starts = F.array_distinct(F.filter(F.flatten("lists"), lambda p: p <= F.col("middle")))
-    # from each start, the least end that has every word, if within the span
-    ends = F.transform(
-        starts,
-        lambda s: F.struct(
-            F.greatest(
-                F.array_max(F.transform("lists", lambda at: F.array_min(F.filter(at, lambda p: p >= s)))),
-                F.col("middle"),
-            ).alias("last"),
-            s.alias("first"),
-            F.forall("lists", lambda at: F.exists(at, lambda p: p >= s)).alias("whole"),
-        ),
-    )
-    fits = F.filter(ends, lambda e: e["whole"] & (e["last"] - e["first"] < span))
-    best = F.array_min(
-        F.transform(fits, lambda e: F.struct((e["last"] - e["first"]).alias("d"), e["first"], e["last"]))
-    )
-    return (
-        near.select("key", "item", best.alias("best"))
-        .where("best is not null")
-        .join(broadcast_within(found.select("item", "item_ids")), "item")
-        .select("key", "item_ids", F.col("best.first").alias("first"), F.col("best.last").alias("last"))
-    )
+    """(key, item_ids, first, last): stretches of at most ``span`` words that hold every word of a
+    window of an item, in any order; of a window the shortest in each two ``span`` of words."""
+    return search(docs, benchmark, text_column=text_column, size=size, span=span).near

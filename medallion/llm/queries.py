@@ -164,9 +164,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = decontamination.matches(docs, table(spark, sf_dir, "benchmark"))
-    return decontamination.judged(docs, found)
+    return decontamination.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 OP9_SQL = """
@@ -204,11 +202,35 @@ hit as (
 named as (
   select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
   from (select distinct doc_id, item_id::varchar as item_id from occurrences) group by 1
+),
+bags as (
+  select item_id, s, unnest(list_distinct(w[s:s + n - 1])) as word, len(list_distinct(w[s:s + n - 1])) as kinds
+  from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as s from sized)
+),
+tokens as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from doc),
+whole as (
+  select doc_id, item_id, s, kinds from (select distinct doc_id, word from tokens) join bags using (word)
+  group by all having count(*) = kinds
+),
+placed as (
+  select doc_id, item_id, s, kinds, pos, word
+  from whole join bags using (item_id, s, kinds) join tokens using (doc_id, word)
+),
+near as (
+  select doc_id, count(*) as n_near, string_agg(item_id, ',' order by item_id) as near_ids
+  from (
+    select distinct doc_id, item_id::varchar as item_id from (
+      select doc_id, item_id, kinds, count(distinct word) over (
+        partition by doc_id, item_id, s order by pos range between current row and 25 following) as met
+      from placed)
+    where met = kinds)
+  group by 1
 )
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
-       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
-from doc d left join hit using (doc_id) left join named using (doc_id)
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated,
+       coalesce(n_near, 0)::bigint as n_near_items, sha256(coalesce(near_ids, '')) as near_sha256
+from doc d left join hit using (doc_id) left join named using (doc_id) left join near using (doc_id)
 """
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -66,6 +67,27 @@ def tables(spark):
     )
 
 
+def brute_near(docs, items, span, size=13):
+    """doc -> item -> the least number of words that hold all words of one of its windows."""
+    out = {}
+    for doc, text in docs:
+        own = words(text)
+        for item, passage in items:
+            target = words(passage)
+            length = min(size, len(target))
+            bags = {frozenset(target[k : k + length]) for k in range(len(target) - length + 1)} if target else set()
+            fits = [
+                n
+                for bag in bags
+                for k in range(len(own))
+                for n in range(len(bag), span + 1)
+                if k + n <= len(own) and bag <= set(own[k : k + n])
+            ]
+            if fits:
+                out.setdefault(doc, {})[item] = min(fits)
+    return out
+
+
 def result(docs, items, **options):
     found = dc.judged(docs, dc.matches(docs, items, **options)).collect()
     return {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found}
@@ -110,3 +132,40 @@ def test_proximity_finds_scattered_words(texts, spark):
     assert {(r.doc_id, r.first, r.last) for r in found.collect() if r.doc_id == 0} == {(0, 0, 5)}
     assert {r.doc_id for r in found.collect()} == {0, 2}
     assert found.where("last - first >= 8").count() == 0 and found.select(F.max("first")).first()[0] <= 3
+
+
+@pytest.mark.parametrize("limit", [64 << 20, -1])
+def test_near_matches_equal_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(store, "BROADCAST_BYTES", limit)
+    random.seed(5)
+    item_rows = [(k, " ".join(random.choices([f"w{i}" for i in range(12)], k=random.randrange(1, 9)))) for k in range(30)]
+    item_rows += [(30, " ".join(f"long{i}" for i in range(20))), (31, None), (None, "w1 w2"), (32, "w1 absent")]
+    docs = [(k, " ".join(random.choices([f"w{i}" for i in range(40)], k=random.randrange(60)))) for k in range(60)]
+    shuffled = [f"long{i}" for i in range(2, 15)]
+    random.shuffle(shuffled)
+    docs += [(60, "x " * 17 + " y ".join(shuffled[:7]) + " " + " ".join(shuffled[7:])), (61, " z z ".join(shuffled)), (62, None), (63, "")]
+    docs.append((64, docs[60][1]))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(item_rows, "item_id long, text string")
+    expected = brute_near(docs, item_rows, 20)
+    assert 60 in expected and 61 not in expected and len(expected) > 10
+    rows = dc.searched(*frames, span=20).collect()
+    named = {d: sorted(str(i) for i in found if i is not None) for d, found in expected.items()}
+    assert {r.doc_id: (r.n_near_items, r.near_sha256) for r in rows} == {
+        d: (len(named.get(d, [])), hashlib.sha256(",".join(named.get(d, [])).encode()).hexdigest()) for d, _ in docs
+    }
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows} == brute(docs, item_rows)
+    near = dc.proximity(*frames, span=20).withColumn("item", F.explode("item_ids")).groupBy("key", "item")
+    near = near.agg(F.min(F.col("last") - F.col("first") + 1).alias("n"))
+    near = near.join(frames[0].select("doc_id", dc.text_key(frames[0]["text"]).alias("key")), "key").collect()
+    assert {(r.doc_id, r.item): r.n for r in near} == {
+        (d, str(i)): n for d, found in expected.items() for i, n in found.items() if i is not None
+    }
+
+
+def test_documents_are_not_read_again_for_their_figures(tables, spark):
+    docs, items, expected = tables
+    twice = docs.union(docs).withColumn("id", F.lit("clash")).withColumn("key", F.lit(1))
+    rows = dc.searched(twice, items)
+    assert not re.search("split|regexp", rows._jdf.queryExecution().optimizedPlan().toString())
+    found = [(r.doc_id, (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)) for r in rows.collect()]
+    assert sorted(found) == sorted(list(expected.items()) * 2)
