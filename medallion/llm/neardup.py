@@ -14,12 +14,16 @@ What makes it whole and bounded:
   left out unless it is most of the document, and then those documents are copies.
 - A list is not expanded into its pairs. Its members are compared with its leader, the most
   central of them, and links merge components; lists then left with one component are done. Of
-  the others, classes go that cannot be linked with any: what two sets share cannot exceed what
-  each shares with all open classes together. The rest are grouped by leader and compared on
-  their full sets in pairs of blocks of about ``BLOCK`` classes, by matrix products inside a
-  task, which emits links only; blocks of one component are not compared with each other. So no
-  link between different components is missed, no task has more than two blocks, and no table
-  has a row for every pair.
+  the others, classes go that cannot be linked with any: two sets share at most what one of them
+  shares with all open classes together, and their union has the shingles that the other has
+  alone. So pages of one template that differ in a seventh of their text or more go here. The
+  rest are grouped by leader and compared in pairs of blocks of about ``BLOCK`` classes and
+  ``BLOCK_VALUES`` shingles, inside a task, first on their sketches, which leaves the classes
+  that some other in the two blocks resembles by its union sketch, then these on their full
+  sets, by matrix products. Tasks emit classes and links only; blocks of one component are not
+  compared with each other. So no link between different components is missed, no task has more
+  than two blocks, and no table has a row for every pair. Classes that pass all this and are
+  not linked cost comparisons that grow with the square of their number in a list.
 - Hot values, classes and components are only hot keys of partial aggregations or of joins
   against one row per key, which adaptive execution splits.
 
@@ -48,8 +52,12 @@ SKETCH = 64
 SHARED = 24  # retained values that linked documents share at least
 LEAST_ESTIMATE = 0.43  # six standard deviations below 0.75 for 64 values
 BLOCK = 256  # classes, compared with as many in one task
+BLOCK_VALUES = 1 << 20  # shingles of a block's classes
+BAND = 1.34  # sets in one band of sizes; sizes of linked sets are within 4/3
+PAIRS = 4096  # union sketches made at once
 COLUMNS = 8192  # shared shingles per matrix product
 TEXTS = 5_000  # texts in a file
+_NONE = np.iinfo(np.int64).max  # no value
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -125,6 +133,30 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
     return lists.select(F.col("e.value").alias("value"), "class", "weight")
 
 
+def _sketch_rows(column: pa.Array) -> np.ndarray:
+    """Sketches as the rows of a matrix, filled up with ``_NONE``."""
+    sizes = column.value_lengths().to_numpy()
+    made = np.full((len(sizes), SKETCH), _NONE)
+    made[np.arange(SKETCH) < sizes[:, None]] = column.flatten().to_numpy()
+    return made
+
+
+def _suggested(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For rows ``x`` of ``left`` and ``y`` of ``right``, whether the sketch of the union, its
+    least ``SKETCH`` values, suggests enough similarity by those that are in both."""
+    good = np.zeros(len(x), bool)
+    for start in range(0, len(x), PAIRS):
+        part = slice(start, start + PAIRS)
+        every = np.sort(np.concatenate([left[x[part]], right[y[part]]], axis=1), axis=1)
+        real = every != _NONE
+        again = np.zeros(every.shape, bool)
+        again[:, 1:] = (every[:, 1:] == every[:, :-1]) & real[:, 1:]
+        rank = np.cumsum(real & ~again, axis=1)
+        both = (again & (rank <= SKETCH)).sum(axis=1)
+        good[part] = both >= LEAST_ESTIMATE * np.minimum(rank[:, -1], SKETCH)
+    return good
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose sketches' union suggests enough similarity."""
     a = classes.select(F.col("class").alias("a"), F.col("sketch").alias("sa"))
@@ -132,18 +164,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (c.flatten().to_numpy() for c in batch.columns[2:])
-            ends = [np.cumsum(np.append(0, c.value_lengths().to_numpy())) for c in batch.columns[2:]]
-            good = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                x = left[ends[0][k] : ends[0][k + 1]]
-                y = right[ends[1][k] : ends[1][k + 1]]
-                every = np.sort(np.concatenate([x, y]))
-                twice = every[1:] == every[:-1]
-                # the least SKETCH distinct values of the union, and how many are in both
-                kept = np.flatnonzero(~np.append(twice, False))[:SKETCH]
-                both = twice[: kept[-1]].sum() if len(kept) else 0
-                good[k] = both >= LEAST_ESTIMATE * len(kept)
+            rows = np.arange(batch.num_rows)
+            good = _suggested(*(_sketch_rows(c) for c in batch.columns[2:]), rows, rows)
             yield batch.select([0, 1]).filter(pa.array(good))
 
     return (
@@ -193,23 +215,29 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _set_sizes(texts: DataFrame) -> DataFrame:
-    """class, ``n`` (shingles) and ``m``, how many of them another of these classes has."""
+def _sets(texts: DataFrame) -> DataFrame:
+    """class and ``shingles``, the sorted hashes of its set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, values in zip(batch.column(0), shingle_sets(batch.column(1)), strict=True):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own.as_py()] * len(values), pa.int64()), pa.array(values)], ["class", "value"]
-                )
+            sets = list(shingle_sets(batch.column(1)))
+            ends = np.cumsum([0] + [len(s) for s in sets])
+            values = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), made], ["class", "shingles"])
+
+    return texts.select("class", "text").mapInArrow(work, "class long, shingles array<long>")
 
-    values = texts.select("class", "text").mapInArrow(work, "class long, value long")
+
+def _set_sizes(sets: DataFrame) -> DataFrame:
+    """class, ``n`` (shingles) and ``m``, how many of them another of these classes has."""
+    values = sets.select("class", F.explode("shingles").alias("value"))
     # a sum, a least and a largest class tell apart one class from several without a join
     several = values.groupBy("value").agg(
         F.count(F.lit(1)).alias("df"), F.min("class").alias("class"), F.max("class").alias("other")
     )
     alone = several.where("df = 1").groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = values.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sets.select("class", F.size("shingles").cast("long").alias("n"))
     return sizes.join(alone, "class", "left").select(
         "class", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m")
     )
@@ -228,53 +256,111 @@ def _open_members(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(members.join(several, "value", "left_semi"), "open", files_)
 
 
-def _units(members: DataFrame) -> DataFrame:
-    """class, component and ``unit``: the classes that follow one leader, in which a component
+def _may_link(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Classes that may be linked with another in one of their lists.
+
+    A class shares at most ``m`` shingles with it, and their union has its own ``n`` and those
+    that the other has alone, at least the least such number in the list among sets of a size
+    that could be linked, which are in the same band of sizes or the next to it.
+    """
+    band = F.floor(F.log("n") / float(np.log(BAND))).alias("band")
+    sized = members.select("value", "class").distinct()
+    sized = sized.join(sizes, "class").select("value", "class", "n", "m", band)
+    around = F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band")
+    least = sized.groupBy("value", "band").agg(F.min(F.col("n") - F.col("m")).alias("alone"))
+    least = least.select("value", around, "alone").groupBy("value", "band").agg(F.min("alone").alias("alone"))
+    # stored, so that a hot list on the other side of the join can be split
+    least = stored(least, "alone", parts(members))
+    found = sized.join(least, ["value", "band"]).where("4 * m >= 3 * (n + alone)")
+    return found.select("class").distinct()
+
+
+def _still_open(members: DataFrame, sets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members whose classes may be linked with one of another component, and the sizes of
+    these classes. Repeated while classes go in number, since each makes others stand more alone."""
+    left = members.select("class").distinct().count()
+    while True:
+        files_ = parts(members)
+        open_ = stored(members.select("class").distinct(), "open-classes", files_)
+        sizes = stored(_set_sizes(sets.join(open_, "class", "left_semi")), "sizes", files_)
+        chosen = stored(_may_link(members, sizes), "may-link", files_)
+        members = members.select("value", "class", "leader").join(chosen, "class")
+        members = _open_members(members.select("value", "class", "leader"), labels)
+        before, left = left, members.select("class").distinct().count()
+        if left > 0.9 * before or not left:
+            return members, sizes
+
+
+def _units(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """class, component, ``n`` (shingles) and ``unit``: the classes that follow one leader, in which a component
     of more than ``BLOCK`` classes is a unit of its own, ``whole``."""
     led = members.groupBy("class", "component").agg(F.max("leader").alias("family"))
-    sizes = led.groupBy("family", "component").agg(F.count(F.lit(1)).alias("c"))
+    wholes = led.groupBy("family", "component").agg(F.count(F.lit(1)).alias("c"))
     whole = F.when(F.col("c") > BLOCK, F.col("component"))
-    sizes = sizes.select("family", "component", whole.alias("whole"))
+    wholes = wholes.select("family", "component", whole.alias("whole"))
     unit = F.xxhash64("family", F.coalesce("whole", F.lit(0)))
-    return led.join(sizes, ["family", "component"]).select("class", "component", "whole", unit.alias("unit"))
+    led = led.join(wholes, ["family", "component"]).join(sizes.select("class", "n"), "class")
+    return led.select("class", "component", "n", "whole", unit.alias("unit"))
+
+
+def _counted(units: DataFrame) -> DataFrame:
+    """unit and its number of ``blocks``."""
+    filled = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_VALUES)
+    return units.groupBy("unit").agg(F.ceil(filled).cast("int").alias("blocks"))
 
 
 def _block_pairs(members: DataFrame, units: DataFrame) -> DataFrame:
     """(a, i, b, j): blocks i of unit a and j of unit b, whose classes are to be compared,
     since a list has classes of both units and of several components."""
-    here = members.select("value", "class").join(units, "class").select("value", "unit", "whole").distinct()
+    here = members.select("value", "class").join(units.drop("n"), "class").select("value", "unit", "whole").distinct()
     here = stored(here, "here", parts(members))
     x = here.select("value", F.col("unit").alias("a"), F.col("whole").alias("wa"))
     y = here.select("value", F.col("unit").alias("b"), F.col("whole").alias("wb"))
     apart = F.coalesce(F.col("wa") != F.col("wb"), F.lit(True))
     pairs = x.join(y, "value").where((F.col("a") <= F.col("b")) & apart).select("a", "b").distinct()
-    counts = units.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    counts = _counted(units)
     pairs = pairs.join(counts.toDF("a", "na"), "a").join(counts.toDF("b", "nb"), "b")
     first = pairs.select("a", "b", "nb", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"))
     least = F.when(F.col("a") == F.col("b"), F.col("i")).otherwise(F.lit(0))
     return first.select("a", "i", "b", F.explode(F.sequence(least, F.col("nb") - 1)).alias("j"))
 
 
-def _compared(members: DataFrame, units: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(members: DataFrame, units: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between classes of different components, over pairs of blocks.
 
-    A task has two blocks of about ``BLOCK`` classes and emits links only.
+    A task has two blocks, first the sketches of all their classes, then the sets of those that
+    resemble one in the other, and emits links only.
     """
-    pairs = stored(_block_pairs(members, units), "block-pairs", parts(members))
-    counts = units.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = units.join(counts, "unit").select(
+    files_ = parts(members)
+    pairs = stored(_block_pairs(members, units), "block-pairs", files_)
+    placed = units.join(_counted(units), "unit").select(
         "unit", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), "class", "component"
     )
-    placed = stored(placed.join(texts, "class"), "placed", parts(units, TEXTS))
+    sketch = F.slice("shingles", 1, SKETCH).alias("sketch")
+    placed = stored(placed.join(sets.select("class", sketch), "class"), "placed", files_)
 
     def side(unit: str, block: str, number: int) -> DataFrame:
         on = (F.col("unit") == F.col(unit)) & (F.col("block") == F.col(block))
         return pairs.join(placed, on).select(
-            F.xxhash64("a", "i", "b", "j").alias("task"), F.lit(number).alias("side"), "class", "component", "text"
+            F.xxhash64("a", "i", "b", "j").alias("task"), F.lit(number).alias("side"), "class", "component", "sketch"
         )
 
+    def resemble(table: pa.Table) -> pa.Table:
+        rows = _sketch_rows(table.column("sketch").combine_chunks())
+        at, of = table.column("side").to_numpy(), table.column("component").to_numpy()
+        left, right = np.flatnonzero(at == 0), np.flatnonzero(at == 1)
+        held = [row[row != _NONE] for row in rows]
+        both = _intersections([held[k] for k in left], [held[k] for k in right])
+        needed = np.minimum(SHARED, np.ceil(0.75 * np.array([len(s) for s in held])))
+        apart = of[left][:, None] != of[right][None, :]
+        x, y = np.nonzero(apart & (both >= np.maximum(needed[left][:, None], needed[right][None, :])))
+        good = _suggested(rows[left], rows[right], x, y)
+        return table.take(np.union1d(left[x[good]], right[y[good]])).drop_columns("sketch")
+
     def compare(table: pa.Table) -> pa.Table:
-        sets = list(shingle_sets(table.column("text").combine_chunks()))
+        shingles = table.column("shingles").combine_chunks()
+        ends = np.cumsum(shingles.value_lengths().to_numpy())
+        sets = np.split(shingles.flatten().to_numpy(), ends[:-1])
         at, classes, of = (table.column(c).to_numpy() for c in ("side", "class", "component"))
         left, right = np.flatnonzero(at == 0), np.flatnonzero(at == 1)
         both = _intersections([sets[k] for k in left], [sets[k] for k in right])
@@ -286,7 +372,9 @@ def _compared(members: DataFrame, units: DataFrame, texts: DataFrame) -> DataFra
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     rows = side("a", "i", 0).union(side("b", "j", 1))
-    return rows.groupBy("task").applyInArrow(compare, "a long, b long")
+    near = rows.groupBy("task").applyInArrow(resemble, "task long, side int, class long, component long")
+    near = stored(near, "near")
+    return near.join(sets, "class").groupBy("task").applyInArrow(compare, "a long, b long")
 
 
 def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -331,12 +419,11 @@ def link(lists: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame |
     labels = components(_confirmed(_estimated(stars, classes), texts), files_)
 
     members = _open_members(lists, labels)
-    open_ = members.select("class").distinct()
-    sizes = _set_sizes(texts.join(open_, "class", "left_semi")).where("100 * m >= 75 * n")
-    members = members.join(stored(sizes, "sizes", files_).select("class"), "class")
-    members = _open_members(members.select("value", "class", "leader"), labels)
-    units = stored(_units(members), "units", files_)
-    links = _compared(members, units, texts)
+    open_ = stored(members.select("class").distinct(), "first-open", files_)
+    sets = stored(_sets(texts.join(open_, "class", "left_semi")), "sets", parts(open_, TEXTS))
+    members, sizes = _still_open(members, sets, labels)
+    units = stored(_units(members, sizes), "units", files_)
+    links = _compared(members, units, sets)
     return components(links.union(labels.select("node", "component")), files_)
 
 

@@ -72,6 +72,55 @@ def test_blocks_of_few_classes_give_the_same(spark, copies, monkeypatch):
     assert found(spark.createDataFrame(copies, "doc_id long, text string")) == brute(copies)
 
 
+def test_open_pages_of_a_template(spark, monkeypatch):
+    """Pages that share much, but too little, cost no comparisons; those within the bound are found."""
+    random.seed(5)
+    template = [f"t{k}" for k in range(330)]
+    rows = [" ".join(template + [f"u{k}x{i}" for i in range(80)]) for k in range(600)]
+    near = [f"n{k}" for k in range(300)]
+    rows += [" ".join(near + [f"v{k}x{i}" for i in range(30 + k % 30)]) for k in range(60)]
+    compared = []
+    original = neardup._compared
+
+    def counted(members, units, sets):
+        compared.append(units.count())
+        return original(members, units, sets)
+
+    monkeypatch.setattr(neardup, "_compared", counted)
+    rows = list(enumerate(rows))
+    expected = brute(rows)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == expected
+    assert all(k == component for k, (_, component, _) in expected.items() if k < 600)
+    assert compared[0] <= 60
+
+
+def test_blocks_are_bounded_by_shingles(spark, copies, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_VALUES", 400)
+    monkeypatch.setattr(neardup, "PAIRS", 7)
+    assert found(spark.createDataFrame(copies, "doc_id long, text string")) == brute(copies)
+    units = spark.createDataFrame([(1, 300), (1, 500), (1, 1), (2, 1)], "unit long, n long")
+    assert {r.unit: r.blocks for r in neardup._counted(units).collect()} == {1: 3, 2: 1}
+
+
+def test_union_sketches_by_definition():
+    chance = random.Random(3)
+    pairs = []
+    for _ in range(300):
+        size = chance.choice([3, 40, 64])
+        x = sorted(chance.sample(range(200), size))
+        y = sorted({v if chance.random() < chance.random() else v + 1000 for v in x})
+        pairs.append((x, y))
+    rows = [neardup._sketch_rows(neardup.pa.array(side)) for side in zip(*pairs, strict=True)]
+    at = np.arange(len(pairs))
+    expected = []
+    for x, y in pairs:
+        union = sorted({*x, *y})[: neardup.SKETCH]
+        both = len(set(x) & set(y) & set(union))
+        expected.append(both >= neardup.LEAST_ESTIMATE * len(union))
+    assert neardup._suggested(*rows, at, at).tolist() == expected
+    assert 0 < sum(expected) < 300
+
+
 def test_the_test_table(documents):
     assert found(documents) == brute([(r.doc_id, r.text) for r in documents.collect()])
 
