@@ -240,3 +240,58 @@ def test_a_repeated_labelled_id_does_not_widen_the_sample(spark, monkeypatch):
     assert 30 <= sum(r.id == 7 for r in seen[0]) <= 80
     quality.fit(docs, labels, F.lit(False))
     assert len(seen[1]) == len(set(seen[1])) == 1101
+
+
+def test_vectors_and_forward_pass_in_plain_python():
+    """The pooled vector and the probability, token by token, without blocks or matrix tricks."""
+    texts = ["The cat  saw THE Cat 42 times!!, iPhone10 e-mail\nthe", "", None, "...", "a", "x1x1 über Ünder 2024-01-02"]
+    words = np.random.default_rng(1).normal(size=(quality.WORDS, quality.WIDTH)).astype(np.float32)
+    def kind(byte):
+        return int(quality._KIND[byte])
+
+    def expected(text):
+        data, found = (text or "").encode(), []
+        for at, byte in enumerate(data):
+            if at and kind(byte) == kind(data[at - 1]) and kind(byte):
+                found[-1][1] = at + 1
+            elif kind(byte):
+                found.append([at, at + 1])
+        parts = [np.zeros(quality.WIDTH) for _ in range(4)]
+        last = {}
+        for k, (start, end) in enumerate(found):
+            token, own = data[start:end], kind(data[start])
+            folded = np.frombuffer(token.lower(), np.uint8)
+            (hashed,) = quality.hash_runs(folded, np.array([0]), np.array([len(folded)]))
+            size = min(int(math.log2(len(token))), 5)
+            capitals = sum(65 <= b <= 90 for b in token)
+            case = 0 if not capitals else 2 if capitals == len(token) else 1 if 65 <= token[0] <= 90 else 3
+            other = 64 + 6 * (token[0] % 24) + min(len(token), 6) - 1
+            shape = {1: 4 * size + case, 2: 32 + size}.get(own, other)
+            glued = k > 0 and found[k - 1][1] == start
+            before = kind(data[found[k - 1][0]]) if k else 0
+            name = bytes(folded)
+            distance = min(int(math.log2(k - last[name])), 11) + 1 if name in last else 0
+            last[name] = k
+            parts[0] += words[int(hashed) % quality.WORDS]
+            parts[1] += quality._SHAPE_VECTORS[shape]
+            parts[2] += quality._JOIN_VECTORS[8 * glued + 4 * (own > 1) + before]
+            parts[3] += quality._DISTANCE_VECTORS[distance + 13 * (own == 3)]
+        return [v for part in parts for v in part / max(len(found), 1)] + [math.log1p(len(found))]
+
+    made = np.vstack(list(quality.vectors(pa.array(texts), words)))
+    plain = [expected(text) for text in texts]
+    assert np.allclose(made, plain, atol=1e-5)
+
+    chance = np.random.default_rng(2)
+    width, hidden = made.shape[1], 3
+    net = quality.Network(
+        chance.normal(size=width), chance.uniform(1, 2, width), chance.normal(0, 0.1, (width, hidden)),
+        chance.normal(size=hidden), chance.normal(size=hidden), 0.3, 1.7,
+    )
+    for row, probability in zip(made.tolist(), net.probabilities(made), strict=True):
+        inner = [
+            math.tanh(sum((v - m) / s * w for v, m, s, w in zip(row, net.mean, net.scale, column, strict=True)) + b)
+            for column, b in zip(net.first.T, net.bias, strict=True)
+        ]
+        logit = sum(h * w for h, w in zip(inner, net.second, strict=True)) + net.offset
+        assert probability == pytest.approx(1 / (1 + math.exp(-logit / net.temperature)), rel=1e-6)
