@@ -10,17 +10,19 @@ at the cosine that is asked for, and the least count is the quantile of a binomi
 
 What makes it whole and bounded:
 
+- Whether two vectors are linked follows from these two alone: cells and blocks divide the work
+  and drop no pair, so neither the size of a table nor the other vectors change a link.
 - Equal vectors of one label form a class, which goes on as one with its weight.
-- A group (label and dimension) of up to ``LEAF`` classes is one block. Each doubling beyond it
-  adds a routing direction through the group's mean: a class stands on one side of each, and is
-  also looked up on the other side where it lies within a window of the border. The window is
-  the least one that finds ``RECALL`` of pairs at exactly that cosine, made from a bounded
-  sample (``SAMPLE`` classes) of the groups concerned.
-- A cell that has more classes all the same (a cluster) is divided by hash, and its blocks are
-  compared two by two. A task has two blocks of about ``LEAF`` classes, compares them in slices
-  of ``CELLS`` pairs, and returns a row per class: its links, and the root of its tree.
+- A group (label and dimension) of up to ``LEAF`` classes is one cell. In a larger one some
+  classes are pivots, and a class belongs to the region of the pivot that it is most like. Cells
+  are made of regions. A class is also looked up in each earlier cell with a region that it is
+  not too far from: the plane between two regions is at most as far from a vector as any vector
+  behind it, so no linked pair is missed. Where vectors form clusters, few cells are near; where
+  they lie in all directions, all are, and the pairs compared grow with the square.
+- A cell that has, or is looked up by, more classes than ``LEAF`` is divided by hash, and its
+  blocks are compared two by two. A task has two blocks of about ``LEAF`` classes, compares them
+  in slices of ``CELLS`` pairs, and returns a row per class: its links, and the root of its tree.
   No table has a row for every pair.
-- A pair that two cells could find is counted in one: own cells and sides are in the rows.
 
 Defined cases: a vector that is null, empty or zero, or has null or non-finite components, and a
 row without a label, are linked with nothing and kept; vectors of different dimensions are not
@@ -35,21 +37,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, IntegerType, LongType, StructType
+from pyspark.sql.types import BinaryType, FloatType, IntegerType, LongType, StructType
 
 from medallion.llm.components import components
 from medallion.llm.store import broadcast_within, stored
 
 COSINE = 0.93
-RECALL = 0.999
 COUNTED = 32  # directions on which collisions are counted
 WINDOW = 1.5  # half a window, in deviations of a pair at the least cosine
 LEAF = 16_384  # classes in a block
-SAMPLE = 2_048  # classes that the routing window is fitted on
-CELLS = 1 << 22  # pairs looked at together in a task
+PIVOTS = 8  # pivots for each LEAF classes of a larger group, about
+PIVOTS_AT_MOST = 2_048  # in all; what these do not divide is divided by hash
+CELLS = 1 << 18  # pairs looked at together in a task
 PAIRS = 1 << 16  # pairs verified together
 
 
@@ -153,11 +154,16 @@ def linked_pairs(
         first[j] = np.searchsorted(values, x[:, j] - window, "left")
         width[j] = np.searchsorted(values, x[:, j] + window, "right") - first[j]
     step = max(1, CELLS // len(right))
+    buffers = [np.empty(min(step, len(left)) * len(right), t) for t in (np.uint8, kind, bool)]
     for start in range(0, len(left), step):
         end, skip = min(start + step, len(left)), start + 1 if itself else 0
-        met = np.zeros((end - start, max(len(right) - skip, 0)), np.uint8)
+        shape = end - start, max(len(right) - skip, 0)
+        met, gap, hit = (buffer[: shape[0] * shape[1]].reshape(shape) for buffer in buffers)
+        met[:] = 0
         for j in range(COUNTED):  # a place before the window wraps around to a large number
-            met += (place[j, None, skip:] - first[j, start:end, None]) < width[j, start:end, None]
+            np.subtract(place[j, None, skip:], first[j, start:end, None], out=gap)
+            np.less(gap, width[j, start:end, None], out=hit)
+            np.add(met, hit.view(np.uint8), out=met)
         a, b = np.nonzero(met >= least)
         a, b = a + start, b + skip
         if itself:
@@ -172,141 +178,115 @@ def _compare(table: pa.Table, cosine: float, width: int) -> pa.Table:
     """A row for each linked class of a task: ``n``, the weight of its links, and ``root``."""
     table = table.combine_chunks()
     kind = table.column("kind").to_numpy()
-    cls, weight, code, near = (table.column(c).to_numpy() for c in ("cls", "weight", "code", "near"))
+    cls, weight = table.column("cls").to_numpy(), table.column("weight").to_numpy()
     rows, sizes = unit(table.column("vec"), width)
     n, root = np.zeros(len(kind), np.int64), np.arange(len(kind))
-    left, same = np.flatnonzero(kind == 0), table.column("i")[0] == table.column("j")[0]
-
-    def compare(right: np.ndarray, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        sides = rows[left], rows[right]
-        for a, b in linked_pairs(*sides, (sizes[left], sizes[right]), cosine, itself):
-            a, b = left[a], right[b]
-            merge(root, a, b)
-            np.add.at(n, b, weight[a])
-            yield a, b
-
-    for a, b in compare(left if same else np.flatnonzero(kind == 1), bool(same)):
+    itself = table.column("i")[0] == table.column("j")[0]
+    left = np.flatnonzero(kind == 0)
+    right = left if itself else np.flatnonzero(kind == 1)
+    for a, b in linked_pairs(rows[left], rows[right], (sizes[left], sizes[right]), cosine, itself):
+        a, b = left[a], right[b]
+        merge(root, a, b)
         np.add.at(n, a, weight[b])
-    for a, b in compare(np.flatnonzero(kind == 2), False):
-        # where the row is also looked up in the other's cell, it counts that link there
-        alone = ((code[a] ^ code[b]) & ~near[a]) != 0
-        np.add.at(n, a[alone], weight[b[alone]])
+        np.add.at(n, b, weight[a])
     found = np.flatnonzero(n)
-    # roots are named by class, so that a class that stands twice in a task is one
     return pa.table({"cls": cls[found], "n": n[found], "root": cls[root[found]]})
 
 
-def _means(rows: DataFrame, width: int) -> DataFrame:
-    """label, dim and ``mean``, the mean unit vector of each group."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            for part in _by_group(table):
-                x, sizes = unit(part.column("vec"), width)
-                total = (x / sizes[:, None]).sum(axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("label").combine_chunks().slice(0, 1),
-                        pa.array([x.shape[1]], pa.int32()),
-                        pa.array([len(x)], pa.int64()),
-                        pa.array([total], pa.list_(pa.float64())),
-                    ],
-                    ["label", "dim", "n", "total"],
-                )
-
-    schema = StructType([rows.schema["label"]]).add("dim", IntegerType()).add("n", LongType()).add("total", ArrayType(DoubleType()))
-    sums = rows.select("label", "vec").mapInArrow(work, schema)
-    at = sums.select("label", "dim", "n", F.posexplode("total").alias("p", "x")).groupBy("label", "dim", "p")
-    at = at.agg((F.sum("x") / F.sum("n")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("p", "x")))
-    return at.groupBy("label", "dim").agg(F.transform(ordered, lambda e: e["x"]).alias("mean"))
-
-
-def _by_group(table: pa.Table) -> Iterator[pa.Table]:
-    """The rows of each label and dimension."""
-    label, vec = table.column("label").combine_chunks(), table.column("vec")
-    dims = pc.binary_length(vec).to_numpy()
-    keys = np.stack([label.dictionary_encode().indices.to_numpy(), dims])
-    groups, of = np.unique(keys, axis=1, return_inverse=True)
-    for g in range(groups.shape[1]):
-        yield table.take(pa.array(np.flatnonzero(of.ravel() == g)))
-
-
-def _sides(u: np.ndarray, mean: np.ndarray, bits: int) -> np.ndarray:
-    """Signed distances from the borders of the routing directions through ``mean``."""
-    return (u - mean) @ directions(u.shape[1], max(bits, 1), 23)[:, :bits]
-
-
-def routing_window(samples: list[tuple[np.ndarray, np.ndarray, int]], cosine: float, recall: float) -> float:
-    """The least window that finds ``recall`` of pairs at exactly that cosine: each sampled unit
-    vector (with its group's mean and bits) and a partner in a random direction."""
-    rng = np.random.default_rng(5)
-    pairs = []
-    for u, mean, bits in samples:
-        away = rng.standard_normal(u.shape)
-        away -= np.einsum("ij,ij->i", away, u)[:, None] * u
-        size = np.linalg.norm(away, axis=1)[:, None]
-        if u.shape[1] < 2 or not size.all():
-            continue  # on a line there is no such partner
-        pairs.append((_sides(u, mean, bits), _sides(cosine * u + math.sqrt(1 - cosine**2) * away / size, mean, bits)))
-    window = 0.0
-    for window in np.arange(0, 4.01, 0.125) * deviation(cosine):
-        met = [((a < 0) == (b < 0)) | (abs(a) <= window) for a, b in pairs]
-        back = [((a < 0) == (b < 0)) | (abs(b) <= window) for a, b in pairs]
-        found = [m.all(axis=1) | o.all(axis=1) for m, o in zip(met, back, strict=True)]
-        if not found or np.concatenate(found).mean() >= recall:
-            break
-    return float(window)
-
-
-def _routed(rows: DataFrame, window: float, width: int, columns: list[str]) -> DataFrame:
-    """``rows`` (with label, dim, bits, mean, vec and ``columns``) once in their own cell, kind
-    0, and once in each cell that their window reaches into, kind 2."""
+def _pivots(rows: DataFrame, large: DataFrame, leaf: int, width: int) -> dict[int, np.ndarray]:
+    """Unit vectors that divide each of the ``large`` groups, by ``g``: a bounded choice by hash.
+    Any choice gives the same links."""
+    chosen = (
+        rows.join(large, ["label", "dim"])
+        .where(F.pmod(F.xxhash64("cls"), F.lit(leaf)) < PIVOTS)
+        .dropDuplicates(["cls"])
+        .orderBy(F.xxhash64("cls", F.lit(1)))
+        .limit(PIVOTS_AT_MOST)
+        .select("g", "vec")
+        .toArrow()
+    )
+    of, pivots = chosen.column("g").to_numpy(), {}
+    for g in np.unique(of):
+        x, sizes = unit(chosen.column("vec").take(pa.array(np.flatnonzero(of == g))), width)
+        pivots[int(g)] = x / sizes[:, None]
+    return pivots
+
+
+def distances(pivots: np.ndarray) -> np.ndarray:
+    """Of each two pivots."""
+    square = np.einsum("ij,ij->i", pivots, pivots)
+    return np.sqrt(np.maximum(square[:, None] + square - 2 * pivots @ pivots.T, 0))
+
+
+def near_cells(
+    u: np.ndarray, pivots: np.ndarray, apart: np.ndarray, cells: int, cosine: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each unit vector, and of (vector, cell) whether the cell may have a vector
+    with at least that cosine. A region's vectors are at least as like its pivot as any other
+    pivot, and unit vectors with that cosine are at most ``deviation`` apart, so nothing behind
+    the plane between two pivots is near a vector that is further from the plane."""
+    like = u @ pivots.T
+    region = like.argmax(axis=1)
+    # the margin is far above the error of a product or a distance
+    reached = like.max(axis=1)[:, None] - like <= deviation(cosine) * apart[region] + 1e-6
+    near = [reached[:, cell::cells].any(axis=1) for cell in range(cells)]
+    return region % cells, np.stack(near, axis=1)
+
+
+def _placed(rows: DataFrame, pivots: dict[int, np.ndarray], cosine: float, width: int, columns: list[str]) -> DataFrame:
+    """``rows`` (with label, dim, vec, ``columns`` and, in a large group, its g and number of
+    cells) once in their own cell, kind 0, and once in each earlier cell that may have a vector
+    near them, kind 1."""
     out = ["label", "dim", *columns]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in _by_group(pa.Table.from_batches([batch])):
-                bits = part.column("bits")[0].as_py()
-                x, sizes = unit(part.column("vec"), width)
-                mean = np.array(part.column("mean")[0].as_py()) if bits else 0.0
-                side = _sides(x / sizes[:, None], mean, bits)
-                powers = np.int64(1) << np.arange(bits, dtype=np.int64)
-                code = (side >= 0) @ powers if bits else np.zeros(len(x), np.int64)
-                near = (np.abs(side) <= window) @ powers if bits else np.zeros(len(x), np.int64)
-                row, cell = np.arange(len(x)), code.copy()
-                queue = [(row, cell, np.zeros(len(x), np.int32))]
-                for power in powers:  # every stated row again on the other side, if it is near
-                    for at, cells, _ in list(queue):
-                        close = (near[at] & power) != 0
-                        if close.any():
-                            queue.append((at[close], cells[close] ^ power, np.full(close.sum(), 2, np.int32)))
-                for at, cells, kinds in queue:
-                    table = part.select(out).take(pa.array(at))
-                    for name, values in (("cell", cells), ("kind", kinds), ("code", code[at]), ("near", near[at])):
-                        table = table.append_column(name, pa.array(values))
-                    yield from table.combine_chunks().to_batches(max_chunksize=10_000)
+            table = pa.Table.from_batches([batch])
+            of = table.column("g").fill_null(-1).to_numpy()
+            for g in np.unique(of):
+                part = table.take(pa.array(np.flatnonzero(of == g)))
+                own, near = np.zeros(len(part), np.int64), np.zeros((len(part), 0), bool)
+                if g in pivots:
+                    x, sizes = unit(part.column("vec"), width)
+                    cells = min(part.column("cells")[0].as_py(), len(pivots[g]))
+                    if g not in apart:
+                        apart[g] = distances(pivots[g])
+                    own, near = near_cells(x / sizes[:, None], pivots[g], apart[g], cells, cosine)
+                    near &= np.arange(cells) < own[:, None]
+                at, cell = np.nonzero(near)
+                kind = np.concatenate([np.zeros(len(part), np.int32), np.ones(len(at), np.int32)])
+                at, cell = np.concatenate([np.arange(len(part)), at]), np.concatenate([own, cell])
+                for k in range(0, len(at), 10_000):
+                    some = part.select(out).take(pa.array(at[k : k + 10_000]))
+                    some = some.append_column("cell", pa.array(cell[k : k + 10_000]))
+                    some = some.append_column("kind", pa.array(kind[k : k + 10_000]))
+                    yield from some.combine_chunks().to_batches()
 
     schema = StructType([rows.schema[c] for c in out]).add("cell", LongType()).add("kind", IntegerType())
-    return rows.mapInArrow(work, schema.add("code", LongType()).add("near", LongType()))
-
-
-def _tasks(routed: DataFrame, crowded: DataFrame | None) -> DataFrame:
-    """Each row of ``routed`` in the block pairs (i, j) that need it. Rows stored in block i are
-    on the left of all pairs (i, j), and on the right (kind 1) of the earlier blocks."""
-    if crowded is None:
-        return routed.withColumns({"i": F.lit(0), "j": F.lit(0)})
-    rows = routed.join(crowded, ["label", "dim", "cell"], "left")
-    blocks = F.coalesce("blocks", F.lit(1))
-    rows = rows.withColumn("last", blocks - 1).withColumn("x", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    every = F.sequence(F.lit(0), F.col("last"))
-    own = F.transform(every, lambda j: F.struct(F.col("x").alias("i"), j.alias("j"), F.lit(0).alias("kind")))
-    earlier = F.filter(every, lambda i: i < F.col("x"))
-    right = F.transform(earlier, lambda i: F.struct(i.alias("i"), F.col("x").alias("j"), F.lit(1).alias("kind")))
-    looked = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("x").alias("j"), F.lit(2).alias("kind")))
-    place = F.explode(F.when(F.col("kind") == 0, F.concat(own, right)).otherwise(looked)).alias("at")
-    return rows.select(*[c for c in routed.columns if c != "kind"], place).select("*", "at.*").drop("at")
+    return rows.mapInArrow(work, schema)
+
+
+def _tasks(placed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Each row of ``placed`` in the block pairs (i, j) that need it, on the left (kind 0) or the
+    right. A cell's own classes are the first ``own`` blocks, and each pair of these is compared
+    once; the classes looked up are the ``looked`` blocks after them, on the right of every own."""
+    rows = placed.join(crowded, ["label", "dim", "cell"], "left")
+    own, looked = F.coalesce("own", F.lit(1)), F.coalesce("looked", F.lit(0))
+    hashed = F.xxhash64("cls")
+    first = F.when(F.col("kind") == 0, F.pmod(hashed, own)).otherwise(own + F.pmod(hashed, F.greatest(looked, F.lit(1))))
+    rows = rows.withColumns({"x": first.cast("int"), "own": own, "blocks": own + looked})
+    number = F.sequence(F.lit(0), F.col("blocks") - 1)
+    left = F.transform(
+        F.filter(number, lambda j: j >= F.col("x")),
+        lambda j: F.struct(F.col("x").alias("i"), j.alias("j"), F.lit(0).alias("kind")),
+    )
+    right = F.transform(
+        F.filter(number, lambda i: (i < F.col("x")) & (i < F.col("own"))),
+        lambda i: F.struct(i.alias("i"), F.col("x").alias("j"), F.lit(1).alias("kind")),
+    )
+    place = F.explode(F.when(F.col("kind") == 0, F.concat(left, right)).otherwise(right)).alias("at")
+    return rows.select(*[c for c in placed.columns if c != "kind"], place).select("*", "at.*").drop("at")
 
 
 def near_vectors(
@@ -316,7 +296,6 @@ def near_vectors(
     vector_column: str = "embedding",
     label_column: str = "label",
     cosine: float = COSINE,
-    recall: float = RECALL,
     leaf: int = LEAF,
 ) -> DataFrame:
     """The id of each row with ``n_links``, ``component_id`` and ``kept``."""
@@ -344,49 +323,25 @@ def near_vectors(
     )
     classes = stored(classes, "classes")
     sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / leaf))).cast("int")
-    large = stored(sizes.select("label", "dim", bits.alias("bits")).where("bits > 0"), "large")
+    cells = F.ceil(F.col("n") / leaf).cast("int").alias("cells")
+    large = sizes.where(F.col("n") > leaf).select("label", "dim", cells, F.monotonically_increasing_id().alias("g"))
+    large = broadcast_within(stored(large, "large"))
     whole = (
         rows.groupBy("cls")
         .agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("weight"))
         .withColumn("dim", (F.length("vec") / width).cast("int"))
     )
-    columns = ["cls", "weight", "vec"]
-    crowded = None
-    if not large.limit(1).count():
-        routed = whole.select(
-            "label", "dim", *columns, *[F.lit(0).cast(t).alias(c) for c, t in
-            (("cell", "long"), ("kind", "int"), ("code", "long"), ("near", "long"))]
-        )
-    else:
-        large = large.join(_means(rows.join(broadcast_within(large), ["label", "dim"], "left_semi"), width), ["label", "dim"])
-        large = broadcast_within(stored(large, "means"))
-        sample = (
-            rows.dropDuplicates(["cls"])
-            .join(large, ["label", "dim"])
-            .orderBy(F.xxhash64("cls"))
-            .limit(SAMPLE)
-            .select("label", "vec", "bits", "mean")
-            .toArrow()
-        )
-        samples = []
-        for part in _by_group(sample):
-            x, length = unit(part.column("vec"), width)
-            samples.append((x / length[:, None], np.array(part.column("mean")[0].as_py()), part.column("bits")[0].as_py()))
-        window = routing_window(samples, cosine, recall)
-
-        def with_routes(df: DataFrame) -> DataFrame:
-            df = df.join(large, ["label", "dim"], "left")
-            return df.withColumn("bits", F.coalesce("bits", F.lit(0)))
-
-        routed = _routed(with_routes(whole), window, width, columns)
-        # classes per cell, from keys alone
-        light = _routed(with_routes(rows), window, width, ["cls"]).select("label", "dim", "cell", "kind", "cls")
-        counts = light.distinct().groupBy("label", "dim", "cell", "kind").agg(F.count(F.lit(1)).alias("n"))
-        blocks = F.ceil(F.max("n") / leaf).cast("int").alias("blocks")
-        crowded = counts.groupBy("label", "dim", "cell").agg(blocks).where("blocks > 1")
-        crowded = broadcast_within(stored(crowded, "crowded"))
-    tasks = _tasks(routed, crowded)
+    pivots = _pivots(rows, large, leaf, width)
+    placed = _placed(whole.join(large, ["label", "dim"], "left"), pivots, cosine, width, ["cls", "weight", "vec"])
+    # classes per cell of the large groups, from keys alone
+    light = _placed(rows.join(large, ["label", "dim"]), pivots, cosine, width, ["cls"]).distinct()
+    counts = light.groupBy("label", "dim", "cell", "kind").agg(F.ceil(F.count(F.lit(1)) / leaf).cast("int").alias("n"))
+    crowded = counts.groupBy("label", "dim", "cell").agg(
+        F.greatest(F.lit(1), F.max(F.when(F.col("kind") == 0, F.col("n")))).alias("own"),
+        F.coalesce(F.max(F.when(F.col("kind") == 1, F.col("n"))), F.lit(0)).alias("looked"),
+    )
+    crowded = broadcast_within(stored(crowded, "crowded"))
+    tasks = _tasks(placed, crowded)
 
     def compare(table: pa.Table) -> pa.Table:
         return _compare(table, cosine, width)

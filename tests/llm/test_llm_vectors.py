@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from medallion.llm import vectors
-from medallion.llm.vectors import least_count, linked_pairs, merge, near_vectors
+from medallion.llm.vectors import distances, least_count, linked_pairs, merge, near_cells, near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -71,6 +71,42 @@ def test_routing_finds_pairs_at_the_bound(spark):
     assert linked >= 0.985 * 400
 
 
+def pairs_at_the_bound(count, dim, seed):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(count):
+        u, e = rng.standard_normal((2, dim))
+        u /= np.linalg.norm(u)
+        e -= (e @ u) * u
+        v = 0.9302 * u + np.sqrt(1 - 0.9302**2) * e / np.linalg.norm(e)
+        rows += [(2 * k, u.tolist(), 1), (2 * k + 1, v.tolist(), 1)]
+    return rows
+
+
+@pytest.mark.parametrize("leaf", [40, 100])
+def test_links_do_not_depend_on_the_size_of_a_label(spark, leaf):
+    """The same rows in one cell and in many, and some of them with and without the others."""
+    rows = pairs_at_the_bound(800, 32, 1) + [(5000 + r[0], r[1] * 2, 1) for r in clusters(20, 12, labels=1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    whole = found(frame)
+    assert sum(v[0] for v in whole.values()) > 1600
+    assert found(frame, leaf=leaf) == whole
+    few = {k: v for k, v in whole.items() if k < 200}
+    assert found(frame.where("vec_id < 200"), leaf=leaf) == few
+
+
+def test_cells_lose_no_pair_and_leave_out_what_is_far():
+    rows = clusters(40, 12, dim=24, labels=1) + pairs_at_the_bound(300, 24, 3)
+    u = np.array([r[1] for r in rows])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    pivots = u[::9]
+    own, near = near_cells(u, pivots, distances(pivots), 7, 0.93)
+    a, b = np.nonzero(u @ u.T >= 0.93)
+    assert (own[a] != own[b]).any() and len(set(own)) == 7
+    assert near[a, own[b]].all()
+    assert near.mean() < 0.8
+
+
 def test_copies_are_one_class_and_count_each(spark):
     rows = [(k, [1.0, 2.0, 0.5], 3) for k in range(300)] + [(900, [2.0, 4.0, 1.0], 3), (901, [1.0, 2.0, 0.5], 4)]
     rows += [(902, [1.0, 2.0, 0.9], 3)]
